@@ -98,16 +98,17 @@ def recoveries(runs: DataFrame) -> DataFrame:
         "job", "run_id", "started_at", F.coalesce("__near", "__far").alias("recovered_at"))
 
 
-def mttr(runs: DataFrame) -> DataFrame:
+def mttr(runs: DataFrame, by: Sequence[str] = ("week", "job")) -> DataFrame:
     """Median seconds from a failed run's start to the end of the job's next success, per week and job.
 
     Failures without a later success are open incidents: counted, left out of the median.
+    ``by=("week",)`` takes the median over all jobs.
     """
     took = recoveries(runs).select(
         week_of(F.col("started_at")).alias("week"), "job",
         seconds_between(F.col("started_at"), F.col("recovered_at")).alias("seconds"))
-    counted = took.groupBy("week", "job", "seconds").agg(F.count(F.lit(1)).alias("n"))
-    return counted.groupBy("week", "job").agg(
+    counted = took.groupBy(*by, "seconds").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy(*by).agg(
         F.sum("n").alias("failed_runs"),
         F.coalesce(F.sum(F.when(F.col("seconds").isNotNull(), F.col("n"))), F.lit(0)).alias("recovered_runs"),
         F.percentile("seconds", F.lit(0.5), F.col("n")).alias("mttr_seconds"))

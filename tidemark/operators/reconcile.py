@@ -58,8 +58,8 @@ class CheckOutcome:
 
 def hour_grid(spark: SparkSession, low: datetime, high: datetime) -> DataFrame:
     """One row per hour of ``[low, high)``."""
-    hours = F.sequence(ntz(low), ntz(high - timedelta(microseconds=1)), F.expr("interval 1 hour"))
-    return spark.range(1).select(trunc("hour", F.explode(hours)).alias(SLOT))
+    hours = F.sequence(trunc("hour", ntz(low)), ntz(high - timedelta(microseconds=1)), F.expr("interval 1 hour"))
+    return spark.range(1).select(F.explode(hours).alias(SLOT))
 
 
 def covered_hours(df: DataFrame, ts: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import calendar
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from itertools import zip_longest
 from urllib.parse import quote, urlsplit
 
 from pyspark.errors import AnalysisException
@@ -25,8 +26,11 @@ def _aligned(moment: datetime, levels: int) -> datetime:
     return moment.replace(minute=0, second=0, microsecond=0, **({"hour": 0} if levels == 3 else {}))
 
 
-def folder_patterns(low: datetime, high: datetime, *, levels: int = 4) -> list[str]:
-    """Patterns of ``yyyy/mm/dd[/hh]`` folders (``levels`` 4 or 3) that overlap ``[low, high)``."""
+def folder_patterns(low: datetime, high: datetime, *, levels: int = 4, prefixes: Sequence[str] = ()) -> list[str]:
+    """Patterns of ``yyyy/mm/dd[/hh]`` folders (``levels`` 4 or 3) that overlap ``[low, high)``.
+
+    ``prefixes`` are fixed texts before the numbers, e.g. ``("yyyy=", "mm=", "dd=", "hh=")``.
+    """
     if levels not in (3, 4):
         raise ValueError("levels must be 3 (days) or 4 (hours)")
     at, out = _aligned(low, levels), []
@@ -40,7 +44,8 @@ def folder_patterns(low: datetime, high: datetime, *, levels: int = 4) -> list[s
         else:
             depth, step = 4, timedelta(hours=1)
         text = [f"{at.year:04d}", f"{at.month:02d}", f"{at.day:02d}", f"{at.hour:02d}"]
-        out.append("/".join(text[:depth] + ["*"] * (levels - depth)))
+        numbers = text[:depth] + ["*"] * (levels - depth)
+        out.append("/".join(a + b for a, b in zip_longest(prefixes[:levels], numbers, fillvalue="")))
         at += step
     return out
 
@@ -54,9 +59,13 @@ def _glob(base: str, patterns: Sequence[str]) -> str:
     return f"{base.rstrip('/')}/{{{','.join(patterns)}}}"
 
 
+def _number(folder: Column) -> Column:
+    return F.regexp_extract(folder, "([0-9]+)$", 1).try_cast("int")
+
+
 def _folder_number(path: Column, position: int, levels: int) -> Column:
     # file path is .../<number>/<number>/.../<file>; position counts from the left
-    return F.try_element_at(F.split(path, "/"), F.lit(-(levels - position) - 1)).try_cast("int")
+    return _number(F.try_element_at(F.split(path, "/"), F.lit(-(levels - position) - 1)))
 
 
 def read_hours(
@@ -67,12 +76,13 @@ def read_hours(
     high: datetime,
     *,
     merge_schema: bool = False,
+    prefixes: Sequence[str] = (),
 ) -> DataFrame:
     """Parquet rows of the hour folders in ``[low, high)`` with ``yyyy, mm, dd, hh`` columns."""
     names = list(HOUR_COLUMNS)
     try:
         reader = spark.read if merge_schema else spark.read.schema(schema)
-        rows = reader.option("mergeSchema", merge_schema).parquet(_glob(base, folder_patterns(low, high)))
+        rows = reader.option("mergeSchema", merge_schema).parquet(_glob(base, folder_patterns(low, high, prefixes=prefixes)))
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" not in str(problem):
             raise
@@ -91,6 +101,8 @@ def read_run_logs(
     job: str | Sequence[str],
     low: datetime,
     high: datetime,
+    *,
+    prefixes: Sequence[str] = (),
 ) -> DataFrame:
     """Text lines under ``base/system/job/yyyy/mm/dd/``, any depth below, one row per line.
 
@@ -101,7 +113,7 @@ def read_run_logs(
         raise ValueError("a run-log scan needs the job name(s)")
     if not systems:
         raise ValueError("a run-log scan needs the system name(s)")
-    days = folder_patterns(low, high, levels=3)
+    days = folder_patterns(low, high, levels=3, prefixes=prefixes)
     roots = [f"{s}/{j}/{d}" for s in systems for j in jobs for d in days]
     schema = T.StructType([T.StructField("line", T.StringType())])
     try:
@@ -117,7 +129,7 @@ def read_run_logs(
     part = [F.try_element_at(below, F.lit(i)) for i in range(1, 6)]
     return lines.select(
         F.url_decode(part[0]).alias("system"), F.url_decode(part[1]).alias("job"),
-        *(part[i + 2].try_cast("int").alias(name) for i, name in enumerate(DAY_COLUMNS)),
+        *(_number(part[i + 2]).alias(name) for i, name in enumerate(DAY_COLUMNS)),
         src.alias("src"), "line",
     )
 
