@@ -25,8 +25,9 @@ from .staging import table_location
 TABLE_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3"}
 
 
-def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
 
 
 def assert_database(spark: SparkSession, name: str) -> None:
