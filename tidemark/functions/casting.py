@@ -9,6 +9,9 @@ Three numeric modes:
     including their quirks, so that tables filled by them stay comparable.
 
 Every rule is one expression over built-in functions, so casts stay inside whole-stage codegen.
+Costly parts stand in a condition that is always evaluated, where Spark computes them once per
+row; a failing text-to-integer or text-to-double cast raises inside the JVM, so a pattern test
+stands before it.
 """
 
 from __future__ import annotations
@@ -33,6 +36,9 @@ _TIMES = (T.TimestampType, T.TimestampNTZType)
 _BLANKS = r"[\s\p{Zs}]+"
 _EDGE_BLANKS = r"^[\s\p{Zs}]+|[\s\p{Zs}]+$"
 _CURRENCY = r"^([+-]?)(?:[A-Za-z]{0,3}\p{Sc}|[A-Za-z]{2,3}\.?)"
+_BARE = r"^[0-9.,+-]*$"
+_INTEGER = r"^[+-]?[0-9]+$"
+_DOUBLE = r"^\s*[+-]?(?:NaN|Infinity|0[xX].+|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[fFdD]?)\s*$"
 _NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 _ONE_AMBIGUOUS_MARK = r"^[+-]?[0-9]{1,3}[.,][0-9]{3}$"
 
@@ -58,6 +64,11 @@ def _try_chain(col: Column, *kinds: T.DataType) -> Column:
 
 # --- numbers -------------------------------------------------------------------------------
 
+def _swap_marks(col: Column) -> Column:
+    """Drop dots, then read the comma as the decimal dot."""
+    return F.replace(F.replace(col, F.lit(".")), F.lit(","), F.lit("."))
+
+
 def leading_integer(col: Column, target: T.DataType) -> Column:
     """Compat rule: the integer before the first separator.
 
@@ -76,15 +87,30 @@ def leading_integer(col: Column, target: T.DataType) -> Column:
 def dotted_first_fraction(col: Column, target: T.DataType) -> Column:
     """Compat rule: read ``.`` as the thousands mark, else ``,``, else keep digits only."""
     text = F.trim(col)
-    comma_decimal = F.translate(text, ",.", ".")
     dot_decimal = F.replace(text, F.lit(","))
     digits = _drop(text, r"[^0-9.\-]")
-    double = T.DoubleType()
-    return F.coalesce(
-        _try_chain(_nonblank(comma_decimal), double, target),
-        _try_chain(_nonblank(dot_decimal), double, target),
-        _try_chain(_nonblank(digits), target),
+
+    def through_double(part: Column) -> Column:
+        return F.when(part.rlike(_DOUBLE), _try_chain(part, T.DoubleType(), target))
+
+    return F.coalesce(through_double(_swap_marks(text)), through_double(dot_decimal), _nonblank(digits).try_cast(target))
+
+
+def _dotted(col: Column, locale: str) -> Column:
+    """Text with the decimal mark as a dot and no thousands marks."""
+    if locale not in LOCALES:
+        raise ValueError(f"locale must be one of {LOCALES}, got {locale!r}")
+    bare = F.regexp_replace(_drop(col, _BLANKS), _CURRENCY, "$1")
+    text = F.when(col.rlike(_BARE), col).otherwise(bare)
+    dots, commas = (F.length(text) - F.length(F.replace(text, F.lit(mark))) for mark in ".,")
+    ambiguous = text.rlike(_ONE_AMBIGUOUS_MARK)
+    id_style, other_style = F.lit(locale == "id"), F.lit(locale != "id")
+    dot_is_decimal = (
+        F.when(commas == 0, (dots <= 1) & ~(id_style & ambiguous))
+        .when(dots == 0, (commas > 1) | (other_style & ambiguous))
+        .otherwise(text.rlike(r"\.[^.,]*$"))
     )
+    return F.when(dot_is_decimal, F.replace(text, F.lit(","))).otherwise(_swap_marks(text))
 
 
 def number_text(col: Column, locale: str = "auto") -> Column:
@@ -94,27 +120,20 @@ def number_text(col: Column, locale: str = "auto") -> Column:
     mark, and a single mark is the decimal mark unless the text has the ``1.234`` shape, which
     ``locale`` decides (``auto`` reads it as ``en``).
     """
-    if locale not in LOCALES:
-        raise ValueError(f"locale must be one of {LOCALES}, got {locale!r}")
-    text = F.regexp_replace(_drop(col, _BLANKS), _CURRENCY, "$1")
-    dot, comma = text.contains("."), text.contains(",")
-    ambiguous = text.rlike(_ONE_AMBIGUOUS_MARK)
-    dot_is_decimal = (
-        F.when(dot & comma, text.rlike(r"\.[^.,]*$"))
-        .when(dot, ~text.rlike(r"\..*\.") & ~(ambiguous & F.lit(locale == "id")))
-        .when(comma, text.rlike(r",.*,") | (ambiguous & F.lit(locale != "id")))
-        .otherwise(F.lit(True))
-    )
-    plain = F.when(dot_is_decimal, F.replace(text, F.lit(","))).otherwise(F.translate(text, ",.", "."))
+    plain = _dotted(col, locale)
     return F.when(plain.rlike(_NUMBER), plain)
 
 
 def exact_number(col: Column, target: T.DataType, locale: str = "auto") -> Column:
     """Exact mode: decimals round half up, integers truncate toward zero, overflow is NULL."""
-    text = number_text(col, locale)
     if isinstance(target, _INTEGERS):
-        return _try_chain(text, T.DecimalType(38, 18), target)
-    return text.try_cast(target)
+        plain = _dotted(col, locale)
+        whole = _try_chain(plain, T.DecimalType(38, 18), target)
+        return F.when(plain.rlike(_INTEGER), plain.try_cast(target)).otherwise(whole)
+    if isinstance(target, T.DecimalType):
+        # the decimal parser itself rejects what is not a number
+        return _dotted(col, locale).try_cast(target)
+    return number_text(col, locale).try_cast(target)
 
 
 # --- other kinds ---------------------------------------------------------------------------
@@ -130,7 +149,8 @@ def flag_is_set(text: str) -> bool:
 
 
 def time_text(col: Column, target: T.DataType) -> Column:
-    return _nonblank(strip_text(col)).try_cast(target)
+    """Blank text is NULL; the cast itself skips plain blanks, other blanks are stripped only if needed."""
+    return F.coalesce(col.try_cast(target), strip_text(col).try_cast(target))
 
 
 def sized_text(col: Column, length: int) -> Column:

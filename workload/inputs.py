@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def padded(col: Column) -> Column:
+    return F.lpad(col.cast("string"), 2, "0")
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Group rows for a partitioned write over all cores; small data would end in one writer otherwise."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *columns)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as double and dates as text, the common ground of both engines' clients."""
     kinds = {T.DecimalType: "double", T.DateType: "string"}
@@ -185,7 +194,7 @@ FROM (SELECT *, unnest(range(0, 5)) AS n FROM events) x"""
 
 
 def dq_run_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Events read as quality runs of three sources."""
+    """Events read as quality runs of three sources, scheduled three times a day."""
     start, seconds = trunc("second", F.col("ts")), F.floor("value").cast("int")
     iso = "yyyy-MM-dd'T'HH:mm:ss"
     return table(spark, sf, "events").select(
@@ -194,7 +203,7 @@ def dq_run_log(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.date_format(start, iso), F.lit("+07:00")).alias("RUN_START_ISO"),
         F.concat(F.date_format(start + F.make_dt_interval(secs=seconds.cast("decimal(18,6)")), iso), F.lit("+07:00")).alias("RUN_END_ISO"),
         F.when(F.col("event_id") % 17 == 0, F.lit("ERR")).otherwise(F.lit("OK")).alias("JOB_STATUS"),
-        seconds.alias("TOTAL_DURATIONS"), F.date_format("ts", "yyyy-MM-dd").alias("dt"), F.date_format("ts", "HH").alias("hour"),
+        seconds.alias("TOTAL_DURATIONS"), F.date_format("ts", "yyyy-MM-dd").alias("dt"), padded(F.floor(F.hour("ts") / 8) * 8).alias("hour"),
         F.concat(F.lit("db_"), (F.col("user_id") % 3).cast("string")).alias("source"))
 
 
@@ -202,7 +211,7 @@ SQL["dq_run_log"] = """SELECT concat('db_', CAST(user_id % 3 AS VARCHAR)) AS "DA
   concat(strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S'), '+07:00') AS "RUN_START_ISO",
   concat(strftime(date_trunc('second', ts) + to_seconds(CAST(floor(value) AS INTEGER)), '%Y-%m-%dT%H:%M:%S'), '+07:00') AS "RUN_END_ISO",
   CASE WHEN event_id % 17 = 0 THEN 'ERR' ELSE 'OK' END AS "JOB_STATUS", CAST(floor(value) AS INTEGER) AS "TOTAL_DURATIONS",
-  strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour, concat('db_', CAST(user_id % 3 AS VARCHAR)) AS source
+  strftime(ts, '%Y-%m-%d') AS dt, lpad(CAST(hour(ts) // 8 * 8 AS VARCHAR), 2, '0') AS hour, concat('db_', CAST(user_id % 3 AS VARCHAR)) AS source
 FROM events"""
 
 

@@ -33,8 +33,8 @@ from tidemark.streaming import changes as stream
 from .checking import HIGH, LOW, RECONCILE_SQL
 from .checking import _RATES as RATES
 from .inputs import (
-    AS_OF, DB_SOURCE, cdc_changes, dq_run_log, plain, run_log_lines, runs, silver_events, silver_orders, stg_orders, table,
-    typed_changes, with_inputs,
+    AS_OF, DB_SOURCE, cdc_changes, dq_run_log, padded, plain, run_log_lines, runs, silver_events, silver_orders, spread, stg_orders,
+    table, typed_changes, with_inputs,
 )
 from .merging import BACKFILL_HIGH, BACKFILL_LOW, BACKFILL_RANGE_SQL, STAGED_TYPES, backfill_source, merge_sql, order_rules
 from .registry import query
@@ -44,10 +44,6 @@ def _unique(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex[:12]}"
 
 
-def _padded(col: F.Column, width: int = 2) -> F.Column:
-    return F.lpad(col.cast("string"), width, "0")
-
-
 # --- staging -----------------------------------------------------------------------------------
 
 @query(with_inputs("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, created_at, updated_at "
@@ -98,8 +94,8 @@ def projected_scan(spark, sf):
     """Hour folders of a time range, found without listing the others."""
     path = scratch_path(spark, "landing")
     landed = table(spark, sf, "events").select("event_id", "ts", "event_type", F.year("ts").cast("string").alias("yyyy"), *(
-        _padded(part("ts")).alias(n) for n, part in (("mm", F.month), ("dd", F.dayofmonth), ("hh", F.hour))))
-    landed.repartition("yyyy", "mm", "dd", "hh").write.partitionBy("yyyy", "mm", "dd", "hh").parquet(path)
+        padded(part("ts")).alias(n) for n, part in (("mm", F.month), ("dd", F.dayofmonth), ("hh", F.hour))))
+    spread(landed, "yyyy", "mm", "dd", "hh").write.partitionBy("yyyy", "mm", "dd", "hh").parquet(path)
     return read_hours(spark, path, EVENT, datetime(2024, 1, 5, 7), datetime(2024, 1, 20, 18), prefixes=("yyyy=", "mm=", "dd=", "hh="))
 
 
@@ -109,8 +105,8 @@ def projected_text_scan(spark, sf):
     path = scratch_path(spark, "logs") + "/logs/cron-batch"
     parts = ["system", "job", "year", "month", "day"]
     lines = run_log_lines(spark, sf).select("line", "system", "job", F.col("year").cast("string").alias("year"),
-                                            _padded(F.col("month")).alias("month"), _padded(F.col("day")).alias("day"))
-    lines.repartition(*parts).write.partitionBy(*parts).text(path)
+                                            padded(F.col("month")).alias("month"), padded(F.col("day")).alias("day"))
+    spread(lines, *parts).write.partitionBy(*parts).text(path)
     return read_run_logs(spark, path, ["system=db0", "system=db2"], ["job=click", "job=view"], datetime(2024, 1, 3),
                          datetime(2024, 1, 21), prefixes=("year=", "month=", "day=")).drop("src")
 
@@ -119,7 +115,7 @@ def projected_text_scan(spark, sf):
     good="\"JOB_STATUS\" = 'OK'", bad="\"JOB_STATUS\" = 'ERR'") + " FROM dq_run_log GROUP BY 1, 2, 3", "dq_run_log"))
 def csv_log_roundtrip(spark, sf):
     path = scratch_path(spark, "dq-log")
-    log_sinks.write_dq_run_log(dq_run_log(spark, sf).repartition("dt", "hour", "source"), path)
+    log_sinks.write_dq_run_log(spread(dq_run_log(spark, sf), "dt", "hour", "source"), path)
     return dq_run_report(read_dq_run_log(spark, path))
 
 
@@ -174,7 +170,7 @@ def merge_touched_partitions(spark, sf):
                                                F.date_format("ts", "yyyy-MM-dd").alias("day"))
     first = events.filter("value <= 150.0").select("event_id", "kind", "day")
     silver_sinks.create_table(spark, name, first.schema, home, partitions=["day"])
-    first.repartition("day").write.mode("overwrite").insertInto(name)
+    spread(first, "day").write.mode("overwrite").insertInto(name)
     recent = events.filter(F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")).select("event_id", F.upper("kind").alias("kind"), "day")
     silver_sinks.merge_table(spark, name, recent, MergeRules(keys="event_id"), partitions=["day"])
     return spark.table(name)
@@ -194,20 +190,21 @@ def _typed(changes: DataFrame) -> DataFrame:
     return stream.decode_changes(changes, {"amount": T.DecimalType(12, 2)})
 
 
-def topic_files(spark: SparkSession, sf: str) -> str:
+def topic_files(spark: SparkSession, sf: str, *, in_order: bool = False) -> str:
     """The change log as topic files: JSON envelopes, and a tombstone after each delete."""
     path = scratch_path(spark, "topic")
     c = cdc_changes(spark, sf)
     envelope = F.to_json(F.struct(F.struct("id", "event_type", "amount", "event_id").alias("after"), F.col("__op").alias("op"),
                                   F.unix_millis(F.col("__ts_ms").cast("timestamp")).alias("ts_ms")))
     copies = F.when(F.col("__op") == "d", F.array(envelope, F.lit(None).cast("string"))).otherwise(F.array(envelope))
-    c.select(F.lit("public.users").alias("table"), F.explode(copies).alias("value")).repartition(4).write.option(
+    mixed = c.repartitionByRange(4, "__ts_ms") if in_order else c.repartition(4, "event_id")
+    mixed.select(F.lit("public.users").alias("table"), F.explode(copies).alias("value")).write.option(
         "ignoreNullFields", False).json(path)
     return path
 
 
-def flat_stream(spark: SparkSession, sf: str) -> DataFrame:
-    files = read_change_files(spark, topic_files(spark, sf), TOPIC, files_per_batch=1)
+def flat_stream(spark: SparkSession, sf: str, *, in_order: bool = False, files_per_batch: int = 1) -> DataFrame:
+    files = read_change_files(spark, topic_files(spark, sf, in_order=in_order), TOPIC, files_per_batch=files_per_batch)
     live = files.filter(F.col("table") == "public.users").withColumn("value", json_value(F.col("value"), ENVELOPE))
     return select_changes(stream.flatten_changes(live))
 
@@ -242,7 +239,8 @@ def cdc_flatten(spark, sf):
 FROM cdc_changes""", "cdc_changes"))
 def stream_land_hourly(spark, sf):
     path = scratch_path(spark, "landing")
-    stream.land_by_hour(flat_stream(spark, sf), path, scratch_path(spark, "landing-state"), every=None).awaitTermination()
+    changes = flat_stream(spark, sf, in_order=True, files_per_batch=2)
+    stream.land_by_hour(changes, path, scratch_path(spark, "landing-state"), every=None).awaitTermination()
     folders = T.StructType([T.StructField(n, T.IntegerType()) for n in ("yyyy", "mm", "dd", "hh")])
     return spark.read.schema(with_columns(CHANGE, META_STRUCT, folders)).parquet(path)
 
