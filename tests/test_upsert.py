@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.latest import current_state, dedupe_source, latest_per_key
+from tidemark.operators import upsert
 from tidemark.operators.upsert import MergeRules, merge_upsert
 
 AS_OF = datetime(2025, 1, 1, 5, 0, 0, 123456)
@@ -150,10 +151,12 @@ def test_full_outer_shuffles_each_side_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_small_source_leaves_the_target_unshuffled(spark, tmp_path):
+def test_small_source_leaves_the_target_unshuffled(spark, tmp_path, monkeypatch):
     spark.range(20000).select("id", F.lit("t").alias("name")).write.parquet(str(tmp_path / "t"))
     spark.range(19990, 20010).select("id", F.lit("s").alias("name")).write.parquet(str(tmp_path / "s"))
     t, s = (spark.read.parquet(str(tmp_path / x)) for x in "ts")
+    assert "FullOuter" in merge_upsert(t, s, MergeRules(keys="id"))._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(upsert, "MUCH_LARGER", 0)  # any target is large enough
     out = merge_upsert(t, s, MergeRules(keys="id"))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 3

@@ -13,8 +13,10 @@ Two plans give the same rows.
     within the session's threshold (the target is then not shuffled at all), and otherwise joins
     by shuffle with adaptive skew splitting, which a full outer join does not get.
 
-``auto`` takes ``lookup`` for a source within the broadcast threshold and for a source that is
-not de-duplicated (whose keys may be skewed), else ``full_outer``.
+``auto`` takes ``lookup`` for a source within the broadcast threshold under a target at least
+:data:`MUCH_LARGER` times that, and for a source that is not de-duplicated (whose keys may be
+skewed), else ``full_outer``: ``lookup`` prepares the source once per branch, which only a large
+target pays back.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ from .latest import dedupe_source
 from .predicates import newer_than
 
 STRATEGIES = ("auto", "full_outer", "lookup")
+MUCH_LARGER = 10
 _HAS_T, _HAS_S, _DELETE = "__in_target", "__in_source", "__is_delete"
 
 Assignments = Mapping[str, "Column | str"]
@@ -217,8 +220,8 @@ class _Merge:
     def result(self) -> DataFrame:
         strategy = self.rules.strategy
         if strategy == "auto":
-            small = not self.rules.dedupe or fits_broadcast(self.source)
-            strategy = "lookup" if small else "full_outer"
+            small = fits_broadcast(self.source) and not fits_broadcast(self.target, MUCH_LARGER)
+            strategy = "lookup" if small or not self.rules.dedupe else "full_outer"
         return self._lookup() if strategy == "lookup" else self._full_outer()
 
     def _live_inserts(self, new: DataFrame) -> DataFrame:

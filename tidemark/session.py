@@ -63,11 +63,10 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when the estimate is within the session's own broadcast threshold."""
+def fits_broadcast(df: DataFrame, times: int = 1) -> bool:
+    """True when the estimate is within the session's own broadcast threshold (or a multiple of it)."""
     size = estimated_bytes(df)
     if size is None:
         return False
-    session = df.sparkSession
-    limit = session._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= size <= limit
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size <= limit * times

@@ -228,9 +228,9 @@ def merge_guarded(spark, sf):
 
 
 @query(merge_sql())
-def merge_guarded_full_outer(spark, sf):
-    """The plan taken when the source is too large to broadcast."""
-    return _merge(spark, sf, strategy="full_outer")
+def merge_guarded_lookup(spark, sf):
+    """The plan taken for a small source under a large target."""
+    return _merge(spark, sf, strategy="lookup")
 
 
 @query(merge_sql(guard="TRUE"))
