@@ -84,15 +84,17 @@ def upsert_stream(
     A batch that is delivered again is harmless: the published version carries the batch number,
     so a batch already published is skipped, and where the table has no versions the guard and
     the de-duplication make the merge idempotent. Late and repeated records need no watermark,
-    because the state is the table.
+    because the state is the table. Other sessions see a new version after ``REFRESH TABLE``.
     """
-    name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
+    name, owner = checkpoint.rstrip("/").rsplit("/", 1)[-1], changes.sparkSession
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if not partitions and _published(spark, table, name) >= batch_id:
             return
         merge_table(spark, table, batch, rules, partitions, version=f"{name}-{batch_id}")
+        # batches run in a session of their own; the starting session must see the new files too
+        owner.catalog.refreshTable(table)
 
     return _trigger(
         changes.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint), every).start()
