@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from ..operators.upsert import MergeRules, merge_upsert, merge_into_catalog, pre
 from ..schemas import DQ_RESULT
 from .staging import table_location
 
+LISTED_PARTITIONS = 2000
 #: Parquet with ZSTD level 3.
 TABLE_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3"}
 
@@ -88,34 +90,42 @@ def merge_whole(spark: SparkSession, table: str, source: DataFrame, rules: Merge
 def touched_partitions(target: DataFrame, source: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Target rows of the partitions the source has rows for.
 
-    The distinct partition values are far fewer than rows; the semi join lets Spark prune
-    partitions at run time before it reads them.
+    Partition values are table metadata, few against the rows: up to :data:`LISTED_PARTITIONS` of
+    them become plain partition filters, so that other folders are not even listed. The semi join
+    keeps the result exact for several columns and for longer lists.
     """
     wanted = source.select(*partitions).distinct()
-    condition = [target[p].eqNullSafe(wanted[p]) for p in partitions]
-    return target.join(wanted, condition, "left_semi")
+    listed = wanted.limit(LISTED_PARTITIONS + 1).collect()
+    pruned = target
+    if len(listed) <= LISTED_PARTITIONS:
+        for name in partitions:
+            values = {row[name] for row in listed}
+            condition = F.col(f"`{name}`").isin(*(v for v in values if v is not None))
+            pruned = pruned.filter(condition | F.col(f"`{name}`").isNull() if None in values else condition)
+    condition = [pruned[p].eqNullSafe(wanted[p]) for p in partitions]
+    return pruned.join(wanted, condition, "left_semi")
 
 
 def merge_partitions(spark: SparkSession, table: str, source: DataFrame, rules: MergeRules, partitions: Sequence[str]) -> None:
     """Merge into a partitioned table, replacing only the partitions the source touches.
 
     A row must stay in the partition of its key for good (for instance a creation date), and the
-    source must carry the partition columns.
+    source must carry the partition columns. Deletes are refused: a partition left without rows
+    would not be replaced.
     """
+    if rules.apply_deletes:
+        raise ValueError("apply_deletes needs a table without partitions or a catalog with row-level operations")
     target = spark.table(table)
-    typed = prepare_source(source, column_types(target), rules)
-    merged = merge_upsert(touched_partitions(target, typed, partitions), source, rules)
-    # dynamic overwrite stages new files first, so the table may be read while it is written
-    merged.select(*target.columns).repartition(*(F.col(p) for p in partitions), _spread(rules)).write.mode(
-        "overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    versions = prepare_source(source, column_types(target), replace(rules, dedupe=False))
+    merged = merge_upsert(touched_partitions(target, versions, partitions), source, rules)
+    # rebalance groups rows by partition, splits a partition that holds most of them over several
+    # writers and joins small ones; dynamic overwrite stages new files first, so the table may be
+    # read while it is written
+    merged.select(*target.columns).hint("rebalance", *partitions).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").insertInto(table)
     spark.catalog.refreshTable(table)
 
 
-def _spread(rules: MergeRules, files: int = 8):
-    """A few files per partition, so that a partition holding most rows is not written by one task."""
-    return F.pmod(F.xxhash64(*(F.col(f"`{k}`") for k in rules.keys)), F.lit(files))
-
-
 def supports_row_merge(spark: SparkSession, table: str) -> bool:
     """True for catalog tables that accept MERGE (none is on the class path of the tests)."""
     row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'").first()
