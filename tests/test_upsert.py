@@ -106,16 +106,24 @@ def test_deletes(spark, strategy):
 
 
 @pytest.mark.filterwarnings("ignore:columns not in")
-def test_undeduplicated_source(spark):
-    dup = stage(spark).filter("id in ('5', '2')")
-    out = merge_upsert(target(spark), dup, rules(dedupe=False))
-    assert [n for i, n in names(out) if i == 5] == ["insert", "insert older"]
+@pytest.mark.parametrize("strategy", ["auto", "full_outer", "lookup"])
+def test_undeduplicated_source(spark, strategy):
+    def run(source, **kw):
+        return merge_upsert(target(spark), source, rules(dedupe=False, strategy=strategy, **kw))
+
+    dup = stage(spark).filter("id in ('5', '2') or id is null")
+    out = names(run(dup.unionAll(dup.filter("id is null"))))
+    assert [n for i, n in out if i == 5] == ["insert", "insert older"]
+    assert [n for i, n in out if i is None] == ["null key", "null key", "tn"]
+    assert (2, "t2") in out and len(out) == 6 + 2 + 2
     clash = stage(spark).filter("id in ('1', '01')")
     with pytest.raises(PySparkException, match="two merge source rows"):
-        merge_upsert(target(spark), clash, rules(dedupe=False)).collect()
+        run(clash).collect()
     with pytest.raises(PySparkException, match="two merge source rows"):
-        merge_upsert(target(spark), clash, rules(dedupe=False)).count()
-    assert merge_upsert(target(spark), clash, rules(dedupe=False, on_duplicate="allow")).count() == 7
+        run(clash).count()
+    assert run(clash, on_duplicate="allow").count() == 7
+    once = stage(spark).filter("id in ('1', '4', '5') and name not like '%older'")
+    assert names(run(once)) == names(merge_upsert(target(spark), once, rules(strategy="full_outer")))
 
 
 def test_clear_errors(spark):

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import hour_text, ntz, trunc, wib_clock
 from ..functions.rules import check_id, count_gap, gap_status, larger_side
 from ..schemas import DQ_RESULT, DQ_RESULT_KEYS
+from ..session import stable
 from .columns import require_columns
 from .predicates import check_filter, time_of
 from .upsert import MergeRules, merge_upsert
@@ -173,7 +174,10 @@ def require_rows(df: DataFrame, fail_on_empty: bool) -> DataFrame:
 
 
 def upsert_results(stored: DataFrame, results: DataFrame, *, strategy: str = "auto") -> DataFrame:
-    """Replace stored rows of the same id, day and hour; a rerun of a day overwrites it."""
-    return merge_upsert(stored, results, MergeRules(
+    """Replace stored rows of the same id, day and hour; a rerun of a day overwrites it.
+
+    The results are checkpointed first: a few rows per hour that cost two scans to make.
+    """
+    return merge_upsert(stored, stable(results), MergeRules(
         keys=DQ_RESULT_KEYS, guard=None, op=None, dedupe=False, strategy=strategy))
 

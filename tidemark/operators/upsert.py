@@ -4,8 +4,10 @@ Two plans give the same rows.
 
 ``full_outer``
     One full outer join on the typed keys. Target and source are shuffled once each; a source
-    de-duplicated on the same keys keeps its partitioning, so it is not shuffled again. Target
-    rows with a null key cannot match and would all meet in one task: they go around the join.
+    de-duplicated on the same keys keeps its partitioning, so it is not shuffled again. Rows that
+    would pile up in one task go around the join: target rows with a null key, which cannot match,
+    and in a source that is not de-duplicated the null and the repeated keys, which either match
+    nothing or fail the merge.
 
 ``lookup``
     ``target LEFT JOIN source`` for the updates plus ``source ANTI JOIN`` the matched target keys
@@ -14,9 +16,9 @@ Two plans give the same rows.
     by shuffle with adaptive skew splitting, which a full outer join does not get.
 
 ``auto`` takes ``lookup`` for a source within the broadcast threshold under a target at least
-:data:`MUCH_LARGER` times that, and for a source that is not de-duplicated (whose keys may be
-skewed), else ``full_outer``: ``lookup`` prepares the source once per branch, which only a large
-target pays back.
+:data:`MUCH_LARGER` times that, since ``lookup`` prepares the source once per branch, which only a
+large target pays back. It also takes ``lookup`` for repeated keys it has to keep or cannot judge
+by key alone (``on_duplicate="allow"``, ``extra_on`` without de-duplication). Else ``full_outer``.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ from .predicates import newer_than
 
 STRATEGIES = ("auto", "full_outer", "lookup")
 MUCH_LARGER = 10
+_CLASH = "two merge source rows match one target row; use dedupe=True"
 _HAS_T, _HAS_S, _DELETE = "__in_target", "__in_source", "__is_delete"
 
 Assignments = Mapping[str, "Column | str"]
@@ -106,10 +109,14 @@ def _any_null(names: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, (F.col(f"`{n}`").isNull() for n in names))
 
 
-def _fail_when(df: DataFrame, condition: Column, message: str) -> DataFrame:
-    """Raise at run time on any row that meets the condition; sits in a filter so pruning keeps it."""
+def _fail_when(df: DataFrame, condition: Column, message: str, *, keep: bool = True) -> DataFrame:
+    """Raise at run time on any row that meets the condition; other rows stay if ``keep``.
+
+    The test sits in a filter, which column pruning keeps, and counts as non-deterministic, so
+    that the optimizer does not move it below a join to rows the join would have removed.
+    """
     boom = F.raise_error(F.lit(message)).cast("boolean")
-    return df.filter(F.when(condition, boom).otherwise(F.lit(True)))
+    return df.filter(F.when(condition & (F.spark_partition_id() >= 0), boom).otherwise(F.lit(keep)))
 
 
 def prepare_source(source: DataFrame, types: Mapping[str, T.DataType], rules: MergeRules) -> DataFrame:
@@ -221,9 +228,39 @@ class _Merge:
         strategy = self.rules.strategy
         if strategy == "auto":
             small = fits_broadcast(self.source) and not fits_broadcast(self.target, MUCH_LARGER)
-            strategy = "lookup" if small or not self.rules.dedupe else "full_outer"
+            strategy = "lookup" if small or not (self.rules.dedupe or self._repeats_split()) else "full_outer"
         return self._lookup() if strategy == "lookup" else self._full_outer()
 
+    def _repeats_split(self) -> bool:
+        """True when repeated source keys can be set apart by key alone."""
+        return not self.rules.dedupe and self.rules.on_duplicate == "error" and not self.rules.extra_on
+
+    def _key_match(self, left: str, right: str) -> Column:
+        return _all([_ref(left, k) == _ref(right, k) for k in self.rules.keys])
+
+    def _single_keys(self) -> tuple[DataFrame, list[DataFrame]]:
+        """Source rows whose key is not repeated, and the branches for the other rows.
+
+        Only keys are counted, with a partial aggregate before the shuffle. The set of repeated
+        keys is empty in a sound backfill; adaptive execution then drops the branches built on it.
+        """
+        keys = self.rules.keys
+        null_key = reduce(lambda a, b: a | b, (_ref("s", k).isNull() for k in keys))
+        keyed, unkeyed = self.source.filter(~null_key), self.source.filter(null_key)
+        repeated = (
+            keyed.groupBy(*(_ref("s", k).alias(k) for k in keys)).agg(F.count(F.lit(1)).alias("__rows"))
+            .filter(F.col("__rows") > 1).alias("r")
+        )
+        single = keyed.join(repeated, self._key_match("s", "r"), "left_anti")
+        others = keyed.join(repeated, self._key_match("s", "r"), "left_semi")
+        clash = repeated.join(self.target, self._key_match("r", self.target_name), "left_semi")
+        alarm = _fail_when(clash, F.col("__rows") > 1, _CLASH, keep=False)
+        return single.alias("s"), [
+            self._live_inserts(unkeyed), self._live_inserts(others.alias("s")), self._no_rows(alarm)]
+
+    def _no_rows(self, checked: DataFrame) -> DataFrame:
+        return checked.select(*(F.lit(None).cast(self.types[c.lower()]).alias(c) for c in self.columns))
+
     def _live_inserts(self, new: DataFrame) -> DataFrame:
         if self.rules.apply_deletes:
             new = new.filter(~_ref("s", _DELETE))
@@ -237,8 +274,9 @@ class _Merge:
             null_key = reduce(lambda a, b: a | b, (self.t(k).isNull() for k in nullable))
             aside = target.filter(null_key).select(*(self.t(c).alias(c) for c in self.columns))
             target = target.filter(~null_key)
+        source, branches = self._single_keys() if self._repeats_split() else (self.source, [])
         t = target.withColumn(_HAS_T, F.lit(True)).alias(self.target_name)
-        s = self.source.withColumn(_HAS_S, F.lit(True)).alias("s")
+        s = source.withColumn(_HAS_S, F.lit(True)).alias("s")
         has_t, has_s = self.t(_HAS_T).isNotNull(), _ref("s", _HAS_S).isNotNull()
         joined = t.join(s, self.condition, "full_outer")
         if self.rules.apply_deletes:
@@ -251,7 +289,7 @@ class _Merge:
             .otherwise(self.t(c)).alias(c)
             for c in self.columns
         ))
-        return merged if aside is None else merged.unionAll(aside)
+        return reduce(DataFrame.unionAll, [*([] if aside is None else [aside]), *branches], merged)
 
     def _lookup(self) -> DataFrame:
         rules, source = self.rules, self.source
@@ -281,11 +319,7 @@ class _Merge:
         """An always empty branch that fails the query when a target row has two source rows."""
         counted = updates.groupBy(*(_ref("s", k).alias(k) for k in self.rules.keys)).agg(
             F.count(F.lit(1)).alias("__rows"))
-        checked = _fail_when(
-            counted, F.col("__rows") > 1, "two merge source rows match one target row; use dedupe=True"
-        ).filter(F.col("__rows") > 1)
-        return checked.select(*(F.lit(None).cast(self.types[c.lower()]).alias(c) for c in self.columns))
-
+        return self._no_rows(_fail_when(counted, F.col("__rows") > 1, _CLASH, keep=False))
 
 
 def merge_into_catalog(spark: SparkSession, table: str, source: DataFrame, rules: MergeRules) -> None:

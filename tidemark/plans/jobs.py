@@ -6,7 +6,7 @@ import socket
 import uuid
 import warnings
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +17,7 @@ from ..operators.predicates import backfill_filter
 from ..operators.reconcile import CheckOutcome, CheckSpec, reconcile_many, require_rows
 from ..operators.upsert import MergeRules
 from ..schemas import DQ_RESULT_KEYS
+from ..session import stable
 from ..sinks.logs import run_status_row, status_frame, write_run_status
 from ..sinks.silver import merge_table
 from ..sinks.staging import drop_staging, write_staging
@@ -154,9 +155,10 @@ def reconcile(
     outcome = reconcile_many(
         spark, specs, read_source, lambda db, table: spark.table(f"`{db}`.`{table}`"), low, high,
         database_source=database_source, as_of=as_of, include_predicates=include_predicates)
-    require_rows(outcome.results, fail_on_empty)
-    merge_table(spark, result_table, outcome.results, MergeRules(keys=DQ_RESULT_KEYS, op=None, dedupe=False))
-    return outcome
+    # a few rows per hour from two large scans: keep them, so that the merge does not scan again
+    results = require_rows(stable(outcome.results), fail_on_empty)
+    merge_table(spark, result_table, results, MergeRules(keys=DQ_RESULT_KEYS, op=None, dedupe=False))
+    return replace(outcome, results=results)
 
 
 def run_jobs(

@@ -17,6 +17,7 @@ from tidemark.operators.reconcile import (
 from tidemark.operators.runlog import dq_run_report as dq_report
 from tidemark.operators.runlog import extract_runs, run_report, runs_from_documents
 from tidemark.operators.runlog import run_totals as totals
+from tidemark.session import stable
 
 from .inputs import (
     AS_OF, AS_OF_WIB_SQL, DB_SOURCE, WINDOW, dq_run_log, job_sla, order_runs, plain, run_log_lines, runs, silver_events, table,
@@ -351,7 +352,7 @@ limits AS (SELECT * FROM (VALUES ('success_rate', 0.30, 99.5, 98.0, TRUE), ('p95
 FROM measures m JOIN limits l ON l.kpi = m.kpi""", "runs", "job_sla", "silver_events", "dq_run_log"))
 def kpi_scorecard(spark, sf):
     """All graded measures per week."""
-    r, sla, results = runs(spark, sf), job_sla(spark, sf), _results(spark, sf)
+    r, sla, results = runs(spark, sf), job_sla(spark, sf), stable(_results(spark, sf))
     weekly = {
         "success_rate": kpi.success_rate(r).groupBy("week").agg(
             rate_pct(F.sum("success_count"), F.sum("total_jobs")).alias("value")),
