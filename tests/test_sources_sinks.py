@@ -166,6 +166,17 @@ def test_only_touched_partitions_are_replaced(spark, tmp_path):
         silver.merge_table(spark, "daily", some, MergeRules(keys="id", apply_deletes=True), partitions=["day"])
 
 
+def test_latest_view_follows_the_table(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType()), T.StructField("n", T.LongType())])
+    silver.create_table(spark, "log_rows", schema, str(tmp_path / "l"))
+    spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], schema).write.insertInto("log_rows")
+    silver.create_latest_view(spark, "log_latest", "log_rows", ["id"], ["n"])
+    assert sorted(tuple(r) for r in spark.table("log_latest").collect()) == [(1, "b", 2), (2, "c", 1)]
+    spark.createDataFrame([(2, "d", 5)], schema).write.insertInto("log_rows")
+    assert sorted(r.v for r in spark.table("log_latest").collect()) == ["b", "d"]
+    assert spark.table("log_latest")._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+
+
 def test_relations(spark):
     assert relations.table_name("t", "db", "cat") == "`cat`.`db`.`t`" and relations.table_name("a.b", "db") == "`a`.`b`"
     spark.range(3).createOrReplaceTempView("three")

@@ -65,6 +65,18 @@ def create_view(spark: SparkSession, name: str, df: DataFrame) -> None:
     df.createOrReplaceTempView(name)
 
 
+def create_latest_view(spark: SparkSession, name: str, table: str, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Catalog view of the newest row per key of a change table; it follows the table's later rows."""
+    def listed(columns: Sequence[str], suffix: str = "") -> str:
+        return ", ".join(f"`{c}`{suffix}" for c in columns)
+
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} AS SELECT {listed(spark.table(table).columns)} FROM (SELECT *, row_number() OVER ("
+        f"PARTITION BY {listed(keys)} ORDER BY {listed(order, ' DESC NULLS LAST')}) AS `__latest_rank` FROM {table}) "
+        "WHERE `__latest_rank` = 1"
+    )
+
+
 def _version_root(spark: SparkSession, table: str) -> str:
     return table_location(spark, table).rstrip("/").rsplit("/", 1)[0]
 
