@@ -86,6 +86,16 @@ def test_merge_options(spark, strategy):
         run(null_keys="error").collect()
 
 
+@pytest.mark.filterwarnings("ignore:columns not in")
+def test_order_by_columns_the_target_lacks(spark):
+    bare = spark.createDataFrame([(1, "old")], "id long, v string")
+    src = spark.createDataFrame([("1", "first", "", "2024-01-09", "5"), ("1", "second", "2024-01-10", "junk", "4"),
+                                 ("2", "low", "x", "y", "1"), ("2", "high", "x", "y", "2")],
+                                "id string, v string, updated_at string, created_at string, seq string")
+    out = merge_upsert(bare, src, MergeRules(keys="id", updated_col="updated_at", tiebreakers=["seq"]))
+    assert names(out.withColumnRenamed("v", "name")) == [(1, "second"), (2, "high")]
+
+
 def test_keys_only_target(spark):
     two = spark.createDataFrame([(1,), (2,)], "id long")
     src = spark.createDataFrame([("2",), ("3",)], "id string")

@@ -132,16 +132,17 @@ def prepare_source(source: DataFrame, types: Mapping[str, T.DataType], rules: Me
         require_columns(source, [rules.guard], "merge source (guard column)")
     if rules.op is not None:
         kept = [c for c in kept if c.lower() not in META_COLUMNS]
+    times = {x.lower() for x in (rules.created_col, rules.updated_col) if x}
     order_only = [] if not rules.dedupe else [
-        c for c in source.columns
-        if c.lower() in {x.lower() for x in (*rules.tiebreakers, rules.created_col or "", rules.updated_col or "")}
-        and c not in kept
+        c for c in source.columns if c not in kept and c.lower() in times | {x.lower() for x in rules.tiebreakers}
     ]
     picked = source.select(
         *(f"`{c}`" for c in kept + order_only),
         *([F.col(META_OP).eqNullSafe(rules.delete_op).alias(_DELETE)] if rules.apply_deletes else []),
     )
-    schema = T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+    unstored_times = [c for c in order_only if c.lower() in times and c.lower() not in types]
+    schema = T.StructType([T.StructField(name, kind) for name, kind in types.items()]
+                          + [T.StructField(c, T.TimestampNTZType()) for c in unstored_times])
     typed = cast_to_schema(picked, schema, numeric_mode=rules.numeric_mode, locale=rules.locale)
     if rules.null_keys == "drop":
         typed = typed.filter(~_any_null(rules.keys))
