@@ -96,12 +96,16 @@ def dotted_first_fraction(col: Column, target: T.DataType) -> Column:
     return F.coalesce(through_double(_swap_marks(text)), through_double(dot_decimal), _nonblank(digits).try_cast(target))
 
 
-def _dotted(col: Column, locale: str) -> Column:
-    """Text with the decimal mark as a dot and no thousands marks."""
+def _bare(col: Column) -> Column:
+    """Without blanks and a leading currency word."""
+    cleaned = F.regexp_replace(_drop(col, _BLANKS), _CURRENCY, "$1")
+    return F.when(col.rlike(_BARE), col).otherwise(cleaned)
+
+
+def _dot_marked(text: Column, locale: str) -> Column:
+    """Bare text with the decimal mark as a dot and no thousands marks."""
     if locale not in LOCALES:
         raise ValueError(f"locale must be one of {LOCALES}, got {locale!r}")
-    bare = F.regexp_replace(_drop(col, _BLANKS), _CURRENCY, "$1")
-    text = F.when(col.rlike(_BARE), col).otherwise(bare)
     dots, commas = (F.length(text) - F.length(F.replace(text, F.lit(mark))) for mark in ".,")
     ambiguous = text.rlike(_ONE_AMBIGUOUS_MARK)
     id_style, other_style = F.lit(locale == "id"), F.lit(locale != "id")
@@ -113,6 +117,16 @@ def _dotted(col: Column, locale: str) -> Column:
     return F.when(dot_is_decimal, F.replace(text, F.lit(","))).otherwise(_swap_marks(text))
 
 
+def _parsed(plain: Column, target: T.DataType) -> Column:
+    if isinstance(target, _INTEGERS):
+        whole = _try_chain(plain, T.DecimalType(38, 18), target)
+        return F.when(plain.rlike(_INTEGER), plain.try_cast(target)).otherwise(whole)
+    if isinstance(target, T.DecimalType):
+        # the decimal parser itself rejects what is not a number
+        return plain.try_cast(target)
+    return F.when(plain.rlike(_NUMBER), plain.try_cast(target))
+
+
 def number_text(col: Column, locale: str = "auto") -> Column:
     """Canonical ``-1234.56`` text of a number in either mark style; NULL when it is not one.
 
@@ -120,20 +134,13 @@ def number_text(col: Column, locale: str = "auto") -> Column:
     mark, and a single mark is the decimal mark unless the text has the ``1.234`` shape, which
     ``locale`` decides (``auto`` reads it as ``en``).
     """
-    plain = _dotted(col, locale)
+    plain = _dot_marked(_bare(col), locale)
     return F.when(plain.rlike(_NUMBER), plain)
 
 
 def exact_number(col: Column, target: T.DataType, locale: str = "auto") -> Column:
     """Exact mode: decimals round half up, integers truncate toward zero, overflow is NULL."""
-    if isinstance(target, _INTEGERS):
-        plain = _dotted(col, locale)
-        whole = _try_chain(plain, T.DecimalType(38, 18), target)
-        return F.when(plain.rlike(_INTEGER), plain.try_cast(target)).otherwise(whole)
-    if isinstance(target, T.DecimalType):
-        # the decimal parser itself rejects what is not a number
-        return _dotted(col, locale).try_cast(target)
-    return number_text(col, locale).try_cast(target)
+    return _parsed(_dot_marked(_bare(col), locale), target)
 
 
 # --- other kinds ---------------------------------------------------------------------------
@@ -212,6 +219,14 @@ def cast_to_schema(
     """Cast the columns of ``df`` that ``schema`` names (any case); others pass through."""
     wanted = {field.name.lower(): field.dataType for field in schema.fields}
     wanted.update({name.lower(): kind for name, kind in (overrides or {}).items()})
+    if numeric_mode == "exact":
+        # exact numbers in three projections: each step reads the one before by name, so that the
+        # generated code stays small and no step is computed twice
+        numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)
+                   and isinstance(wanted.get(f.name.lower()), _INTEGERS + _FRACTIONS)]
+        df = df.withColumns({n: _bare(F.col(f"`{n}`")) for n in numbers})
+        df = df.withColumns({n: _dot_marked(F.col(f"`{n}`"), locale) for n in numbers})
+        df = df.withColumns({n: _parsed(F.col(f"`{n}`"), wanted[n.lower()]) for n in numbers})
     return df.select(*(
         cast_column(
             F.col(f"`{field.name}`"), wanted.get(field.name.lower()),
