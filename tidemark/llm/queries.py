@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, near_dedup, packing, pseudonyms, toxicity
+from . import decontamination, license_scan, lm_scoring, near_dedup, packing, pseudonyms, syncmers, token_counts, tool_calls, toxicity
 from .common import fold_of, table
 
 QUERIES: dict = {}
@@ -21,6 +21,12 @@ def query(function):
     return function
 
 
+@query
+def op1_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), targets)
+
+
 @query
 def op2_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -37,6 +43,12 @@ def op4_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_license_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 @query
 def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -50,3 +62,43 @@ def op7_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.toxic_passages(docs, model)
     return found.select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), "score",
                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), F.size("passages").alias("n_passages"))
+
+
+#: The tools of the derived calls.
+TOOLS = {
+    "search": {"query": {"type": "string", "required": True}, "limit": {"type": "integer"}, "after": {"type": "string"}},
+    "translate": {"text": {"type": "string", "required": True}, "to": {"type": "string", "required": True, "enum": ["en", "de", "fr", "es"]}, "after": {"type": "string"}},
+}
+
+
+def derived_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tool calls and results made from all turns of ``conversations``, which have none: a user's turn becomes a call with the turn's text
+    as an argument, an assistant's turn the result of the call before it. A digest of the text decides the tool, which call is referred to (the one
+    before, the one after, none), and which arguments are wrong."""
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    bit = lambda i, of: F.substring(digest, i, 1).isin(list(of))
+    call = lambda turn: F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), turn.cast("string"))
+    after = F.when(bit(1, "01234567"), F.concat(F.lit("$ref:"), call(F.col("turn") - 2))).when(bit(1, "8"), F.concat(F.lit("$ref:"), call(F.col("turn") + 2)))
+    search = F.to_json(F.struct(F.when(~bit(2, "0"), F.col("text")).alias("query"), F.length("text").alias("limit"), after.alias("after")))
+    translate = F.to_json(F.struct(F.when(bit(2, "1"), "xx").otherwise("fr").alias("to"), F.col("text").alias("text"), after.alias("after")))
+    arguments = F.when(bit(3, "01234567"), search).otherwise(translate)
+    broken = F.when(bit(4, "0"), F.substr(arguments, F.lit(1), F.length(arguments) - 1)).otherwise(arguments)
+    name = F.when(bit(3, "01234567"), "search").otherwise("translate")
+    calls = turns.where("role = 'user'").select("conv_id", "turn", call(F.col("turn")).alias("call_id"), name.alias("name"), broken.alias("arguments"))
+    results = turns.where("role = 'assistant'").select("conv_id", "turn", call(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    return calls, results
+
+
+@query
+def op8_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.link_tool_calls(*derived_calls(table(spark, sf_dir, "conversations")), TOOLS)
+
+
+@query
+def op9_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edit_likeness(table(spark, sf_dir, "documents"))
