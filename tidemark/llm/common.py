@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
 
 
+def latin_class(kind: str) -> str:
+    """Characters below U+0250 whose general category starts with ``kind``, for the inside of a regex class."""
+    return "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c)).startswith(kind))
+
+
 def fold_of(doc_id: str, folds: int = 5) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id gets fold 1, so it is never held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds, F.lit(1))

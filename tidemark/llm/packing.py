@@ -22,18 +22,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import latin_class, whole_text
 
 #: Texts with other characters, or with a special token's brackets, take the library's own path as a whole.
 UNUSUAL = re.compile("[^\x00-\x1b\x20-ɏ]|<\\|")
-REMEMBER = 300_000
+REMEMBER = 800_000
 
 
 class _Ids:
     """Token ids of a text as little-endian unsigned 32-bit bytes.
 
     The vocabulary's pre-tokens never span white space and the normaliser works character by character below
-    U+0250, so words between white space are encoded once and remembered (a bounded number of them).
+    U+0250, so words between white space are cut into pre-tokens, and both are remembered (a bounded number of them).
+    Many unknown pre-tokens are encoded in one call, with blanks between; each ends at an id that closes a word.
     """
 
     def __init__(self, path: str):
@@ -41,22 +42,36 @@ class _Ids:
         from tokenizers import Tokenizer
 
         self.library, self.known = Tokenizer.from_file(path), {}
-
-    @staticmethod
-    def _pack(encoded) -> bytes:
-        return np.array(encoded.ids, "<u4").tobytes()
+        vocabulary = self.library.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        letter, number = latin_class("L"), latin_class("N")
+        self.piece = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{letter}{number}]+")
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, pieces: list[str], at_once: int = 500) -> None:
+        for at in range(0, len(pieces), 50 * at_once):
+            groups = [pieces[i:i + at_once] for i in range(at, min(at + 50 * at_once, len(pieces)), at_once)]
+            for group, encoded in zip(groups, self.library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+                ids = np.array(encoded.ids, "<u4")
+                data, ends = ids.tobytes(), (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
+                if len(ends) == len(group):
+                    self.known.update(zip(group, [data[i:j] for i, j in zip([0, *ends], ends, strict=False)], strict=True))
+                else:
+                    self.known.update((p, self._whole(p)) for p in group)
 
     def batch(self, texts: list[str]) -> list[bytes]:
         plain = [None if UNUSUAL.search(x) else x.lower().split() for x in texts]
-        if len(self.known) > REMEMBER:
-            self.known.clear()
         known = self.known
-        new = list({w for words in plain if words for w in words if w not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            known.update(zip(part, map(self._pack, self.library.encode_batch(part, add_special_tokens=False)), strict=True))
-        return [self._pack(self.library.encode(x, add_special_tokens=False)) if words is None else b"".join(map(known.__getitem__, words))
-                for x, words in zip(texts, plain, strict=True)]
+        if len(known) > REMEMBER:
+            known.clear()
+        new = {w for words in plain if words for w in words if w not in known}
+        mixed = {w: self.piece.findall(w) for w in new if not w.isalpha()}
+        self._learn(list({p for pieces in mixed.values() for p in pieces if p not in known} | {w for w in new if w not in mixed}))
+        known.update((w, b"".join(map(known.__getitem__, pieces))) for w, pieces in mixed.items() if len(pieces) > 1)
+        return [self._whole(x) if words is None else b"".join(map(known.__getitem__, words)) for x, words in zip(texts, plain, strict=True)]
 
 
 class _Packer:

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
@@ -21,21 +20,15 @@ from pyspark.sql import functions as F
 
 from tidemark.session import stable
 
-from .common import whole_text
+from .common import latin_class, whole_text
 
 FLUSH = 300_000
 LONGEST_HEAD = 64
-_PLAIN = range(0x250)
-
-
-def _class(*kinds: str) -> str:
-    """Characters below U+0250 whose general category starts with one of ``kinds``, for a regex class."""
-    return "".join(re.escape(chr(c)) for c in _PLAIN if unicodedata.category(chr(c)).startswith(kinds))
 
 
 def plain_pattern() -> re.Pattern:
     """The vocabulary's pre-token pattern for texts of characters below U+0250, with its classes written out."""
-    letter, number, space = _class("L"), _class("N"), "\t\n\x0b\x0c\r \x85\xa0"
+    letter, number, space = latin_class("L"), latin_class("N"), "\t\n\x0b\x0c\r \x85\xa0"
     return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
 
 
@@ -61,7 +54,7 @@ class _Pieces:
         return found, len(parts) - 1
 
     def count(self, tokens: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.library.encode_batch(tokens, add_special_tokens=False)]
+        return [len(e.ids) for e in self.library.encode_batch_fast(tokens, add_special_tokens=False)]
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
