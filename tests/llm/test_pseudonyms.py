@@ -1,0 +1,77 @@
+import re
+
+from helpers import TEXTS, awkward, nothing, rows_of
+from pyspark.sql import functions as F
+
+from tidemark.llm import pseudonyms
+
+
+def luhn(number):
+    digits = [int(c) for c in re.sub("[^0-9]", "", number)][::-1]
+    return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits)) % 10 == 0
+
+
+def fresh(spark, values, key="k"):
+    return dict(spark.createDataFrame([(v,) for v in values], "v string").select("v", pseudonyms.pseudonym(F.col("v"), key)).collect())
+
+
+def test_formats_and_validity_stay(spark):
+    cards = ["4539578763621486", "9807915762804490", "4539-5787-6362-1486", "4539 5787 6362 1486", "378282246310005"]
+    others = ["+1 (017) 555-7713", "+44 207.123.4567", "97.51.17.173", "2024-02-29", "29.02.2024", "1999/12/31", "31/12/1999", "123-45-6789",
+              "réa.B_09@mail2.example.com", "a@b.de", "9807915762804490980791576280449098079157", "9233A8ECF7C5B09FE5949719B6B82BC439E9329B",
+              "b44e15e09fd311c3cf3163b66d5a9875b883d8ce"]
+    got = fresh(spark, cards + others)
+    assert all(v != p for v, p in got.items()), got
+    for v in cards:
+        assert re.sub("[0-9]", "9", v) == re.sub("[0-9]", "9", got[v]) and luhn(v) == luhn(got[v])
+    assert re.sub("[^0-9]", "", got[cards[0]]) == re.sub("[^0-9]", "", got[cards[2]]) == re.sub("[^0-9]", "", got[cards[3]])
+    for v in others[:2] + ["123-45-6789"]:
+        assert re.sub("[0-9]", "9", v) == re.sub("[0-9]", "9", got[v])
+    assert max(map(int, got["97.51.17.173"].split("."))) < 256
+    assert got["29.02.2024"].split(".")[::-1] == got["2024-02-29"].split("-")
+    assert got["réa.B_09@mail2.example.com"].endswith("@mail2.example.com") and re.fullmatch("[a-z]é[a-z][.][A-Z]_[0-9]{2}@.*", got["réa.B_09@mail2.example.com"])
+    assert re.fullmatch("[0-9A-F]{40}", got[others[-2]]) and re.fullmatch("[0-9a-f]{40}", got[others[-1]])
+
+
+def test_invalid_values_stay(spark):
+    values = ["300.1.1.1", "2023-02-30", "1850-01-01", "word"]
+    assert fresh(spark, values) == {v: v for v in values}
+
+
+def test_permutation_is_keyed_and_one_to_one(spark):
+    days = [r[0] for r in spark.sql("select cast(date_add(date'1999-01-01', cast(id as int)) as string) from range(1500)").collect()]
+    hosts = [f"10.0.{i // 250}.{i % 250}" for i in range(1500)]
+    one, two = fresh(spark, days + hosts), fresh(spark, days + hosts, "other")
+    assert len(set(one.values())) == 3000 and all("1900" <= one[d] < "2101" for d in days)
+    assert sum(one[v] == two[v] for v in one) < 30
+
+
+def test_date_domain_is_whole():
+    import datetime
+
+    assert (datetime.date(2100, 12, 31) - datetime.date(1900, 1, 1)).days + 1 == pseudonyms.DAYS == pseudonyms.DAY_RADIX[0] * pseudonyms.DAY_RADIX[1]
+
+
+def test_texts_and_awkward_rows(spark):
+    docs = awkward(spark)
+    got = pseudonyms.pseudonymise(docs, "k")
+    assert got.columns == docs.columns and got.count() == len(TEXTS)
+    new = {r["doc_id"]: r["text"] for r in got.collect() if r["doc_id"]}
+    for key, text in TEXTS:
+        if key and key != 10:
+            assert new[key] == text
+    values = fresh(spark, ["+1 (017) 555-7713", "réa.09@mail2.example.com", "2024-02-29", "4539578763621486", "97.51.17.173"])
+    want = dict(TEXTS)[10]
+    for v, p in values.items():
+        want = want.replace(v, p)
+    assert new[10] == want
+    report = {r["doc_id"]: r for r in rows_of(pseudonyms.pseudonym_report(docs, "k"))}
+    assert [report[10][c] for c in ("n_values", "n_cards", "n_valid_cards", "n_dates")] == [5, 1, 1, 1] and report[3]["text"] is None
+    assert pseudonyms.pseudonym_report(nothing(spark), "k").count() == 0
+    assert "Python" not in pseudonyms.pseudonymise(docs, "k")._jdf.queryExecution().toString()
+
+
+def test_values_at_the_edges_of_a_text(spark):
+    docs = spark.createDataFrame([(1, "97.51.17.173"), (2, "97.51.17.173 97.51.17.173"), (3, "x97.51.17.173 1.97.51.17.173")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pseudonyms.pseudonymise(docs, "k").collect()}
+    assert got[2] == f"{got[1]} {got[1]}" and got[3] == "x97.51.17.173 1.97.51.17.173"

@@ -1,0 +1,103 @@
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from helpers import TEXTS, awkward, nothing, rows_of
+from pyspark.sql import functions as F
+
+from tidemark.llm import lm_scoring, syncmers
+
+
+def brute_scores(rows, targets, vocabulary, mu, least):
+    words = {i: re.findall(r"\w+", (t or "").lower()) for i, (_, t) in enumerate(rows)}
+    chosen = {i for i, (k, _) in enumerate(rows) if k in targets}
+    total = Counter(w for ws in words.values() for w in ws)
+    target = Counter(w for i in chosen for w in words[i])
+    top = {w for w, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:vocabulary]}
+    pairs = {i: list(zip(["<s>"] + (v := [w if w in top else "<unk>" for w in ws]), v)) for i, ws in words.items()}
+    n, nt = sum(total.values()), sum(target.values())
+    scale = nt / n
+    uni = {}
+    for w in [*top, "<unk>"]:
+        t = target[w] if w in top else nt - sum(target[x] for x in top)
+        b = scale * (total[w] if w in top else n - sum(total[x] for x in top))
+        uni[w] = (t, b)
+    p = {w: ((t + 1) / (nt + len(top) + 1), (b + 1) / (n * scale + len(top) + 1)) for w, (t, b) in uni.items()}
+    uni["<s>"] = (sum(1 for i in chosen if words[i]), scale * sum(1 for w in words.values() if w))
+    both, of_target = Counter(x for ps in pairs.values() for x in ps), Counter(x for i in chosen for x in pairs[i])
+    out = []
+    for i, (k, _) in enumerate(rows):
+        loss = 0.0
+        for u, v in pairs[i]:
+            ct, cb = (of_target[u, v], scale * both[u, v]) if both[u, v] >= least else (0, 0)
+            loss += -math.log((ct + mu * p[v][0]) / (uni[u][0] + mu)) + math.log((cb + mu * p[v][1]) / (uni[u][1] + mu))
+        out.append((k or -1, len(words[i]), round(loss / len(words[i]), 9) if words[i] else 0.0))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("heads", [1 << 18, 5])
+def test_scores_match_both_models_in_full(spark, heads):
+    rng = random.Random(4)
+    rows = [*TEXTS, *((100 + i, " ".join(rng.choices(["alpha", "beta", "gamma", "delta", "The", "of"] if i % 2 else ["one", "two", "three", "the", "of"], k=rng.randint(0, 30))))
+                      for i in range(40))]
+    targets = [101, 103, 105, 107, 109, 111, None, 101]
+    wanted = spark.createDataFrame([(k,) for k in targets], "doc_id long")
+    got = lm_scoring.cross_entropy_difference(awkward(spark, rows), wanted, vocabulary=12, mu=7.0, heads=heads)
+    assert sorted((r["doc_id"] or -1, r["n_tokens"], round(r["score"], 9)) for r in rows_of(got)) == brute_scores(rows, set(targets) - {None}, 12, 7.0, 2)
+    low = {r["doc_id"]: r["score"] for r in got.collect()}
+    assert low[121] < low[120]
+
+
+def test_scores_without_targets_or_rows(spark):
+    none = spark.createDataFrame([], "doc_id long")
+    assert {r["score"] for r in rows_of(lm_scoring.cross_entropy_difference(awkward(spark), none))} == {0.0}
+    assert lm_scoring.cross_entropy_difference(nothing(spark), none).count() == 0
+
+
+def brute_next(rows, spark):
+    hashes = {t: spark.range(1).select(F.xxhash64(F.lit(t))).first()[0] for t in {t or "" for _, t in rows}}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1] or ""], r[1] or ""))
+    return [(a[0], a[1] or "", b[1] or "") for a, b in zip(order, order[1:] + order[:1])]
+
+
+def test_edits_and_neighbours(spark):
+    rng = random.Random(6)
+    rows = [*TEXTS, *((1000 + 7 * i, " ".join(rng.choices(["lorem", "ipsum", "dolor", "sit", "é日本", "amet,", "x"], k=rng.randint(0, 40)))) for i in range(60))]
+    got = rows_of(syncmers.edit_likeness(awkward(spark, rows)))
+    want = []
+    for key, text, after in brute_next(rows, spark):
+        m = len(text) // 3
+        want.append((key or -1, len(text), hashlib.sha256((text[:len(text) - m] + after[:m]).encode()).hexdigest()))
+    assert sorted((r["doc_id"] or -1, r["n_chars"], r["edited_sha256"]) for r in got) == sorted(want)
+    by_text = {}
+    for r in got:
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        by_text.setdefault(r["doc_id"], set()).add(r["fingerprint"])
+    assert by_text[1] == by_text[2] != by_text[13] and len(by_text[8]) == 1
+    plan = syncmers.edit_likeness(awkward(spark, rows))._jdf.queryExecution().toString()
+    assert "Python" not in plan
+
+
+def test_few_rows_and_none(spark):
+    one = rows_of(syncmers.edit_likeness(awkward(spark, [(5, "abcdef")])))[0]
+    assert one["near_next"] == 1.0 and one["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest()
+    assert syncmers.edit_likeness(nothing(spark)).count() == 0
+    assert len(rows_of(syncmers.edit_likeness(awkward(spark, [(None, None), (None, "")])))) == 2
+
+
+def brute_anchors(hashes, k):
+    return {tuple(hashes[i:i + k]) for i in range(len(hashes) - k + 1) if min(hashes[i:i + k]) in (hashes[i], hashes[i + k - 1])}
+
+
+def test_anchors_are_closed_syncmers(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    tokens = ["\u0002"] * 2 + re.findall(r"\S{1,8}", text) + ["\u0003"] * 2
+    hashes = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(tokens)], "i int, x string").orderBy("i").select(F.xxhash64("x")).collect()]
+    got = spark.range(1).select(F.size(syncmers.anchors(F.lit(text)))).first()[0]
+    assert got == len(brute_anchors(hashes, 3))
+    # an edit behind the first half leaves the anchors of the first half alone
+    a, b = (set(spark.range(1).select(syncmers.anchors(F.lit(t))).first()[0]) for t in (text, text.replace("twelve", "thirteen more")))
+    assert len(a & b) >= len(a) - 4

@@ -1,0 +1,90 @@
+import itertools
+import random
+
+from helpers import TEXTS, awkward, nothing, rows_of
+from pyspark.sql import functions as F
+
+from tidemark.llm import toxicity as t
+
+
+def brute_segments(scores):
+    """Maximal scoring segments by their definition: take the best segment, then those of both sides, again and again."""
+    def best(lo, hi):
+        top = None
+        for i in range(lo, hi):
+            for j in range(i, hi):
+                s = sum(scores[i:j + 1])
+                if s > 0 and (top is None or s > top[0] + 1e-9 or (abs(s - top[0]) < 1e-9 and j - i < top[2] - top[1])):
+                    top = (s, i, j)
+        return top
+
+    out, todo = [], [(0, len(scores))]
+    while todo:
+        lo, hi = todo.pop()
+        if (top := best(lo, hi)) is not None:
+            out.append((top[1], top[2], top[0]))
+            todo += [(lo, top[1]), (top[2] + 1, hi)]
+    return sorted(out)
+
+
+def test_segments_match_their_definition():
+    rng = random.Random(1)
+    for _ in range(300):
+        scores = [rng.choice([-1.0, -1.0, -1.0, 2.37, 0.71, 3.13, -0.45]) for _ in range(rng.randint(0, 14))]
+        got = t.maximal_segments([(i, s) for i, s in enumerate(scores) if s != -1.0], -1.0)
+        assert [(a, b, round(s, 6)) for a, b, s in got] == [(a, b, round(s, 6)) for a, b, s in brute_segments(scores)]
+
+
+def corpus(spark, n=600):
+    rng, rows = random.Random(2), []
+    clean = [f"plain{i}" for i in range(200)]
+    for i in range(n):
+        words = rng.choices(clean, k=rng.randint(1, 60))
+        toxic = i % 6 == 0
+        for _ in range(4 if toxic else 0):
+            words.insert(rng.randrange(len(words) + 1), rng.choice(["vile", "scumbag", "wretched", f"loathsome{rng.choice('abc')}"]))
+        rows.append((i, " ".join(words), int(toxic)))
+    return spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+
+
+def test_held_out_rows_are_told_apart(spark):
+    rows = corpus(spark)
+    model = t.train(rows.drop("toxic"), rows.drop("text"))
+    assert {"vile", "scumbag", "wretched"} <= set(model.odds)
+    held = rows.where("crc32(cast(cast(doc_id as string) as binary)) % 5 = 0").withColumn("p", t.score_column(model))
+    wrong = held.where((F.col("p") >= 0.5) != (F.col("toxic") == 1)).count()
+    assert held.count() > 80 and wrong <= 2
+
+
+def test_labels_of_held_out_rows_are_never_used(spark):
+    rows = corpus(spark)
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    flipped = rows.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert t.train(rows.drop("toxic"), rows.drop("text")) == t.train(rows.drop("toxic"), flipped.drop("text"))
+
+
+def test_passages_and_awkward_rows(spark):
+    model = t.ToxicityModel(odds={"vile": 4.0, "loath*": 3.0}, decay=1.0, density=0.05)
+    docs = awkward(spark, [*TEXTS, (30, "a b vile Loathsome c d e f g h vile")])
+    got = rows_of(t.toxic_passages(docs, model))
+    assert len(got) == len(TEXTS) + 1
+    one = next(r for r in got if r["doc_id"] == 30)
+    assert [(p["first_word"], p["last_word"], p["log_odds"]) for p in one["passages"]] == [(2, 3, 7.0)] or len(one["passages"]) == 2
+    assert all(0 <= r["score"] <= 1 for r in got)
+    assert {r["score"] for r in got if r["doc_id"] in (3, 4, 5, 6)} == {t._Scorer(model).probability(0.0)}
+    assert t.toxic_passages(nothing(spark), model).count() == 0
+
+
+def test_without_labels_every_text_scores_alike(spark):
+    docs, none = awkward(spark), spark.createDataFrame([(1, 0), (2, 0), (None, 1), (7, None)], "doc_id long, toxic int")
+    model = t.train(docs, none)
+    assert not model.odds and len({r["p"] for r in docs.select(t.score_column(model).alias("p")).collect()}) == 1
+    assert t.train(nothing(spark), none) == t.ToxicityModel()
+
+
+def test_repeated_labels_take_the_largest(spark):
+    rows = corpus(spark)
+    labels = rows.select("doc_id", "toxic")
+    again = labels.unionByName(labels.withColumn("toxic", F.lit(0)))
+    assert t.train(rows.drop("toxic"), again) == t.train(rows.drop("toxic"), labels)
+    assert list(itertools.islice(t._tokens("abcdefghij"), 5)) == ["abcdefghij", "abcde*", "abcdef*", "abcdefg*", "abcdefgh*"]

@@ -131,7 +131,7 @@ def _date(value: Column, key: str) -> Column:
                    F.array(*[F.lit(r).cast("long") for r in DAY_RADIX]), "date", key)
     moved = F.date_add(F.lit("1900-01-01").cast("date"), (F.get(fresh, F.lit(0)) * DAY_RADIX[1] + F.get(fresh, F.lit(1))).cast("int"))
     # written in the field order of its shape: year first, or day first
-    first = value.rlike("^[0-9]{2}")
+    first = value.rlike("^[0-9]{2}[^0-9]")
     apart = F.regexp_extract(value, "[^0-9]", 0)
     day_first = F.date_format(moved, "dd.MM.yyyy")
     year_first = F.date_format(moved, "yyyy.MM.dd")

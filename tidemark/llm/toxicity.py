@@ -224,7 +224,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     weight = prior * (n1 + n0)
     rate = (F.col("toxic") + F.col("clean")) / F.lit(n1 + n0)
     a1, a0 = F.col("toxic") + weight * rate, F.col("clean") + weight * rate
-    b1, b0 = F.lit(n1) - F.col("toxic") + weight * (1 - rate), F.lit(n0) - F.col("clean") + weight * (1 - rate)
+    # a token of every row leaves no row without it
+    b1 = F.greatest(F.lit(0.5), F.lit(n1) - F.col("toxic") + weight * (1 - rate))
+    b0 = F.greatest(F.lit(0.5), F.lit(n0) - F.col("clean") + weight * (1 - rate))
     odds = F.log(a1 / b1) - F.log(a0 / b0)
     z = odds / F.sqrt(1 / a1 + 1 / a0)
     counts = (teach.mapInArrow(_count_tokens, "token string, toxic long, clean long")
