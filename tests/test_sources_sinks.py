@@ -159,9 +159,13 @@ def test_only_touched_partitions_are_replaced(spark, tmp_path):
     got = sorted(tuple(r) for r in spark.table("daily").collect())
     assert got == sorted([(i, "new" if i == 0 else "old", f"d{i % 3}") for i in range(9)] + [(30, "new", "d0"), (31, "new", "d9")])
     assert files and files == {p: p.stat().st_mtime_ns for p in (tmp_path / "d").rglob("day=d[12]/*.parquet")}
-    some = spark.createDataFrame([("d0",)], "day string")
+    some = spark.createDataFrame([(f"d{i}",) for i in range(2500)], "day string")
     plan = silver.touched_partitions(spark.table("daily"), some, ["day"])._jdf.queryExecution().executedPlan().toString()
-    assert "day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "dynamicpruning" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    with pytest.raises(ValueError, match="another partition"):
+        silver.merge_table(spark, "daily", spark.createDataFrame([("1", "new", "d2")], "id string, v string, day string"), MergeRules(keys="id"))
+    with pytest.raises(ValueError, match="partitioned by"):
+        silver.merge_table(spark, "daily", some, MergeRules(keys="id"), partitions=["v"])
     with pytest.raises(ValueError, match="apply_deletes"):
         silver.merge_table(spark, "daily", some, MergeRules(keys="id", apply_deletes=True), partitions=["day"])
 

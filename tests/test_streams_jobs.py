@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.upsert import MergeRules
 from tidemark.plans import jobs
+from tidemark.plans.jobs import REQUIRED_JOB_FIELDS, JobSpec
 from tidemark.operators.reconcile import CheckSpec
 from tidemark.sinks import silver
 from tidemark.sources.changes import json_value, read_change_files
@@ -48,15 +49,71 @@ def test_stream_upsert_survives_replay(spark, tmp_path):
 
     expected = [(1, "newest"), (2, "b"), (3, "c")]
     assert run("ck1") == expected
-    version = silver.current_version(spark, "live")
-    assert version.startswith("ck1-")
-    assert S._published(spark, "live", "ck1") == int(version.rsplit("-", 1)[1])
+    assert silver.stream_marks(spark, "live") == {S.stream_id(spark, str(tmp_path / "ck1")): 1}
     assert run("ck1") == expected            # nothing new
     assert run("ck2") == expected            # every file again, from another stream
     write_changes(spark, inbox, [(3, "C", "2024-02-01")])
     assert run("ck1")[-1] == (3, "C")
 
 
+def test_new_checkpoint_of_the_same_name_loses_no_batch(spark, tmp_path):
+    silver.create_table(spark, "renewed", TARGET, str(tmp_path / "t"))
+    rules = MergeRules(keys="id", guard="updated_at", op=None)
+    for number, rows in enumerate([[(1, "a", "2024-01-02")], [(2, "b", "2024-01-02")]]):
+        write_changes(spark, str(tmp_path / f"in{number}"), rows)
+        stream = read_change_files(spark, str(tmp_path / f"in{number}"), FLAT, files_per_batch=1)
+        S.upsert_stream(stream, "renewed", rules, str(tmp_path / f"ck{number}" / "users"), every=None).awaitTermination()
+    assert sorted(r.id for r in spark.table("renewed").collect()) == [1, 2]
+
+
+def test_replay_after_another_writer_adds_no_null_keys(spark, tmp_path):
+    silver.create_table(spark, "shared", TARGET, str(tmp_path / "t"))
+    rules = MergeRules(keys="id", guard="updated_at", op=None)
+    silver.merge_table(spark, "shared", spark.createDataFrame([(None, "n", "2024-01-01")], FLAT), rules, marks={"s": 4})
+    silver.merge_table(spark, "shared", spark.createDataFrame([(9, "job", "2024-01-01")], FLAT), rules)
+    assert silver.stream_marks(spark, "shared") == {"s": 4}
+
+
+def test_second_writer_on_one_version_is_refused_or_merges_again(spark, tmp_path):
+    silver.create_table(spark, "raced", TARGET, str(tmp_path / "t"))
+    rules, planned = MergeRules(keys="id", guard=None, op=None), silver.table_location(spark, "raced")
+    late = silver.merge_upsert(spark.table("raced"), spark.createDataFrame([(2, "late", "2024-01-01")], FLAT), rules)
+    silver.merge_table(spark, "raced", spark.createDataFrame([(1, "first", "2024-01-01")], FLAT), rules)
+    with pytest.raises(silver.TableMoved):
+        silver.publish_version(spark, "raced", late, planned_on=planned)
+    silver.merge_table(spark, "raced", spark.createDataFrame([(2, "late", "2024-01-01")], FLAT), rules)
+    assert sorted(r.id for r in spark.table("raced").collect()) == [1, 2]
+
+
+def test_streams_refuse_what_they_cannot_keep(spark, tmp_path):
+    silver.create_table(spark, "parted", TARGET, str(tmp_path / "t"), partitions=["v"])
+    write_changes(spark, str(tmp_path / "in"), [(1, "a", "2024-01-02")])
+    stream = read_change_files(spark, str(tmp_path / "in"), FLAT, files_per_batch=1)
+    with pytest.raises(ValueError, match="null_keys"):
+        S.upsert_stream(stream, "parted", MergeRules(keys="id", guard="updated_at", op=None), str(tmp_path / "ck"), every=None)
+    S.upsert_stream(stream, "parted", MergeRules(keys="id", guard="updated_at", op=None, null_keys="drop"), str(tmp_path / "ck"), every=None).awaitTermination()
+    assert spark.table("parted").count() == 1
+    with pytest.raises(ValueError, match="partitioned"):
+        silver.publish_version(spark, "parted", spark.table("parted"))
+
+
+def test_deletes_take_their_key_from_before_image_or_record_key(spark):
+    image = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType())])
+    envelope = T.StructType([T.StructField("before", image), T.StructField("after", image), T.StructField("op", T.StringType()), T.StructField("ts_ms", T.LongType())])
+    records = spark.createDataFrame([
+        ((1,), ({"id": 1, "v": "old"}, None, "d", 1)), ((2,), (None, None, "d", 2)), (None, (None, None, "d", 3)),
+        ((4,), ({"id": 4, "v": "old"}, {"id": 4, "v": None}, "u", 4)), ((5,), None)],
+        T.StructType([T.StructField("key", T.StructType([T.StructField("id", T.LongType())])), T.StructField("value", envelope)]))
+    got = sorted((r.id, r.v, r["__op"]) for r in S.flatten_changes(records, record_key="key", keys=["id"]).collect())
+    assert got == [(1, "old", "d"), (2, None, "d"), (4, None, "u")]
+
+
+def test_text_flags_of_a_job_row():
+    row = {n: "x" for n in REQUIRED_JOB_FIELDS} | {"dedupe_source": "false", "align_ddl": "no", "debug": "TRUE", "align_by": "compat", "unknown": "1"}
+    spec = JobSpec.from_row(row)
+    assert (spec.dedupe_source, spec.align_ddl, spec.debug, spec.align_by) == (False, False, True, "compat")
+
+
 def test_landing_folders(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("__ts_ms", T.TimestampNTZType())])
     spark.sql("select 1L id, timestamp_ntz'2024-01-01 05:10:00' __ts_ms union all select 2L, timestamp_ntz'2024-12-31 23:59:59'").coalesce(

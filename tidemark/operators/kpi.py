@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions.clock import seconds_between, to_wib, trunc
 from ..functions.rules import rate_pct, run_succeeded
 from ..schemas import KPI_THRESHOLD
-from ..session import stable
 
 # Scorecard weights and limits. Rates and the difference rate are percentages,
 # p95_runtime is the ratio to the job's target, mttr is minutes.
@@ -74,14 +73,11 @@ def runtime_p95(runs: DataFrame, sla: DataFrame, *, approximate: bool = False) -
 def recoveries(runs: DataFrame) -> DataFrame:
     """Every failed run with the end of the job's next successful run (by start, then run id).
 
-    One job may own most runs, so rows are range-partitioned by job and start and no task holds a
-    whole job: the next success is looked up inside each slice, and a failure with none left in
-    its slice takes the first success of the job's later slices from a small per-slice summary.
-    Windows run newest first, which needs only a growing frame.
+    One job may own most runs, so no task holds a whole job: the next success is looked up inside each
+    day of a job, and a failure with none left that day takes the first success of the job's later
+    days from a small summary of one row per job and day. Windows run newest first, which needs only a growing frame.
     """
-    rows = runs.select("job", "started_at", "run_id", "ended_at", _good().alias("__ok"))
-    sliced = stable(
-        rows.repartitionByRange("job", "started_at", "run_id").withColumn("__slice", F.spark_partition_id()))
+    sliced = runs.select("job", "started_at", "run_id", "ended_at", _good().alias("__ok"), F.to_date("started_at").alias("__slice"))
     ok_end = F.when(F.col("__ok"), F.col("ended_at"))
     later = Window.partitionBy("job", "__slice").orderBy(
         F.col("started_at").desc(), F.col("run_id").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -115,13 +111,17 @@ def mttr(runs: DataFrame, by: Sequence[str] = ("week", "job")) -> DataFrame:
 
 
 def on_time(runs: DataFrame, sla: DataFrame) -> DataFrame:
-    """Share of runs that end before the job's Jakarta cutoff on the day they start, per week and job."""
+    """Share of runs that end before the job's Jakarta cutoff on the day they start, per week and job.
+
+    A job without a cutoff is counted, with unknown (null) on-time figures.
+    """
     cutoff = F.concat(F.date_format(to_wib(F.col("started_at")), "yyyy-MM-dd "), F.col("cutoff_wib"))
     hit = to_wib(F.col("ended_at")) < cutoff.try_cast("timestamp_ntz")
-    joined = runs.join(sla.select("job", "cutoff_wib"), "job")
+    joined = runs.join(sla.select("job", "cutoff_wib"), "job", "left")
+    hits = F.when(F.count("cutoff_wib") > 0, F.count_if(hit))
     return joined.groupBy(week_of(F.col("started_at")).alias("week"), "job").agg(
-        F.count(F.lit(1)).alias("total_jobs"), F.count_if(hit).alias("on_time_count"),
-        rate_pct(F.count_if(hit), F.count(F.lit(1))).alias("on_time_pct"))
+        F.count(F.lit(1)).alias("total_jobs"), hits.alias("on_time_count"),
+        rate_pct(hits, F.count(F.lit(1))).alias("on_time_pct"))
 
 
 def freshness(runs: DataFrame) -> DataFrame:
@@ -151,13 +151,19 @@ def diff_rate(results: DataFrame, period: str = "week") -> DataFrame:
 
 
 def _scope_share(seen: DataFrame, scope: DataFrame, day: str, keys: Sequence[str], names: tuple[str, str, str]) -> DataFrame:
-    """Per day, how many scope members were seen; repeats collapse before the join."""
+    """Per day from the first to the last of ``seen``, how many scope members were seen; a day without any counts 0.
+
+    Repeats collapse before the join.
+    """
     members = scope.select(*keys).distinct()
     daily = seen.select(day, *keys).distinct().join(members, list(keys), "left_semi")
+    hits = daily.groupBy(day).agg(F.count(F.lit(1)).alias("__hit"))
     whole = members.agg(F.count(F.lit(1))).scalar()
+    span = seen.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).filter("lo is not null")
+    days = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias(day))
     hit, total, share = names
     return (
-        daily.groupBy(day).agg(F.count(F.lit(1)).alias(hit))
+        days.join(hits, day, "left").select(day, F.coalesce("__hit", F.lit(0)).alias(hit))
         .withColumn(total, whole)
         .withColumn(share, rate_pct(F.col(hit), F.col(total)))
     )
@@ -202,7 +208,7 @@ def thresholds(spark: SparkSession) -> DataFrame:
 def scorecard(measures: DataFrame, limits: DataFrame | None = None) -> DataFrame:
     """Grade each ``(period, kpi, value)`` green, amber or red and attach the KPI's weight.
 
-    An unknown value has no grade. There is no combined score: none is defined.
+    An unknown value and a KPI without limits have no grade. There is no combined score: none is defined.
     """
     limits = thresholds(measures.sparkSession) if limits is None else limits
     up, value = F.col("higher_is_better"), F.col("value")
@@ -210,6 +216,6 @@ def scorecard(measures: DataFrame, limits: DataFrame | None = None) -> DataFrame
     def within(limit: str) -> Column:
         return (up & (value >= F.col(limit))) | (~up & (value <= F.col(limit)))
 
-    grade = F.when(value.isNull(), F.lit(None)).when(within("green"), F.lit("green")).when(
+    grade = F.when(value.isNull() | up.isNull(), F.lit(None)).when(within("green"), F.lit("green")).when(
         within("amber"), F.lit("amber")).otherwise(F.lit("red"))
-    return measures.join(limits, "kpi").select("period", "kpi", "value", "weight", grade.alias("grade"))
+    return measures.join(limits, "kpi", "left").select("period", "kpi", "value", "weight", grade.alias("grade"))

@@ -7,12 +7,12 @@ the network; grid and counts are a few rows per hour whatever the data size.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clock import hour_text, ntz, trunc, wib_clock
@@ -28,7 +28,7 @@ SLOT, SOURCE_ROWS, SILVER_ROWS = "slot", "total_row_source", "total_row_silver"
 
 @dataclass(frozen=True)
 class CheckSpec:
-    """One source/silver pair to compare."""
+    """One source/silver pair to compare. The fields are those of the check list's rows."""
 
     id: str
     src_schema: str
@@ -50,7 +50,7 @@ class CheckSpec:
 
 @dataclass(frozen=True)
 class CheckOutcome:
-    """Results of the checks that could be planned, and the ones that could not."""
+    """Results of the good checks, and the ids and errors of the others."""
 
     results: DataFrame
     failures: DataFrame
@@ -106,6 +106,37 @@ def count_both(spec: CheckSpec, source: DataFrame, silver: DataFrame, low: datet
     return both.groupBy(SLOT).agg(F.sum(SOURCE_ROWS).alias(SOURCE_ROWS), F.sum(SILVER_ROWS).alias(SILVER_ROWS))
 
 
+def count_group(specs: Sequence[CheckSpec], source: DataFrame, silver: DataFrame, low: datetime, high: datetime) -> DataFrame:
+    """Counts of many checks of one table pair and time columns: one scan a side, one conditional count a check and side.
+
+    Columns: the hour, then ``__s0, __v0, __s1, ...`` in the order of ``specs``.
+    """
+    def side(df: DataFrame, ts: str, own: list[str], mark: str, other: str) -> DataFrame:
+        rows = check_filter(df, ts, low, high)
+        hit = [F.coalesce(F.expr(f"({p})"), F.lit(False)) if p.strip() else F.lit(True) for p in own]
+        return rows.select(trunc("hour", time_of(df, ts)).alias(SLOT), *(h.alias(f"{mark}{i}") for i, h in enumerate(hit)),
+                           *(F.lit(False).alias(f"{other}{i}") for i in range(len(own))))
+
+    first = specs[0]
+    both = side(source, first.src_ts, [c.src_pred for c in specs], "__s", "__v").unionByName(
+        side(silver, first.slv_ts, [c.slv_pred for c in specs], "__v", "__s"))
+    return both.groupBy(SLOT).agg(*(F.count_if(f"{m}{i}").alias(f"{m}{i}") for i in range(len(specs)) for m in ("__s", "__v")))
+
+
+def reconcile_group(specs: Sequence[CheckSpec], source: DataFrame, silver: DataFrame, low: datetime, high: datetime, **options) -> DataFrame:
+    """Result rows of checks that share their tables and time columns."""
+    include = options.pop("include_predicates", False)
+    counts = count_group(specs, source, silver, low, high)
+    names = [f"{m}{i}" for i in range(len(specs)) for m in ("__s", "__v")]
+    filled = fill_hours(hour_grid(source.sparkSession, low, high), counts, names)
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("check"), F.col(f"__s{i}").alias(SOURCE_ROWS), F.col(f"__v{i}").alias(SILVER_ROWS))
+                                for i in range(len(specs))]))
+    rows = filled.select(SLOT, pairs.alias("__p")).select(SLOT, "__p.*")
+    predicates = [F.element_at(F.array(*[F.lit(p) for p in own]), F.col("check") + 1)
+                  for own in ([c.src_pred for c in specs], [c.slv_pred for c in specs])] if include else []
+    return _result_rows(rows, specs[0], predicates, **options)
+
+
 def reconcile_check(
     spec: CheckSpec,
     source: DataFrame,
@@ -124,8 +155,12 @@ def reconcile_check(
     """
     grid = hour_grid(source.sparkSession, low, high)
     counts = fill_hours(grid, count_both(spec, source, silver, low, high), [SOURCE_ROWS, SILVER_ROWS])
+    extra = [F.lit(spec.src_pred), F.lit(spec.slv_pred)] if include_predicates else []
+    return _result_rows(counts, spec, extra, database_source=database_source, as_of=as_of)
+
+
+def _result_rows(counts: DataFrame, spec: CheckSpec, extra: Sequence[Column], *, database_source: str, as_of: datetime | None = None) -> DataFrame:
     slv, src, day = F.col(SILVER_ROWS), F.col(SOURCE_ROWS), F.col(SLOT).cast("date")
-    extra = (spec.src_pred, spec.slv_pred) if include_predicates else ()
     values = {
         "id": check_id(day, database_source, spec.slv_db, spec.slv_table, *extra),
         "database_source": F.lit(database_source),
@@ -152,21 +187,45 @@ def reconcile_many(
     high: datetime,
     **options,
 ) -> CheckOutcome:
-    """All checks as one plan; a check whose tables or columns do not resolve is set aside."""
-    frames: list[DataFrame] = []
+    """All checks as one plan; a check whose tables or columns do not resolve is set aside.
+
+    Checks of the same tables and time columns are counted together, so their number adds no scans.
+    """
+    groups: dict[tuple, list[CheckSpec]] = {}
     failures: list[tuple[str, str]] = []
     for spec in specs:
         try:
-            frames.append(reconcile_check(
-                spec, read_source(spec.src_schema, spec.src_table), read_silver(spec.slv_db, spec.slv_table),
-                low, high, **options))
+            # planned alone, so that one that does not resolve costs no other
+            reconcile_check(spec, read_source(spec.src_schema, spec.src_table), read_silver(spec.slv_db, spec.slv_table), low, high, **options)
+            groups.setdefault((spec.src_schema, spec.src_table, spec.slv_db, spec.slv_table, spec.src_ts, spec.slv_ts), []).append(spec)
         except (PySparkException, ValueError, KeyError) as problem:
             failures.append((spec.id, str(problem)))
+    frames = [reconcile_group(own, read_source(*key[:2]), read_silver(*key[2:4]), low, high, **options) for key, own in groups.items()]
     results = reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], DQ_RESULT)
     failed = spark.createDataFrame(failures, "check_id string, error string")
     return CheckOutcome(results, failed, tuple(check for check, _ in failures))
 
 
+def run_checks(spark: SparkSession, specs: Sequence[CheckSpec], *where, **options) -> CheckOutcome:
+    """:func:`reconcile_many`, run: a few rows per hour from large scans, kept in the shared folder.
+
+    When the common plan fails while it runs, the checks run one by one and only the broken ones are set aside.
+    """
+    whole = reconcile_many(spark, specs, *where, **options)
+    try:
+        return replace(whole, results=stable(whole.results))
+    except PySparkException:
+        pass
+    done, failures = [], [tuple(r) for r in whole.failures.collect()]
+    for spec in (s for s in specs if s.id not in whole.failed_ids):
+        try:
+            done.append(stable(reconcile_many(spark, [spec], *where, **options).results))
+        except PySparkException as problem:
+            failures.append((spec.id, str(problem)))
+    results = reduce(DataFrame.unionByName, done) if done else spark.createDataFrame([], DQ_RESULT)
+    return CheckOutcome(results, spark.createDataFrame(failures, "check_id string, error string"), tuple(c for c, _ in failures))
+
+
 def require_rows(df: DataFrame, fail_on_empty: bool) -> DataFrame:
     if fail_on_empty and df.isEmpty():
         raise ValueError("no check result to write")

@@ -6,24 +6,24 @@ import socket
 import uuid
 import warnings
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.casting import flag_is_set
 from ..functions.clock import naive_utc
 from ..operators.columns import align_columns, clean_keys, normalize_name, resolve_tiebreakers
 from ..operators.predicates import backfill_filter
-from ..operators.reconcile import CheckOutcome, CheckSpec, reconcile_many, require_rows
+from ..operators.reconcile import CheckOutcome, CheckSpec, run_checks, require_rows
 from ..operators.upsert import MergeRules
 from ..schemas import DQ_RESULT_KEYS
-from ..session import stable
 from ..sinks.logs import run_status_row, status_frame, write_run_status
 from ..sinks.silver import merge_table
 from ..sinks.staging import drop_staging, write_staging
 from ..sources.relations import table_columns
 
-#: Fields a job row must have; a row without one of them is skipped.
+# The fields a job row must have; a row without one of them is skipped.
 REQUIRED_JOB_FIELDS = (
     "job_name", "pg_schema", "pg_table", "pg_sql", "s3_staging_path", "staging_table", "prod_table",
     "pk_col", "updated_at_col",
@@ -44,6 +44,7 @@ class JobSpec:
     pk_col: str
     updated_at_col: str
     align_ddl: bool = True
+    align_by: str = "auto"
     debug: bool = False
     dedupe_source: bool = True
     dedupe_tiebreakers: str = "updated_at,id"
@@ -64,7 +65,11 @@ class JobSpec:
             if not str(row.get(name) or "").strip():
                 warnings.warn(f"job row skipped, no {name!r}: {dict(row)}", stacklevel=2)
                 return None
-        return cls(**{k: v for k, v in row.items() if v not in (None, "")})
+        known = {f.name: f for f in fields(cls)}
+        values = {k: v for k, v in row.items() if k in known and v not in (None, "")}
+        # flags come as text such as true, false, yes or 0
+        values |= {k: flag_is_set(v) for k, v in values.items() if known[k].type == "bool" and not isinstance(v, bool)}
+        return cls(**values)
 
     def rules(self, staged_columns: Sequence[str], as_of: datetime | None = None) -> MergeRules:
         keys = [normalize_name(k) for k in clean_keys(self.pk_col)]
@@ -87,7 +92,7 @@ def stage(spark: SparkSession, spec: JobSpec, extract: Extract, *, ddl_columns:
     frame = extract(spec)
     if spec.align_ddl:
         destination = table_columns(spark, spec.prod_table) if spark.catalog.tableExists(spec.prod_table) else ()
-        frame = align_columns(frame, ddl_columns, destination)
+        frame = align_columns(frame, ddl_columns, destination, by=spec.align_by)
     write_staging(frame, spec.s3_staging_path, table=spec.staging_table, partitions=spec.partitions,
                   mode=spec.write_mode, as_of=as_of)
     return table_columns(spark, spec.staging_table)
@@ -151,12 +156,11 @@ def reconcile(
     fail_on_empty: bool = False,
     include_predicates: bool = False,
 ) -> CheckOutcome:
-    """Run the checks, upsert their results; checks that cannot be planned are returned, not raised."""
-    outcome = reconcile_many(
+    """Run the checks, upsert their results; checks that cannot be planned or fail while running are returned, not raised."""
+    outcome = run_checks(
         spark, specs, read_source, lambda db, table: spark.table(f"`{db}`.`{table}`"), low, high,
         database_source=database_source, as_of=as_of, include_predicates=include_predicates)
-    # a few rows per hour from two large scans: keep them, so that the merge does not scan again
-    results = require_rows(stable(outcome.results), fail_on_empty)
+    results = require_rows(outcome.results, fail_on_empty)
     merge_table(spark, result_table, results, MergeRules(keys=DQ_RESULT_KEYS, op=None, dedupe=False))
     return replace(outcome, results=results)
 

@@ -1,28 +1,35 @@
 """Silver tables: creation and the ways a merge result is published.
 
 * a catalog with row-level operations takes the merge as ``MERGE INTO``;
-* a partitioned Parquet table is merged partition by partition: only partitions the source
-  touches are read and replaced;
+* a partitioned Parquet table (its partitions are read from the catalog) is merged partition by
+  partition: only partitions the source touches are read and replaced;
 * otherwise a fresh folder is written and the table is switched to it in one step. Readers of
   the old folder are not disturbed, and a lost executor or a failed job leaves the table as it was.
+  The whole table is rewritten, so large tables need partitions or a catalog with row-level operations.
+
+A version is published only on top of the version its plan has read: when another writer was
+faster, :class:`TableMoved` is raised and :func:`merge_table` plans the merge again.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.columns import column_types
 from ..operators.upsert import MergeRules, merge_upsert, merge_into_catalog, prepare_source
 from ..schemas import DQ_RESULT
+from ..session import stable
 from .staging import table_location
 
-LISTED_PARTITIONS = 2000
+#: How often a merge is planned again after another writer's version.
+ATTEMPTS = 5
 #: Parquet with ZSTD level 3.
 TABLE_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3"}
 
@@ -81,10 +88,47 @@ def _version_root(spark: SparkSession, table: str) -> str:
     return table_location(spark, table).rstrip("/").rsplit("/", 1)[0]
 
 
-def publish_version(spark: SparkSession, table: str, df: DataFrame, version: str | None = None) -> str:
-    """Write ``df`` as a new version of an unpartitioned table and switch the table to it."""
-    path = f"{_version_root(spark, table)}/version={version or uuid.uuid4().hex}"
+class TableMoved(RuntimeError):
+    """Another writer published a version after this one was planned."""
+
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _marks_path(spark: SparkSession, table: str, version: str) -> str:
+    return f"{_version_root(spark, table)}/streams/version={version}"
+
+
+def stream_marks(spark: SparkSession, table: str) -> dict[str, int]:
+    """The last batch of every stream that the table's current version holds."""
+    try:
+        rows = spark.read.schema("stream string, batch long").json(_marks_path(spark, table, current_version(spark, table)))
+        return {r["stream"]: r["batch"] for r in rows.collect()}  # one row a stream
+    except AnalysisException as problem:
+        if "PATH_NOT_FOUND" not in str(problem):
+            raise
+        return {}
+
+
+def publish_version(spark: SparkSession, table: str, df: DataFrame, version: str | None = None, *,
+                    planned_on: str | None = None, marks: Mapping[str, int] | None = None) -> str:
+    """Write ``df`` as a new version of an unpartitioned table and switch the table to it.
+
+    ``planned_on`` is the location the plan has read; the switch is refused when the table has moved
+    on. Stream marks of the version before are kept, ``marks`` are set: they lie beside the
+    version's folder and become valid with the switch.
+    """
+    if partition_columns(spark, table):
+        raise ValueError(f"{table} is partitioned: merge it by partitions, a new location would hide its rows")
+    version = version or uuid.uuid4().hex
+    path, kept = f"{_version_root(spark, table)}/version={version}", {**stream_marks(spark, table), **(marks or {})}
     df.write.mode("overwrite").options(**TABLE_OPTIONS).parquet(path)
+    if kept:
+        spark.createDataFrame(sorted(kept.items()), "stream string, batch long").coalesce(1).write.mode("overwrite").json(
+            _marks_path(spark, table, version))
+    if planned_on is not None and table_location(spark, table) != planned_on:
+        raise TableMoved(f"{table} is no longer at {planned_on}")
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)
     return path
@@ -94,41 +138,65 @@ def current_version(spark: SparkSession, table: str) -> str:
     return table_location(spark, table).rstrip("/").rsplit("version=", 1)[-1]
 
 
-def merge_whole(spark: SparkSession, table: str, source: DataFrame, rules: MergeRules, version: str | None = None) -> None:
+def merge_whole(spark: SparkSession, table: str, source: DataFrame, rules: MergeRules, version: str | None = None,
+                marks: Mapping[str, int] | None = None) -> None:
     """Merge into an unpartitioned table by publishing a new version."""
-    publish_version(spark, table, merge_upsert(spark.table(table), source, rules), version)
+    spark.catalog.refreshTable(table)
+    planned_on = table_location(spark, table)
+    publish_version(spark, table, merge_upsert(spark.table(table), source, rules), version, planned_on=planned_on, marks=marks)
 
 
 def touched_partitions(target: DataFrame, source: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Target rows of the partitions the source has rows for.
 
-    Partition values are table metadata, few against the rows: up to :data:`LISTED_PARTITIONS` of
-    them become plain partition filters, so that other folders are not even listed. The semi join
-    keeps the result exact for several columns and for longer lists.
+    The source's partition values are joined to the table's: Spark's dynamic partition pruning makes
+    them a partition filter at run time, however many there are. They are broadcast: there are as
+    many as partitions are merged at once, and each of those is a folder to be written anyway.
     """
+    def text(df: DataFrame, name: str) -> Column:
+        # nulls become a value, since only plain equality is pruned by
+        return F.coalesce(df[name].cast("string"), F.lit("\u0000null"))
+
     wanted = source.select(*partitions).distinct()
-    listed = wanted.limit(LISTED_PARTITIONS + 1).collect()
-    pruned = target
-    if len(listed) <= LISTED_PARTITIONS:
-        for name in partitions:
-            values = {row[name] for row in listed}
-            condition = F.col(f"`{name}`").isin(*(v for v in values if v is not None))
-            pruned = pruned.filter(condition | F.col(f"`{name}`").isNull() if None in values else condition)
-    condition = [pruned[p].eqNullSafe(wanted[p]) for p in partitions]
-    return pruned.join(wanted, condition, "left_semi")
-
-
-def merge_partitions(spark: SparkSession, table: str, source: DataFrame, rules: MergeRules, partitions: Sequence[str]) -> None:
+    # true for every row; as a filter it tells the optimizer that pruning pays
+    wanted = wanted.filter(F.length(text(wanted, partitions[0])) >= 0)
+    condition = [text(target, p) == text(wanted, p) for p in partitions]
+    return target.join(F.broadcast(wanted), condition, "left_semi")
+
+
+def require_home_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], partitions: Sequence[str]) -> None:
+    """Fail when a source key stands in the table under another partition value.
+
+    Merging it would leave the key in two partitions. Reads the key columns of the whole table.
+    """
+    known = target.select(*keys, *(F.col(f"`{p}`").alias(f"__at_{i}") for i, p in enumerate(partitions)))
+    moved = F.lit(False)
+    for i, p in enumerate(partitions):
+        moved = moved | ~F.col(f"`{p}`").eqNullSafe(F.col(f"__at_{i}"))
+    wrong = source.select(*keys, *partitions).distinct().join(known, list(keys)).filter(moved)
+    found = wrong.select(*keys).take(3)
+    if found:
+        raise ValueError(f"keys stored in another partition than the source says: {[tuple(r) for r in found]}")
+
+
+def merge_partitions(spark: SparkSession, table: str, source: DataFrame, rules: MergeRules,
+                     partitions: Sequence[str] | None = None, *, check_keys: bool = True) -> None:
     """Merge into a partitioned table, replacing only the partitions the source touches.
 
-    A row must stay in the partition of its key for good (for instance a creation date), and the
-    source must carry the partition columns. Deletes are refused: a partition left without rows
-    would not be replaced.
+    The source must carry the partition columns, and a row must stay in the partition of its key for
+    good (for instance a creation date): a key found in another partition fails the merge.
+    ``check_keys=False`` leaves that test out, where the partition is computed from the key. The
+    source is checkpointed first, so that all steps see the same rows. Deletes are refused: a
+    partition left without rows would not be replaced.
     """
     if rules.apply_deletes:
         raise ValueError("apply_deletes needs a table without partitions or a catalog with row-level operations")
     target = spark.table(table)
+    partitions = list(partitions or partition_columns(spark, table))
+    source = stable(source)
     versions = prepare_source(source, column_types(target), replace(rules, dedupe=False))
+    if check_keys:
+        require_home_partitions(target, versions, rules.keys, partitions)
     merged = merge_upsert(touched_partitions(target, versions, partitions), source, rules)
     # rebalance groups rows by partition, splits a partition that holds most of them over several
     # writers and joins small ones; dynamic overwrite stages new files first, so the table may be
@@ -145,11 +213,26 @@ def supports_row_merge(spark: SparkSession, table: str) -> bool:
 
 
 def merge_table(spark: SparkSession, table: str, source: DataFrame, rules: MergeRules,
-                partitions: Sequence[str] = (), version: str | None = None) -> None:
-    """Merge ``source`` into ``table`` by the way its storage allows."""
+                partitions: Sequence[str] = (), version: str | None = None, *,
+                marks: Mapping[str, int] | None = None) -> None:
+    """Merge ``source`` into ``table`` by the way its storage allows.
+
+    The catalog says whether the table is partitioned; ``partitions``, when given, must agree.
+    """
     if supports_row_merge(spark, table):
         merge_into_catalog(spark, table, source, rules)
-    elif partitions:
-        merge_partitions(spark, table, source, rules, partitions)
-    else:
-        merge_whole(spark, table, source, rules, version)
+        return
+    stored = partition_columns(spark, table)
+    if partitions and set(partitions) != set(stored):
+        raise ValueError(f"{table} is partitioned by {stored}, not by {list(partitions)}")
+    if stored:
+        merge_partitions(spark, table, source, rules, stored)
+        return
+    for attempt in range(ATTEMPTS):
+        try:
+            # a second attempt needs a folder of its own
+            merge_whole(spark, table, source, rules, version if attempt == 0 else None, marks)
+            return
+        except TableMoved:
+            if attempt == ATTEMPTS - 1:
+                raise

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -62,10 +63,12 @@ def write_staging(
 
 
 def register(spark: SparkSession, table: str, path: str, schema: T.StructType, partitions: Sequence[str] = ()) -> None:
-    """Point an external table at ``path``; a changed schema replaces the table entry."""
+    """Point an external table at ``path``; a changed schema, path or partitioning replaces the table entry (its files stay)."""
     if spark.catalog.tableExists(table):
         have = {f.name: f.dataType for f in spark.table(table).schema.fields}
-        if have != {f.name: f.dataType for f in schema.fields}:
+        columns = spark.catalog.listColumns(table)
+        if (have != {f.name: f.dataType for f in schema.fields} or _plain_path(table_location(spark, table)) != _plain_path(path)
+                or {c.name for c in columns if c.isPartition} != set(partitions)):
             spark.sql(f"DROP TABLE {table}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
@@ -75,6 +78,11 @@ def register(spark: SparkSession, table: str, path: str, schema: T.StructType, p
     spark.catalog.refreshTable(table)
 
 
+def _plain_path(path: str) -> str:
+    """A location without the local scheme, as the catalog and the caller may write it differently."""
+    return re.sub("^file:/+", "/", path).rstrip("/")
+
+
 def read_staging(spark: SparkSession, path: str) -> DataFrame:
     """Staging files; later files may have more columns."""
     return spark.read.option("mergeSchema", True).parquet(path)

@@ -13,10 +13,13 @@ from ..functions.casting import decimal_text, micros_time, millis_time
 from ..functions.clock import trunc
 from ..operators.upsert import MergeRules
 from ..schemas import META_OP, META_TS
-from ..sinks.silver import current_version, merge_table
+from ..session import estimated_bytes
+from ..sinks.silver import merge_table, partition_columns, stream_marks, supports_row_merge
 from ..sources.partitioned import HOUR_COLUMNS
 
 LAND_EVERY, UPSERT_EVERY = "5 minutes", "15 minutes"
+#: Largest unpartitioned table that a stream may rewrite with every batch.
+REWRITE_LIMIT = 64 << 30
 
 
 def drop_tombstones(records: DataFrame, value: str = "value") -> DataFrame:
@@ -24,18 +27,32 @@ def drop_tombstones(records: DataFrame, value: str = "value") -> DataFrame:
     return records.filter(F.col(value).isNotNull())
 
 
-def flatten_changes(records: DataFrame, *, envelope: str = "value", image: str = "after",
-                    op: str = "op", ts_ms: str = "ts_ms") -> DataFrame:
+def flatten_changes(records: DataFrame, *, envelope: str = "value", image: str = "after", before: str = "before",
+                    record_key: str | None = None, keys: Sequence[str] = (), op: str = "op", ts_ms: str = "ts_ms") -> DataFrame:
     """Envelope struct to its after-image columns plus ``__op`` and ``__ts_ms``.
 
-    A delete has no after-image: its columns are null but the record is kept.
+    A delete has no after-image: its columns come from the before-image, where the envelope has one,
+    and the ``keys`` that are still null from the struct column ``record_key``. With ``keys`` given, a
+    record without any key value is dropped: it names no row.
     """
-    fields = records.schema[envelope].dataType[image].dataType.names
-    return drop_tombstones(records, envelope).select(
-        *(F.col(f"{envelope}.{image}.`{n}`").alias(n) for n in fields),
+    kind = records.schema[envelope].dataType
+    fields, images = kind[image].dataType.names, [image]
+    if before in kind.names:
+        images.append(before)
+    columns = {n: [F.col(f"{envelope}.{i}.`{n}`") for i in images if n in kind[i].dataType.names] for n in fields}
+    if record_key is not None:
+        for n in keys:
+            columns[n].append(F.col(f"{record_key}.`{n}`"))
+    # an update that sets a column to null keeps it: later images count only without an after-image
+    there = F.col(f"{envelope}.{image}").isNotNull()
+    values = {n: F.when(there, found[0]).otherwise(F.coalesce(*found[1:])) if len(found) > 1 else found[0] for n, found in columns.items()}
+    values |= {n: F.coalesce(*columns[n]) for n in keys}
+    flat = drop_tombstones(records, envelope).select(
+        *(values[n].alias(n) for n in fields),
         F.col(f"{envelope}.{op}").alias(META_OP),
         millis_time(F.col(f"{envelope}.{ts_ms}")).alias(META_TS),
     )
+    return flat.dropna("all", subset=list(keys)) if keys else flat
 
 
 def decode_changes(changes: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
@@ -50,10 +67,9 @@ def decode_changes(changes: DataFrame, types: Mapping[str, T.DataType]) -> DataF
 
 
 def with_hour_folders(df: DataFrame, ts: str = META_TS) -> DataFrame:
-    """``yyyy, mm, dd, hh`` of the change time."""
+    """``yyyy, mm, dd, hh`` of the change time, as text with leading zeros, as hour scans expect them."""
     moment = F.col(f"`{ts}`")
-    parts = (F.year(moment), F.month(moment), F.dayofmonth(moment), F.hour(moment))
-    return df.withColumns(dict(zip(HOUR_COLUMNS, parts)))
+    return df.withColumns({name: F.date_format(moment, part) for name, part in zip(HOUR_COLUMNS, ("yyyy", "MM", "dd", "HH"))})
 
 
 def _trigger(writer, every: str | None):
@@ -78,21 +94,38 @@ def upsert_stream(
     *,
     partitions: Sequence[str] = (),
     every: str | None = UPSERT_EVERY,
+    rewrite_limit: int = REWRITE_LIMIT,
 ) -> StreamingQuery:
     """Merge every micro-batch into a silver table.
 
-    A batch that is delivered again is harmless: the published version carries the batch number,
-    so a batch already published is skipped, and where the table has no versions the guard and
-    the de-duplication make the merge idempotent. Late and repeated records need no watermark,
-    because the state is the table. Other sessions see a new version after ``REFRESH TABLE``.
+    A batch that is delivered again is harmless. An unpartitioned table keeps the last batch of every
+    stream with each version, whoever wrote it, and a batch already published is skipped; a stream is
+    known by the id that Spark keeps in its checkpoint, so a new checkpoint is a new stream. A
+    partitioned table has no such mark: there the guard and the de-duplication make a second merge
+    change nothing, except for rows with null keys, which are therefore refused unless ``null_keys``
+    drops them or fails. Late and repeated records need no watermark, because the state is the
+    table. Other sessions see a new version after ``REFRESH TABLE``.
+
+    Every batch rewrites an unpartitioned table. Beyond ``rewrite_limit`` bytes (Catalyst's
+    estimate) that is refused: partition the table, or raise the limit knowingly.
     """
-    name, owner = checkpoint.rstrip("/").rsplit("/", 1)[-1], changes.sparkSession
+    owner = changes.sparkSession
+    parts = partition_columns(owner, table)
+    if parts and rules.null_keys == "insert":
+        raise ValueError("a stream into a partitioned table needs null_keys='drop' or 'error'")
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if not partitions and _published(spark, table, name) >= batch_id:
-            return
-        merge_table(spark, table, batch, rules, partitions, version=f"{name}-{batch_id}")
+        if parts or supports_row_merge(spark, table):
+            merge_table(spark, table, batch, rules, partitions)
+        else:
+            stream = stream_id(spark, checkpoint)
+            if stream_marks(spark, table).get(stream, -1) >= batch_id:
+                return
+            size = estimated_bytes(spark.table(table))
+            if size is not None and size > rewrite_limit:
+                raise ValueError(f"{table} has about {size} bytes and each batch would rewrite it: partition it or raise rewrite_limit")
+            merge_table(spark, table, batch, rules, partitions, marks={stream: batch_id})
         # batches run in a session of their own; the starting session must see the new files too
         owner.catalog.refreshTable(table)
 
@@ -100,14 +133,9 @@ def upsert_stream(
         changes.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint), every).start()
 
 
-def _published(spark: SparkSession, table: str, name: str) -> int:
-    """Last batch of this stream that the table shows, -1 for none."""
-    try:
-        version = current_version(spark, table)
-    except ValueError:
-        return -1
-    stream, _, batch = version.rpartition("-")
-    return int(batch) if stream == name and batch.isdigit() else -1
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the stream when it first used this checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
 def hourly_stream_counts(events: DataFrame, ts: str, *, lateness: str = "2 hours 30 minutes") -> DataFrame:

@@ -138,14 +138,17 @@ def status_json_roundtrip(spark, sf):
 
 # --- tables ------------------------------------------------------------------------------------
 
-def silver_table(spark: SparkSession, frame: DataFrame, label: str) -> str:
-    """A catalog table holding ``frame`` as its first version."""
+def silver_table(spark: SparkSession, frame: DataFrame, label: str, partitions: tuple[str, ...] = ()) -> str:
+    """A catalog table holding ``frame``: as its first version, or in partitions."""
     home, database = scratch_path(spark, label), _unique("tidemark")
     silver_sinks.ensure_database(spark, database, home)
     silver_sinks.assert_database(spark, database)
     name = f"{database}.{label}"
-    silver_sinks.create_table(spark, name, frame.schema, f"{home}/{label}")
-    silver_sinks.publish_version(spark, name, frame)
+    silver_sinks.create_table(spark, name, frame.schema, f"{home}/{label}", partitions=partitions)
+    if partitions:
+        spread(frame, *partitions).select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    else:
+        silver_sinks.publish_version(spark, name, frame)
     return name
 
 
@@ -182,31 +185,38 @@ _STATE_SQL = """SELECT id, event_type, CAST(amount AS DOUBLE) AS amount, __op, _
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY __ts_ms DESC, event_id DESC) = 1"""
 CHANGE = T.StructType([T.StructField("id", T.LongType()), T.StructField("event_type", T.StringType()),
                        T.StructField("amount", T.StringType()), T.StructField("event_id", T.LongType())])
-ENVELOPE = T.StructType([T.StructField("after", CHANGE), T.StructField("op", T.StringType()), T.StructField("ts_ms", T.LongType())])
-TOPIC = T.StructType([T.StructField("table", T.StringType()), T.StructField("value", T.StringType())])
+ENVELOPE = T.StructType([T.StructField("before", CHANGE), T.StructField("after", CHANGE), T.StructField("op", T.StringType()),
+                         T.StructField("ts_ms", T.LongType())])
+RECORD_KEY = T.StructType([T.StructField("id", T.LongType())])
+TOPIC = T.StructType([T.StructField("table", T.StringType()), T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 
 
 def _typed(changes: DataFrame) -> DataFrame:
     return stream.decode_changes(changes, {"amount": T.DecimalType(12, 2)})
 
 
+def _enveloped(topic: DataFrame) -> DataFrame:
+    return topic.filter(F.col("table") == "public.users").withColumns(
+        {"key": json_value(F.col("key"), RECORD_KEY), "value": json_value(F.col("value"), ENVELOPE)})
+
+
 def topic_files(spark: SparkSession, sf: str, *, in_order: bool = False) -> str:
-    """The change log as topic files: JSON envelopes, and a tombstone after each delete."""
+    """The change log as topic files: keyed JSON envelopes, deletes with a before-image only, and a tombstone after each."""
     path = scratch_path(spark, "topic")
     c = cdc_changes(spark, sf)
-    envelope = F.to_json(F.struct(F.struct("id", "event_type", "amount", "event_id").alias("after"), F.col("__op").alias("op"),
+    image, gone = F.struct("id", "event_type", "amount", "event_id"), F.col("__op") == "d"
+    envelope = F.to_json(F.struct(F.when(gone, image).alias("before"), F.when(~gone, image).alias("after"), F.col("__op").alias("op"),
                                   F.unix_millis(F.col("__ts_ms").cast("timestamp")).alias("ts_ms")))
     copies = F.when(F.col("__op") == "d", F.array(envelope, F.lit(None).cast("string"))).otherwise(F.array(envelope))
     mixed = c.repartitionByRange(4, "__ts_ms") if in_order else c.repartition(4, "event_id")
-    mixed.select(F.lit("public.users").alias("table"), F.explode(copies).alias("value")).write.option(
+    mixed.select(F.lit("public.users").alias("table"), F.to_json(F.struct("id")).alias("key"), F.explode(copies).alias("value")).write.option(
         "ignoreNullFields", False).json(path)
     return path
 
 
 def flat_stream(spark: SparkSession, sf: str, *, in_order: bool = False, files_per_batch: int = 1) -> DataFrame:
     files = read_change_files(spark, topic_files(spark, sf, in_order=in_order), TOPIC, files_per_batch=files_per_batch)
-    live = files.filter(F.col("table") == "public.users").withColumn("value", json_value(F.col("value"), ENVELOPE))
-    return select_changes(stream.flatten_changes(live))
+    return select_changes(stream.flatten_changes(_enveloped(files), record_key="key", keys=["id"]))
 
 
 _MS = "date_trunc('millisecond', __ts_ms)"
@@ -230,8 +240,7 @@ def cdc_live_view(spark, sf):
 def cdc_flatten(spark, sf):
     """Envelopes to flat change rows; tombstones go, deletes stay."""
     topic = spark.read.schema(TOPIC).json(topic_files(spark, sf))
-    envelopes = topic.withColumn("value", json_value(F.col("value"), ENVELOPE))
-    return plain(_typed(stream.flatten_changes(envelopes)))
+    return plain(_typed(stream.flatten_changes(_enveloped(topic), record_key="key", keys=["id"])))
 
 
 @query(with_inputs(f"""SELECT id, event_type, amount, event_id, __op, {_MS} AS __ts_ms, CAST(year(__ts_ms) AS INTEGER) AS yyyy,
@@ -256,6 +265,51 @@ def stream_upsert(spark, sf):
     return plain(spark.table(name))
 
 
+@query(with_inputs(f"""SELECT id, event_type, CAST(amount AS DOUBLE) AS amount, event_id, __op, {_MS} AS __ts_ms FROM cdc_changes
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY {_MS} DESC, event_id DESC) = 1""", "cdc_changes"))
+def stream_upsert_new_checkpoint(spark, sf):
+    """Two streams into one table whose checkpoint folders share their last name: the second loses no batch."""
+    topics = [topic_files(spark, sf), scratch_path(spark, "topic")]
+    halves = spark.read.schema(TOPIC).json(topics[0]).withColumn("late", F.pmod(F.xxhash64("key", "value"), F.lit(2)) == 1)
+    inboxes = [scratch_path(spark, "inbox") for _ in range(2)]
+    for late, inbox in enumerate(inboxes):
+        halves.filter(F.col("late") == F.lit(bool(late))).drop("late").repartition(2).write.option("ignoreNullFields", False).json(inbox)
+    name = None
+    for inbox in inboxes:
+        files = read_change_files(spark, inbox, TOPIC, files_per_batch=1)
+        changes = _typed(select_changes(stream.flatten_changes(_enveloped(files), record_key="key", keys=["id"])))
+        name = name or silver_table(spark, spark.createDataFrame([], changes.schema), "users")
+        rules = MergeRules(keys="id", guard="__ts_ms", op=None, tiebreakers=["event_id"], created_col=None)
+        stream.upsert_stream(changes, name, rules, scratch_path(spark, "state") + "/users", every=None).awaitTermination()
+    return plain(spark.table(name))
+
+
+@query(with_inputs(f"""SELECT id, event_type, CAST(amount AS DOUBLE) AS amount, event_id, __op, {_MS} AS __ts_ms FROM (
+SELECT * FROM cdc_changes QUALIFY row_number() OVER (PARTITION BY id ORDER BY {_MS} DESC, event_id DESC) = 1) x WHERE __op <> 'd'""", "cdc_changes"))
+def stream_apply_deletes(spark, sf):
+    """Deletes that carry a before-image or only the record key remove their rows from a loaded table."""
+    changes = _typed(flat_stream(spark, sf, files_per_batch=100))
+    first = cdc_changes(spark, sf).groupBy("id").agg(F.lit("loaded").alias("event_type"), F.lit(0).cast("decimal(12,2)").alias("amount"),
+                                                     F.lit(-1).cast("bigint").alias("event_id"), F.lit("r").alias("__op"),
+                                                     F.lit("2000-01-01").cast("timestamp_ntz").alias("__ts_ms"))
+    name = silver_table(spark, first.select(*[F.col(f.name).cast(f.dataType) for f in changes.schema.fields]), "users")
+    rules = MergeRules(keys="id", guard="__ts_ms", op=None, tiebreakers=["event_id"], created_col=None, apply_deletes=True)
+    stream.upsert_stream(changes, name, rules, scratch_path(spark, "users-state"), every=None).awaitTermination()
+    return plain(spark.table(name))
+
+
+@query(with_inputs(f"""SELECT id, event_type, amount, event_id, __op, {_MS} AS __ts_ms, CAST(year(__ts_ms) AS INTEGER) AS yyyy,
+  CAST(month(__ts_ms) AS INTEGER) AS mm, CAST(day(__ts_ms) AS INTEGER) AS dd, CAST(hour(__ts_ms) AS INTEGER) AS hh
+FROM cdc_changes WHERE __ts_ms >= TIMESTAMP '2024-01-05 07:00:00' AND __ts_ms < TIMESTAMP '2024-01-20 18:00:00'""", "cdc_changes"))
+def landed_range_scan(spark, sf):
+    """Hour folders landed by a stream, read back for a time range."""
+    path = scratch_path(spark, "landing")
+    changes = flat_stream(spark, sf, in_order=True, files_per_batch=2)
+    stream.land_by_hour(changes, path, scratch_path(spark, "landing-state"), every=None).awaitTermination()
+    return read_hours(spark, path, with_columns(CHANGE, META_STRUCT), datetime(2024, 1, 5, 7), datetime(2024, 1, 20, 18),
+                      prefixes=("yyyy=", "mm=", "dd=", "hh="))
+
+
 @query("SELECT date_trunc('hour', ts) AS slot, count(*) AS total_rows FROM events GROUP BY 1")
 def stream_hourly_counts(spark, sf):
     source, out = scratch_path(spark, "events"), scratch_path(spark, "counts")
@@ -283,6 +337,53 @@ def job_full_run(spark, sf):
     return plain(spark.table(prod))
 
 
+def _by_month(orders: DataFrame) -> DataFrame:
+    """Orders with the month of their creation, which a key keeps for good."""
+    return orders.withColumn("created_month", F.substring(F.col("created_at").cast("string"), 1, 7))
+
+
+@query(f"SELECT *, strftime(created_at, '%Y-%m') AS created_month FROM ({merge_sql()}) m")
+def job_full_run_partitioned(spark, sf):
+    """The same run into a table partitioned by month of creation."""
+    prod = silver_table(spark, _by_month(silver_orders(spark, sf)), "orders", ("created_month",))
+    spec = JobSpec("orders", "public", "orders", "SELECT * FROM public.orders", scratch_path(spark, "stg"), _unique("stg_orders"),
+                   prod, "o_orderkey", "updated_at", op_literal="cron-2-hours")
+    full_run(spark, spec, lambda s: _by_month(stg_orders(spark, sf)), as_of=AS_OF)
+    return plain(spark.table(prod))
+
+
+@query(f"SELECT *, strftime(created_at, '%Y-%m') AS created_month FROM ({BACKFILL_RANGE_SQL}) m")
+def job_backfill_partitioned(spark, sf):
+    dest = silver_table(spark, _by_month(silver_orders(spark, sf)), "orders", ("created_month",))
+    source = silver_table(spark, _by_month(backfill_source(spark, sf)), "bronze")
+    backfill(spark, BackfillSpec(source, dest, "o_orderkey", op_literal="cron-2-hours", filter_start=BACKFILL_LOW, filter_end=BACKFILL_HIGH),
+             as_of=AS_OF)
+    return plain(spark.table(dest))
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS event_id, upper(event_type) AS event_type FROM events")
+def staging_new_path(spark, sf):
+    """A staging table loaded again at another path shows the new load."""
+    name, events = _unique("stg_events"), table(spark, sf, "events").select("event_id", "event_type")
+    write_staging(events, scratch_path(spark, "staging"), table=name)
+    write_staging(events.withColumn("event_type", F.upper("event_type")), scratch_path(spark, "staging"), table=name)
+    return spark.table(name)
+
+
+@query(merge_sql())
+def job_rows_from_text(spark, sf):
+    """A job row as a settings file gives it, all text; align_ddl=false keeps the extract's column names."""
+    prod = silver_table(spark, silver_orders(spark, sf), "orders")
+    row = {"job_name": "orders", "pg_schema": "public", "pg_table": "orders", "pg_sql": "SELECT 1", "s3_staging_path": scratch_path(spark, "stg"),
+           "staging_table": _unique("stg_orders"), "prod_table": prod, "pk_col": "o_orderkey", "updated_at_col": "updated_at",
+           "align_ddl": "false", "debug": "false", "dedupe_source": "true", "dedupe_tiebreakers": "updated_at", "comment": "ignored"}
+    spec = JobSpec.from_row(row)
+    if spec.align_ddl or spec.debug or not spec.dedupe_source:
+        raise AssertionError(spec)
+    full_run(spark, spec, lambda s: stg_orders(spark, sf), as_of=AS_OF)
+    return plain(spark.table(prod))
+
+
 @query(BACKFILL_RANGE_SQL)
 def job_backfill(spark, sf):
     dest, source = silver_table(spark, silver_orders(spark, sf), "orders"), silver_table(spark, backfill_source(spark, sf), "bronze")
