@@ -86,16 +86,52 @@ def test_keep_one_of_each(spark):
     docs = awkward(spark)
     kept = near_dedup.keep_one_each(docs)
     assert kept.columns == docs.columns
-    fps = {t: brute_fingerprint(t) for _, t in TEXTS}
-    of = brute_components(fps.values())
-    want = {}
-    for k, t in TEXTS:
-        c = of[fps[t]]
-        want[c] = min(want.get(c, (True, 0)), (k is None, k or 0))
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == sorted(want.values())
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect())
+    # 1 and 2 are equal, 13 differs in its last word (similarity 9/11), 3, 4, 5 and a null id have no words, 8 stands twice
+    assert got == [(False, k) for k in (1, 3, 6, 7, 8, 9, 10, 11, 12)] + [(True, 0)] or got == [(False, k) for k in (1, 3, 6, 7, 8, 9, 10, 11, 12, 13)] + [(True, 0)]
     assert near_dedup.keep_one_each(nothing(spark)).count() == 0
 
 
+def jaccard(a, b, width=5):
+    x, y = (({tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))}) for w in (a.lower().split(), b.lower().split()))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_go_and_others_stay(spark):
+    rng = random.Random(9)
+    vocabulary = [f"word{i}" for i in range(4000)]
+    rows, source = [], {}
+    for i in range(60):
+        base = rng.choices(vocabulary, k=rng.randint(60, 900))
+        rows.append((i, " ".join(base)))
+        for k in range(rng.choice([0, 1, 6])):
+            copy = list(base)
+            for at in rng.sample(range(len(copy)), max(1, len(copy) // rng.choice([60, 120, 25, 6]))):
+                copy[at] = "changed"
+            rows.append((1000 + 10 * i + k, " ".join(copy)))
+            source[rows[-1][0]] = jaccard(" ".join(base), " ".join(copy))
+    kept = {r["doc_id"] for r in near_dedup.keep_one_each(awkward(spark, rows)).collect()}
+    assert set(range(60)) <= kept
+    assert not [k for k, j in source.items() if j >= 0.9 and k in kept]
+    assert not [k for k, j in source.items() if j < 0.55 and k not in kept]
+    close = [k for k, j in source.items() if j >= 0.8]
+    assert len(close) > 20 and sum(k in kept for k in close) <= 0.1 * len(close)
+
+
+def test_one_hot_key_in_blocks(spark):
+    rng = random.Random(2)
+    base = rng.choices([f"w{i}" for i in range(300)], k=200)
+    texts = []
+    for i in range(300):
+        copy = list(base)
+        copy[rng.randrange(200)] = f"x{i}"
+        texts.append((i, " ".join(copy)))
+    marks = awkward(spark, texts).select(near_dedup._marks_column("text", 5, 42).alias("m")).select("m.*")
+    for block in (4096, 40):
+        roots = components(near_dedup.similar_links(marks, 0.8, block=block)).collect()
+        assert len({r["root"] for r in roots}) == 1 and len({r["node"] for r in roots}) == marks.select("node").distinct().count()
+
+
 def test_plan_has_no_cross_join(spark):
     plan = near_dedup.fingerprint_links(spark.range(10).select(F.col("id").alias("fp")))._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
