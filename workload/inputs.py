@@ -238,7 +238,9 @@ def number_texts(spark: SparkSession, sf: str) -> DataFrame:
 _PRICE = "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR)"
 _ENGLISH = "format('{:,.2f}', l_extendedprice)"
 _QTY = "CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)"
-SQL["number_texts"] = f"""SELECT l_orderkey, l_linenumber, l_partkey, CASE (l_orderkey + l_linenumber) % 12
+# with the style and the numbers behind the text, from which the expected values follow
+SQL["number_texts"] = f"""SELECT l_orderkey, l_linenumber, l_partkey, (l_orderkey + l_linenumber) % 12 AS style,
+  CAST(l_extendedprice AS DECIMAL(12,2)) AS price, CAST(l_quantity AS INTEGER) AS quantity, CASE (l_orderkey + l_linenumber) % 12
   WHEN 0 THEN {_PRICE} WHEN 1 THEN concat('Rp ', {_PRICE}) WHEN 2 THEN replace({_PRICE}, '.', ',')
   WHEN 3 THEN translate({_ENGLISH}, ',.', '.,') WHEN 4 THEN {_ENGLISH} WHEN 5 THEN '  '
   WHEN 6 THEN concat(chr(160), {_PRICE}, ' ') WHEN 7 THEN concat('-', {_PRICE}) WHEN 8 THEN concat({_QTY}, 'e2')

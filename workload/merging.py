@@ -28,19 +28,19 @@ STAGED_TYPES = schema_from_names({
 
 # --- casts -----------------------------------------------------------------------------------
 
-_LEADING = """coalesce(
-  try_cast(nullif(regexp_extract(regexp_replace(trim(t), '[^0-9,.\\-]', '', 'g'), '^-?[0-9]+'), '') AS {kind}),
-  try_cast(nullif(regexp_replace(split_part(trim(t), ',', 1), '[^0-9\\-]', '', 'g'), '') AS {kind}),
-  try_cast(nullif(regexp_replace(split_part(replace(trim(t), ',', ''), '.', 1), '[^0-9\\-]', '', 'g'), '') AS {kind}))"""
-_COMMA = "nullif(translate(trim(t, ' '), ',.', '.'), '')"
-_DOT = "nullif(replace(trim(t, ' '), ',', ''), '')"
-_DIGITS = "nullif(regexp_replace(trim(t, ' '), '[^0-9.\\-]', '', 'g'), '')"
-# DuckDB trims and skips a no-break space; the rule trims plain spaces only
-_READS = "regexp_matches({0}, '^[0-9eE.+\\-]+$') AND try_cast({0} AS DOUBLE) IS NOT NULL"
-_FRACTION = f"""coalesce(
-  CASE WHEN {_READS.format(_COMMA)} THEN try_cast({_COMMA} AS DECIMAL(12,2)) END,
-  CASE WHEN {_READS.format(_DOT)} THEN try_cast({_DOT} AS DECIMAL(12,2)) END,
-  try_cast({_DIGITS} AS DECIMAL(12,2)))"""
+# Expected values by text style: 0 1234.56, 1 Rp 1234.56, 2 1234,56, 3 1.234,56, 4 1,234.56, 5 blank, 6 no-break space and 1234.56,
+# 7 -1234.56, 8 12e2, 9 .12, 10 12-3, 11 n/a R
+_WHOLE = "CASE WHEN style = 7 THEN -trunc(price) WHEN style IN (3, 4) AND price >= 1000000 THEN trunc(price / 1000000) " \
+    "WHEN style IN (3, 4) AND price >= 1000 THEN trunc(price / 1000) ELSE trunc(price) END"
+# leading digits: a thousands sign ends them, the e is skipped, other signs before them too
+_LEADING = f"CASE WHEN style IN (5, 11) THEN NULL WHEN style = 8 THEN quantity * 10 + 2 WHEN style IN (9, 10) THEN quantity ELSE {_WHOLE} END"
+# a dot is read as a thousands sign wherever the rest is then a number
+_FRACTION = """CASE WHEN style IN (5, 10, 11) THEN NULL WHEN style = 0 THEN price * 100 WHEN style = 7 THEN -price * 100
+  WHEN style = 4 AND price < 1000 THEN price * 100 WHEN style = 4 AND price < 1000000 THEN round(price / CAST(1000 AS DECIMAL(12,2)), 2)
+  WHEN style = 8 THEN quantity * 100 WHEN style = 9 THEN quantity ELSE price END"""
+# the number itself, whatever its style
+_EXACT = """CASE WHEN style IN (5, 10, 11) THEN NULL WHEN style = 7 THEN -price WHEN style = 8 THEN quantity * 100
+  WHEN style = 9 THEN quantity / CAST(power(10, length(CAST(quantity AS VARCHAR))) AS DECIMAL(12,2)) ELSE price END"""
 _NUMBER_KEYS = "l_orderkey, l_linenumber, l_partkey, t"
 
 
@@ -49,7 +49,7 @@ def _number_query(spark: SparkSession, sf: str, **kinds: F.Column) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "t", *(c.alias(n) for n, c in kinds.items())))
 
 
-@query(with_inputs(f"SELECT {_NUMBER_KEYS}, {_LEADING.format(kind='INTEGER')} AS n FROM number_texts", "number_texts"))
+@query(with_inputs(f"SELECT {_NUMBER_KEYS}, CAST({_LEADING} AS INTEGER) AS n FROM number_texts", "number_texts"))
 def cast_int_compat(spark, sf):
     return _number_query(spark, sf, n=casting.cast_column(F.col("t"), T.IntegerType(), numeric_mode="compat_microbatch"))
 
@@ -60,41 +60,24 @@ def cast_decimal_compat(spark, sf):
 
 
 @query(with_inputs(
-    f"SELECT {_NUMBER_KEYS}, CAST({_LEADING.format(kind='DECIMAL(12,2)')} AS DOUBLE) AS d, "
-    f"{_LEADING.format(kind='BIGINT')} AS n FROM number_texts", "number_texts"))
+    f"SELECT {_NUMBER_KEYS}, CAST({_LEADING} AS DOUBLE) AS d, "
+    f"CAST({_LEADING} AS BIGINT) AS n FROM number_texts", "number_texts"))
 def cast_backfill_compat(spark, sf):
     def cast(kind):
         return casting.cast_column(F.col("t"), kind, numeric_mode="compat_backfill")
     return _number_query(spark, sf, d=cast(DEC), n=cast(T.LongType()))
 
 
-_EXACT = """marked AS (SELECT l_orderkey, l_linenumber, l_partkey, t,
-  regexp_replace(regexp_replace(t, '[\\s\\p{Zs}]+', '', 'g'), '^([+-]?)(?:[A-Za-z]{0,3}\\p{Sc}|[A-Za-z]{2,3}\\.?)', '\\1') AS x
-  FROM number_texts),
-styled AS (SELECT *, CASE
-    WHEN contains(x, '.') AND contains(x, ',') THEN regexp_matches(x, '\\.[^.,]*$')
-    WHEN contains(x, '.') THEN NOT regexp_matches(x, '\\..*\\.') AND NOT (LOCALE_ID AND regexp_matches(x, '^[+-]?[0-9]{1,3}[.][0-9]{3}$'))
-    WHEN contains(x, ',') THEN regexp_matches(x, ',.*,') OR (NOT LOCALE_ID AND regexp_matches(x, '^[+-]?[0-9]{1,3}[,][0-9]{3}$'))
-    ELSE TRUE END AS dot_decimal FROM marked),
-plain AS (SELECT *, CASE WHEN dot_decimal THEN replace(x, ',', '') ELSE translate(x, ',.', '.') END AS y FROM styled),
-numbers AS (SELECT *, CASE WHEN regexp_matches(y, '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$') THEN y END AS z FROM plain)
-"""
-_EXACT_SELECT = f"""SELECT {_NUMBER_KEYS}, CAST(try_cast(z AS DECIMAL(12,2)) AS DOUBLE) AS d,
-  CAST(trunc(try_cast(z AS DECIMAL(38,18))) AS INTEGER) AS n FROM numbers"""
+_EXACT_SQL = with_inputs(f"SELECT {_NUMBER_KEYS}, CAST({_EXACT} AS DOUBLE) AS d, CAST(trunc({_EXACT}) AS INTEGER) AS n FROM number_texts", "number_texts")
 
 
-def _exact_sql(locale_id: bool) -> str:
-    ctes = _EXACT.replace("LOCALE_ID", "TRUE" if locale_id else "FALSE")
-    return with_inputs("", "number_texts").rstrip() + ",\n" + ctes + _EXACT_SELECT
-
-
-@query(_exact_sql(False))
+@query(_EXACT_SQL)
 def cast_number_exact(spark, sf):
     return _number_query(spark, sf, d=casting.exact_number(F.col("t"), DEC),
                          n=casting.exact_number(F.col("t"), T.IntegerType()))
 
 
-@query(_exact_sql(True))
+@query(_EXACT_SQL)
 def cast_number_exact_id(spark, sf):
     return _number_query(spark, sf, d=casting.exact_number(F.col("t"), DEC, "id"),
                          n=casting.exact_number(F.col("t"), T.IntegerType(), "id"))
