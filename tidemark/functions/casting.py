@@ -69,6 +69,12 @@ def _swap_marks(col: Column) -> Column:
     return F.replace(F.replace(col, F.lit(".")), F.lit(","), F.lit("."))
 
 
+# What the compatible modes take out of a number's text.
+NUMBER_CHARACTERS = r"[^0-9\-,\.]"
+WHOLE_CHARACTERS = r"[^0-9\-]"
+FRACTION_CHARACTERS = r"[^0-9\-\.]"
+
+
 def leading_integer(col: Column, target: T.DataType) -> Column:
     """Compat rule: the integer before the first separator.
 
@@ -76,10 +82,10 @@ def leading_integer(col: Column, target: T.DataType) -> Column:
     part before ``.`` once the other mark is gone.
     """
     text = F.trim(col)
-    head = F.regexp_extract(_drop(text, r"[^0-9,.\-]"), r"^-?[0-9]+", 0)
-    before_comma = _drop(F.split_part(text, F.lit(","), F.lit(1)), r"[^0-9\-]")
+    head = F.regexp_extract(_drop(text, NUMBER_CHARACTERS), r"^-?[0-9]+", 0)
+    before_comma = _drop(F.split_part(text, F.lit(","), F.lit(1)), WHOLE_CHARACTERS)
     before_dot = _drop(
-        F.split_part(F.replace(text, F.lit(",")), F.lit("."), F.lit(1)), r"[^0-9\-]"
+        F.split_part(F.replace(text, F.lit(",")), F.lit("."), F.lit(1)), WHOLE_CHARACTERS
     )
     return F.coalesce(*(_nonblank(part).try_cast(target) for part in (head, before_comma, before_dot)))
 
@@ -88,7 +94,7 @@ def dotted_first_fraction(col: Column, target: T.DataType) -> Column:
     """Compat rule: read ``.`` as the thousands mark, else ``,``, else keep digits only."""
     text = F.trim(col)
     dot_decimal = F.replace(text, F.lit(","))
-    digits = _drop(text, r"[^0-9.\-]")
+    digits = _drop(text, FRACTION_CHARACTERS)
 
     def through_double(part: Column) -> Column:
         return F.when(part.rlike(_DOUBLE), _try_chain(part, T.DoubleType(), target))
