@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from ..functions.casting import cast_to_schema
 from ..schemas import META_COLUMNS, META_OP
-from ..session import fits_broadcast
+from ..session import fits_broadcast, stable
 from .columns import clean_keys, column_types, require_columns, run_metadata, split_by_destination
 from .latest import dedupe_source
 from .predicates import newer_than
@@ -293,7 +293,8 @@ class _Merge:
         return reduce(DataFrame.unionAll, [*([] if aside is None else [aside]), *branches], merged)
 
     def _lookup(self) -> DataFrame:
-        rules, source = self.rules, self.source
+        # read three times below: made once, it is within the broadcast threshold or asked for
+        rules, source = self.rules, stable(self.source).alias("s")
         branches = []
         if rules.dedupe:
             matched_keys = self.target.join(source, self.condition, "left_semi").alias(self.target_name)
