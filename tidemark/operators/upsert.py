@@ -15,9 +15,8 @@ Two plans give the same rows.
     within the session's threshold (the target is then not shuffled at all), and otherwise joins
     by shuffle with adaptive skew splitting, which a full outer join does not get.
 
-``auto`` takes ``lookup`` for a source within the broadcast threshold under a target at least
-:data:`MUCH_LARGER` times that, since ``lookup`` prepares the source once per branch, which only a
-large target pays back. It also takes ``lookup`` for repeated keys it has to keep or cannot judge
+``auto`` takes ``lookup`` for a source within the broadcast threshold under a target beyond it: then the
+target need not be shuffled. ``lookup`` reads its source three times, so it is checkpointed first. It also takes ``lookup`` for repeated keys it has to keep or cannot judge
 by key alone (``on_duplicate="allow"``, ``extra_on`` without de-duplication). Else ``full_outer``.
 """
 
@@ -41,7 +40,6 @@ from .latest import dedupe_source
 from .predicates import newer_than
 
 STRATEGIES = ("auto", "full_outer", "lookup")
-MUCH_LARGER = 10
 _CLASH = "two merge source rows match one target row; use dedupe=True"
 _HAS_T, _HAS_S, _DELETE = "__in_target", "__in_source", "__is_delete"
 
@@ -228,7 +226,7 @@ class _Merge:
     def result(self) -> DataFrame:
         strategy = self.rules.strategy
         if strategy == "auto":
-            small = fits_broadcast(self.source) and not fits_broadcast(self.target, MUCH_LARGER)
+            small = fits_broadcast(self.source) and not fits_broadcast(self.target)
             strategy = "lookup" if small or not (self.rules.dedupe or self._repeats_split()) else "full_outer"
         return self._lookup() if strategy == "lookup" else self._full_outer()
 

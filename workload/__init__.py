@@ -6,7 +6,7 @@ from .registry import ORACLES, QUERIES, Query
 
 
 def _load() -> None:
-    from . import checking, merging, moving  # noqa: F401
+    from . import checking, choices, merging, moving  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
