@@ -21,10 +21,35 @@ def query(function):
     return function
 
 
+# every token of every text scored by both models; up to 50,000 target texts, which all are used at this size
+ORACLES["op1_cross_entropy_difference"] = r"""
+WITH target AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+texts AS (SELECT d.doc_id, t.doc_id IS NOT NULL AS tg, regexp_extract_all(lower(coalesce(d.text, '')), '[\p{L}\p{N}_]+') AS ws
+  FROM documents d LEFT JOIN target t ON t.doc_id = d.doc_id),
+toks AS (SELECT doc_id, tg, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM texts WHERE len(ws) > 0),
+words AS (SELECT w, count(*) AS n, count(*) FILTER (tg) AS nt FROM toks GROUP BY w),
+vocabulary AS (SELECT w FROM words ORDER BY n DESC, w LIMIT 32768),
+size AS (SELECT sum(n) AS n, sum(nt) AS nt, sum(nt) / CAST(sum(n) AS DOUBLE) AS scale, (SELECT count(*) FROM vocabulary) AS v FROM words),
+known AS (SELECT t.doc_id, t.tg, t.i, coalesce(v.w, '<unk>') AS v FROM toks t LEFT JOIN vocabulary v ON v.w = t.w),
+pairs AS (SELECT *, lag(v, 1, '<s>') OVER (PARTITION BY doc_id ORDER BY i) AS u FROM known),
+unigrams AS (SELECT k.v, count(*) FILTER (tg) AS ct, count(*) * any_value(scale) AS cb,
+  (count(*) FILTER (tg) + 1) / CAST(any_value(z.nt) + any_value(z.v) + 1 AS DOUBLE) AS pt,
+  (count(*) * any_value(scale) + 1) / (any_value(z.n) * any_value(scale) + any_value(z.v) + 1) AS pb FROM known k, size z GROUP BY k.v),
+contexts AS (SELECT v AS u, ct, cb FROM unigrams
+  UNION ALL SELECT '<s>', count(*) FILTER (tg), count(*) * any_value(scale) FROM texts, size WHERE len(ws) > 0),
+bigrams AS (SELECT q.u, q.v, count(*) FILTER (q.tg) AS ct, count(*) * any_value(z.scale) AS cb FROM pairs q, size z GROUP BY q.u, q.v HAVING count(*) >= 2),
+losses AS (SELECT p.doc_id, -ln((coalesce(b.ct, 0) + 50 * g.pt) / (c.ct + 50)) + ln((coalesce(b.cb, 0) + 50 * g.pb) / (c.cb + 50)) AS loss
+  FROM pairs p JOIN unigrams g ON g.v = p.v JOIN contexts c ON c.u = p.u LEFT JOIN bigrams b ON b.u = p.u AND b.v = p.v)
+SELECT x.doc_id, CAST(len(x.ws) AS BIGINT) AS n_tokens, round(coalesce(l.score, 0), 6) AS score
+FROM texts x LEFT JOIN (SELECT doc_id, avg(loss) AS score FROM losses GROUP BY doc_id) l ON l.doc_id = x.doc_id
+"""
+
+
 @query
 def op1_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), targets)
+    scored = lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), targets)
+    return scored.withColumn("score", F.round("score", 6))
 
 
 @query
