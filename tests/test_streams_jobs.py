@@ -69,9 +69,12 @@ def test_new_checkpoint_of_the_same_name_loses_no_batch(spark, tmp_path):
 def test_replay_after_another_writer_adds_no_null_keys(spark, tmp_path):
     silver.create_table(spark, "shared", TARGET, str(tmp_path / "t"))
     rules = MergeRules(keys="id", guard="updated_at", op=None)
-    silver.merge_table(spark, "shared", spark.createDataFrame([(None, "n", "2024-01-01")], FLAT), rules, marks={"s": 4})
+    silver.merge_table(spark, "shared", spark.createDataFrame([(None, "n", "2024-01-01")], FLAT), rules, batch=("s", 4))
     silver.merge_table(spark, "shared", spark.createDataFrame([(9, "job", "2024-01-01")], FLAT), rules)
     assert silver.stream_marks(spark, "shared") == {"s": 4}
+    for number in (3, 4):
+        silver.merge_table(spark, "shared", spark.createDataFrame([(None, "n", "2024-01-01")], FLAT), rules, batch=("s", number))
+    assert spark.table("shared").count() == 2
 
 
 def test_second_writer_on_one_version_is_refused_or_merges_again(spark, tmp_path):

@@ -116,13 +116,13 @@ def publish_version(spark: SparkSession, table: str, df: DataFrame, version: str
     """Write ``df`` as a new version of an unpartitioned table and switch the table to it.
 
     ``planned_on`` is the location the plan has read; the switch is refused when the table has moved
-    on. Stream marks of the version before are kept, ``marks`` are set: they lie beside the
-    version's folder and become valid with the switch.
+    on. ``marks`` are the stream marks of the new version (None: those of the version before): they
+    lie beside the version's folder and become valid with the switch.
     """
     if partition_columns(spark, table):
         raise ValueError(f"{table} is partitioned: merge it by partitions, a new location would hide its rows")
     version = version or uuid.uuid4().hex
-    path, kept = f"{_version_root(spark, table)}/version={version}", {**stream_marks(spark, table), **(marks or {})}
+    path, kept = f"{_version_root(spark, table)}/version={version}", stream_marks(spark, table) if marks is None else marks
     df.write.mode("overwrite").options(**TABLE_OPTIONS).parquet(path)
     if kept:
         spark.createDataFrame(sorted(kept.items()), "stream string, batch long").coalesce(1).write.mode("overwrite").json(
@@ -139,10 +139,17 @@ def current_version(spark: SparkSession, table: str) -> str:
 
 
 def merge_whole(spark: SparkSession, table: str, source: DataFrame, rules: MergeRules, version: str | None = None,
-                marks: Mapping[str, int] | None = None) -> None:
-    """Merge into an unpartitioned table by publishing a new version."""
+                batch: tuple[str, int] | None = None) -> None:
+    """Merge into an unpartitioned table by publishing a new version.
+
+    ``batch`` names a stream and its batch number: one that the table already holds is skipped.
+    """
     spark.catalog.refreshTable(table)
-    planned_on = table_location(spark, table)
+    planned_on, marks = table_location(spark, table), stream_marks(spark, table)
+    if batch is not None:
+        if marks.get(batch[0], -1) >= batch[1]:
+            return
+        marks = {**marks, batch[0]: batch[1]}
     publish_version(spark, table, merge_upsert(spark.table(table), source, rules), version, planned_on=planned_on, marks=marks)
 
 
@@ -214,7 +221,7 @@ def supports_row_merge(spark: SparkSession, table: str) -> bool:
 
 def merge_table(spark: SparkSession, table: str, source: DataFrame, rules: MergeRules,
                 partitions: Sequence[str] = (), version: str | None = None, *,
-                marks: Mapping[str, int] | None = None) -> None:
+                batch: tuple[str, int] | None = None) -> None:
     """Merge ``source`` into ``table`` by the way its storage allows.
 
     The catalog says whether the table is partitioned; ``partitions``, when given, must agree.
@@ -231,7 +238,7 @@ def merge_table(spark: SparkSession, table: str, source: DataFrame, rules: Merge
     for attempt in range(ATTEMPTS):
         try:
             # a second attempt needs a folder of its own
-            merge_whole(spark, table, source, rules, version if attempt == 0 else None, marks)
+            merge_whole(spark, table, source, rules, version if attempt == 0 else None, batch)
             return
         except TableMoved:
             if attempt == ATTEMPTS - 1:

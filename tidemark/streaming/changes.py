@@ -14,7 +14,7 @@ from ..functions.clock import trunc
 from ..operators.upsert import MergeRules
 from ..schemas import META_OP, META_TS
 from ..session import estimated_bytes
-from ..sinks.silver import merge_table, partition_columns, stream_marks, supports_row_merge
+from ..sinks.silver import merge_table, partition_columns, supports_row_merge
 from ..sources.partitioned import HOUR_COLUMNS
 
 LAND_EVERY, UPSERT_EVERY = "5 minutes", "15 minutes"
@@ -109,7 +109,7 @@ def upsert_stream(
     Every batch rewrites an unpartitioned table. Beyond ``rewrite_limit`` bytes (Catalyst's
     estimate) that is refused: partition the table, or raise the limit knowingly.
     """
-    owner = changes.sparkSession
+    owner, known = changes.sparkSession, {}
     parts = partition_columns(owner, table)
     if parts and rules.null_keys == "insert":
         raise ValueError("a stream into a partitioned table needs null_keys='drop' or 'error'")
@@ -119,13 +119,12 @@ def upsert_stream(
         if parts or supports_row_merge(spark, table):
             merge_table(spark, table, batch, rules, partitions)
         else:
-            stream = stream_id(spark, checkpoint)
-            if stream_marks(spark, table).get(stream, -1) >= batch_id:
-                return
+            if not known:
+                known["id"] = stream_id(spark, checkpoint)
             size = estimated_bytes(spark.table(table))
             if size is not None and size > rewrite_limit:
                 raise ValueError(f"{table} has about {size} bytes and each batch would rewrite it: partition it or raise rewrite_limit")
-            merge_table(spark, table, batch, rules, partitions, marks={stream: batch_id})
+            merge_table(spark, table, batch, rules, partitions, batch=(known["id"], batch_id))
         # batches run in a session of their own; the starting session must see the new files too
         owner.catalog.refreshTable(table)
 
