@@ -37,6 +37,46 @@ def fold_of(doc_id: str, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds, F.lit(1))
 
 
+def _bin(n: str) -> Column:
+    """Eighths of an octave: a few hundred bins for any counts."""
+    return F.floor(8 * F.log2(F.col(n)))
+
+
+def _bins(rows: DataFrame, n: str) -> list[tuple[int, int]]:
+    return sorted(((r[0], r[1]) for r in rows.groupBy(_bin(n)).agg(F.count("*")).collect()), reverse=True)
+
+
+def frequent(rows: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows with the largest counts ``n``, whole bins of them, ``most`` rows at most. No sort; the driver sees a histogram."""
+    total, least = 0, None
+    for edge, size in _bins(rows, n):
+        if total + size > most:
+            break
+        total, least = total + size, edge
+    return rows.where(F.lit(False)) if least is None else rows.where(_bin(n) >= least)
+
+
+def top(rows: DataFrame, n: str, most: int, *ties: str) -> DataFrame:
+    """The ``most`` rows with the largest counts, ties in the order of ``ties``; only bins that can hold them are sorted."""
+    total, least = 0, None
+    for edge, size in _bins(rows, n):
+        if total >= most:
+            break
+        total, least = total + size, edge
+    few = rows if least is None else rows.where(_bin(n) >= least)
+    return few.orderBy(F.desc(n), *ties).limit(most)
+
+
+def lowest_hashes(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows, those whose (distinct) keys hash lowest; only a share that can hold them is sorted."""
+    n = rows.count()
+    if n <= most:
+        return rows
+    share = min(1.0, (most + 10 * most ** 0.5) / n)  # ten standard deviations more than wanted
+    small = F.xxhash64(key) < F.lit(int(-(2 ** 63) + share * (2 ** 64 - 2 ** 12)))
+    return rows.where(small).orderBy(F.xxhash64(key), key).limit(most)
+
+
 def _edge_state(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
     return row[0], row[1] or 0

@@ -8,7 +8,7 @@ scaled to the target's size, so their losses differ only by what the two corpora
 The score is the mean over a text's tokens of target loss minus background loss: low means target-like. Counts cover all
 texts. Bigrams seen fewer than ``least_count`` times count as unseen in both models. A text's sum is split in two: what
 unigram and context counts give, from broadcast tables of vocabulary size, and a correction for each seen bigram.
-The corrections of the ``heads`` most frequent bigrams are broadcast, the others meet the texts' bigrams in a
+The corrections of the most frequent bigrams (at most ``heads``) are broadcast, the others meet the texts' bigrams in a
 shuffle join; the model as a whole grows with the corpus and is never in one place.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import stable
 
-from .common import whole_text
+from .common import frequent, lowest_hashes, top, whole_text
 
 WORD = re.compile(r"\w+")
 START = "\x02"  # no word: how many texts have words
@@ -129,8 +129,7 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str =
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind, send = docs.schema[id_col].dataType, docs.sparkSession.sparkContext.broadcast
-    target = (targets.select(F.col(id_col).alias("id")).where("id is not null").distinct()
-              .orderBy(F.xxhash64("id"), "id").limit(most_targets).withColumn("target", F.lit(1)))
+    target = lowest_hashes(targets.select(F.col(id_col).alias("id")).where("id is not null").distinct(), "id", most_targets).withColumn("target", F.lit(1))
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")).join(F.broadcast(target), "id", "left").select(
         "text", F.coalesce("target", F.lit(0)).alias("target"))
 
@@ -139,11 +138,11 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str =
     starts = words.where(F.col("word") == START).first() or {"n": 0, "n_target": 0}
     words = words.where(F.col("word") != START)
     total, total_target = (x or 0 for x in words.agg(F.sum("n"), F.sum("n_target")).first())
-    top = words.orderBy(F.desc("n"), "word").limit(vocabulary).collect()
-    ids, size = {r["word"]: i for i, r in enumerate(top)}, len(top)
+    chosen = top(words, "n", vocabulary, "word").collect()
+    ids, size = {r["word"]: i for i, r in enumerate(chosen)}, len(chosen)
     scale = total_target / total if total else 0.0  # background counts at the target's size
 
-    counts = np.array([[r["n_target"], r["n"]] for r in top] or np.zeros((0, 2)), float)
+    counts = np.array([[r["n_target"], r["n"]] for r in chosen] or np.zeros((0, 2)), float)
     counts = np.vstack([counts, np.maximum(0, [total_target, total] - counts.sum(0))])  # and the unknown word
     counts[:, 1] *= scale
     p = (counts + 1) / (counts.sum(0) + size + 1)
@@ -157,7 +156,7 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str =
     of_word = docs.sparkSession.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(p)], "v int, pt double, pb double")
     delta = -(F.log1p(F.col("n_target") / (mu * F.col("pt"))) - F.log1p(F.col("n") * scale / (mu * F.col("pb"))))
     model = seen.withColumn("v", (F.col("bigram") % (size + 2)).cast("int")).join(F.broadcast(of_word), "v").select("bigram", "n", delta.alias("delta"))
-    head = sorted(model.orderBy(F.desc("n"), "bigram").limit(heads).select("bigram", "delta").collect())
+    head = sorted(frequent(model, "n", heads).select("bigram", "delta").collect())
     known = send({"ids": ids, "word": word, "context": context, "head": np.array([r[0] for r in head], np.int64),
                   "head_delta": np.array([r[1] for r in head], float)})
 

@@ -2,7 +2,7 @@
 
 A byte-level BPE never joins across pre-tokens, so a text's token count is the sum over its pre-tokens. The pieces of every
 distinct pre-token of the corpus are counted once; per-document pre-token frequencies are joined to those counts and summed.
-The most frequent pre-tokens (``heads`` of them, none over 64 bytes, so their size is bounded) hold nearly all
+The most frequent pre-tokens (at most ``heads``, none over 64 bytes, so their size is bounded) hold nearly all
 occurrences; their counts are broadcast and joined in the map task, the others meet in a shuffle join.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import stable
 
-from .common import latin_class, whole_text
+from .common import frequent, latin_class, whole_text
 
 FLUSH = 300_000
 LONGEST_HEAD = 64
@@ -127,7 +127,7 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     distinct = (texts.mapInArrow(partial(_frequencies, path=tokenizer), "piece string, n long")
                 .groupBy("piece").agg(F.sum("n").alias("n")))
     counted = stable(distinct.mapInArrow(partial(_lengths, path=tokenizer), "piece string, n long, pieces long"))
-    head = counted.where(F.octet_length("piece") <= LONGEST_HEAD).orderBy(F.desc("n"), "piece").limit(heads)
+    head = frequent(counted.where(F.octet_length("piece") <= LONGEST_HEAD), "n", heads)
     known = docs.sparkSession.sparkContext.broadcast({r[0]: r[1] for r in head.select("piece", "pieces").collect()})
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
     terms = rows.mapInArrow(partial(_terms, path=tokenizer, heads=known, kind=to_arrow_type(kind)),

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_of, whole_text
+from .common import fold_of, lowest_hashes, whole_text
 
 WORD = re.compile(r"\w+")
 #: Lengths of the word beginnings that are tokens of their own: they catch inflected forms not seen in training.
@@ -213,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .withColumn("fold", fold_of("id")))
     if held_out_fold is not None:
         label = label.where(F.col("fold") != held_out_fold)
-    label = F.broadcast(label.orderBy(F.xxhash64("id"), "id").limit(most_rows))
+    label = F.broadcast(lowest_hashes(label, "id", most_rows))
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")).join(label, "id")
     teach, check = rows.where("fold <> 4").select("text", "toxic"), rows.where("fold = 4").select("text", "toxic")
 
