@@ -67,8 +67,8 @@ def _bucket(key: str, bounds: list) -> Column:
     return F.when(F.col(key).isNull(), 0).otherwise(coarse * step + F.size(F.filter(fine, lambda b: b < F.col(key))))
 
 
-def with_next(rows: DataFrame, key: str, carried: list[str], tie: list[Column], names: list[str]) -> DataFrame:
-    """Adds to each row the ``carried`` columns, as ``names``, of the row that follows it in descending ``key`` (nulls last, ties
+def with_next(rows: DataFrame, key: str, carried: list[str], tie: list[Column], names: list[str], derived: dict[str, Column]) -> DataFrame:
+    """Adds the ``derived`` columns, and to each row the ``carried`` ones, as ``names``, of the row that follows it in descending ``key`` (nulls last, ties
     by ``tie``); the last row is followed by the first.
 
     Rows are dealt to buckets of about equal size at quantiles of the (integer) key. Each bucket also gets a
@@ -83,13 +83,14 @@ def with_next(rows: DataFrame, key: str, carried: list[str], tie: list[Column],
     top = dealt.groupBy("__bucket").agg(F.max(key).alias("__top"))
     of_top = dealt.join(F.broadcast(top), "__bucket").where(F.col(key).eqNullSafe(F.col("__top")))
     one = F.row_number().over(_window("__bucket", *tie))
-    first = of_top.withColumn("__one", one).where("__one = 1").select("__bucket", *carried)
+    # derived columns are costly: made for the chosen rows only, and once for each row below
+    first = of_top.withColumn("__one", one).where("__one = 1").withColumns(derived).select("__bucket", *carried)
     # bucket b is followed by the nearest non-empty bucket below; the lowest by the highest
     order = sorted(r[0] for r in top.select("__bucket").collect())  # one number a bucket
     after = dict(zip(order[1:], order, strict=False)) | ({order[0]: order[-1]} if order else {})
     pairs = spark.createDataFrame([(b, a) for a, b in after.items()], "__bucket int, __for int")
     edges = first.join(F.broadcast(pairs), "__bucket").drop("__bucket").withColumnRenamed("__for", "__bucket").withColumn("__edge", F.lit(1))
-    every = dealt.withColumn("__edge", F.lit(0)).unionByName(edges, allowMissingColumns=True)
+    every = dealt.withColumns(derived).withColumn("__edge", F.lit(0)).unionByName(edges, allowMissingColumns=True)
     window = _window("__bucket", F.col("__edge"), F.desc_nulls_last(key), *tie)
     for column, name in zip(carried, names, strict=True):
         every = every.withColumn(name, F.lead(column).over(window))
@@ -110,9 +111,9 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     descending id; after the last comes the first. Null texts are empty, null ids come last, rows with equal ids are ordered by their texts' hash
     and text. A single row is its own next one; an empty table gives no rows; other columns are not read. Ids are whole numbers.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text")).withColumn("sketch", sketch(F.col("text"), size, k, s))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
     tie = [F.xxhash64("text"), F.col("text")]
-    rows = with_next(rows, "id", ["text", "sketch"], tie, ["next_text", "next_sketch"])
+    rows = with_next(rows, "id", ["text", "sketch"], tie, ["next_text", "next_sketch"], {"sketch": sketch(F.col("text"), size, k, s)})
     n = F.length("text")
     m = F.floor(n / 3).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - m), F.substr("next_text", F.lit(1), m))
