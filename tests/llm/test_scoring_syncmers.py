@@ -51,6 +51,15 @@ def test_scores_match_both_models_in_full(spark, heads):
     assert low[121] < low[120]
 
 
+def test_all_of_many_targets_are_used(spark):
+    rng = random.Random(7)
+    rows = [(1000 * i, " ".join(rng.choices(["one", "two", "three", "four"] if i % 3 else ["five", "six", "one"], k=rng.randint(5, 30)))) for i in range(60)]
+    targets = [k for k in range(60_000) if k % 3000]  # 59,980 ids, among them two thirds of the rows
+    wanted = spark.createDataFrame([(k,) for k in targets], "doc_id long")
+    got = lm_scoring.cross_entropy_difference(awkward(spark, rows), wanted, vocabulary=12)
+    assert sorted((r["doc_id"] or -1, r["n_tokens"], round(r["score"], 9)) for r in rows_of(got)) == brute_scores(rows, set(targets), 12, 50.0, 2)
+
+
 def test_scores_without_targets_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long")
     assert {r["score"] for r in rows_of(lm_scoring.cross_entropy_difference(awkward(spark), none))} == {0.0}

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import stable
 
-from .common import frequent, lowest_hashes, top, whole_text
+from .common import frequent, top, whole_text
 
 WORD = re.compile(r"\w+")
 START = "\x02"  # no word: how many texts have words
@@ -117,11 +117,11 @@ def _terms(batches: Iterator[pa.RecordBatch], model, kind: pa.DataType) -> Itera
 
 
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = 1 << 15,
-                             most_targets: int = 50_000, mu: float = 50.0, least_count: int = 2, heads: int = 1 << 18) -> DataFrame:
+                             mu: float = 50.0, least_count: int = 2, heads: int = 1 << 18) -> DataFrame:
     """One row per input row: (id, n_tokens, score), score = mean target loss minus mean background loss, in nats.
 
-    ``targets`` names the target texts by id; at most ``most_targets`` are used (ids that hash lowest), so that side of
-    the join has a known size. All texts are the background. ``vocabulary`` words (the most frequent, ties by
+    ``targets`` names the target texts by id; all of them are used, so that side of the join grows with the input and
+    Spark chooses how to join. All texts are the background. ``vocabulary`` words (the most frequent, ties by
     word) and one unknown word make the shared vocabulary. Texts without words, null ones too, score 0; without any
     target text every score is 0. Null ids are never targets; repeated rows count and are scored like any row; repeated target
     ids count once; other columns are not read; an empty table gives no rows.
@@ -129,8 +129,8 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str =
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind, send = docs.schema[id_col].dataType, docs.sparkSession.sparkContext.broadcast
-    target = lowest_hashes(targets.select(F.col(id_col).alias("id")).where("id is not null").distinct(), "id", most_targets).withColumn("target", F.lit(1))
-    rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")).join(F.broadcast(target), "id", "left").select(
+    target = targets.select(F.col(id_col).alias("id")).where("id is not null").distinct().withColumn("target", F.lit(1))
+    rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")).join(target, "id", "left").select(
         "text", F.coalesce("target", F.lit(0)).alias("target"))
 
     words = stable(rows.mapInArrow(_count_words, "word string, n long, n_target long").groupBy("word")

@@ -21,7 +21,7 @@ def query(function):
     return function
 
 
-# every token of every text scored by both models; up to 50,000 target texts, which all are used at this size
+# every token of every text scored by both models, counted from all target texts
 ORACLES["op1_cross_entropy_difference"] = r"""
 WITH target AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
 texts AS (SELECT d.doc_id, t.doc_id IS NOT NULL AS tg, regexp_extract_all(lower(coalesce(d.text, '')), '[\p{L}\p{N}_]+') AS ws
