@@ -118,6 +118,21 @@ def test_near_copies_go_and_others_stay(spark):
     assert len(close) > 20 and sum(k in kept for k in close) <= 0.1 * len(close)
 
 
+def test_links_are_decided_by_the_exact_similarity(spark):
+    rng, rows, pairs = random.Random(12), [], {}
+    for i in range(240):
+        base = [f"w{i}x{k}" for k in range(rng.randint(60, 400) if i % 4 else rng.randint(12, 60))]
+        copy = base[:round(len(base) * rng.uniform(0.74, 0.9))] + [f"v{i}x{k}" for k in range(len(base) // 40)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+        apart = (near_dedup.simhash(rows[-1][1], 5) ^ near_dedup.simhash(rows[-2][1], 5)) & (2**64 - 1)
+        pairs[i] = jaccard(rows[-1][1], rows[-2][1]), apart.bit_count()
+    kept = {r["doc_id"] for r in near_dedup.keep_one_each(awkward(spark, rows)).collect()}
+    close, other = [i for i, (j, _) in pairs.items() if j >= 0.8], [i for i, (j, bits) in pairs.items() if j < 0.8 and bits > 4]
+    assert min(len(close), len(other)) > 80
+    assert sum(2 * i + 1 in kept for i in close) <= 1
+    assert all(2 * i + 1 in kept for i in other)
+
+
 def test_one_hot_key_in_blocks(spark):
     rng = random.Random(2)
     base = rng.choices([f"w{i}" for i in range(300)], k=200)

@@ -12,13 +12,14 @@ Pairs are never listed: each key's members give a spanning forest of their links
 
 Four bits of 64 find copies that differ in a few words of a long text; copies of five-word similarity 0.8 differ in about
 ten bits, out of reach of any selective key. :func:`keep_one_each`, which must catch those too, therefore also links texts
-by one-permutation minhash signatures of the same shingles: equal bands are keys, and in a key members whose
-signatures agree in ``similarity`` of their places are linked, again as a forest.
+by the exact Jaccard similarity of their shingle sets. One-permutation minhash signatures only find candidates: equal bands
+are keys, and in a key members whose signatures agree in clearly fewer places than wanted are candidates. Every link lies
+inside a component of candidates, so each component's shingle hashes meet once and their exact links give a forest.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -70,6 +71,8 @@ def simhash_column(text: str = "text", width: int = 4, seed: int = 42):
 
 
 BINS, BANDS, BAND_ROWS = 96, 16, 5
+LIKELY = 0.2  # a candidate's signature agrees in the wanted similarity less this: five standard errors at 0.8
+FEW = 400  # pairs with fewer shingles together are candidates by their band alone: their places are not independent
 _ODD = (np.arange(1, BINS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)  # fixed multipliers, one a place
 
 
@@ -87,8 +90,8 @@ def signature(blocks: Iterator[np.ndarray]) -> np.ndarray | None:
     return least[lender] + ((lender - np.arange(BINS)) % BINS).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
-def _marks(text: str | None, width: int, seed: int) -> tuple[int, int, list[int], bytes]:
-    """(SimHash, node, band keys, one byte of each signature place); equal shingle sets give equal nodes."""
+def _marks(text: str | None, width: int, seed: int) -> tuple[int, int, list[int], bytes, bytes]:
+    """(SimHash, node, band keys, one byte of each signature place, the different shingle hashes); equal shingle sets give equal nodes."""
     total, ones, blocks = 0, np.zeros(64, np.int64), []
     for block in _word_shingles(text or "", width, seed):
         total += len(block)
@@ -97,63 +100,117 @@ def _marks(text: str | None, width: int, seed: int) -> tuple[int, int, list[int]
     fp = int(np.packbits(2 * ones > total, bitorder="little").view("<i8")[0]) if total else 0
     places = signature(iter(blocks))
     if places is None:
-        return fp, 0, [], bytes(BINS)
+        return fp, 0, [], bytes(BINS), b""
+    shingles = np.unique(np.concatenate(blocks)).astype("<u8").tobytes()
     mixed = places * _ODD
     mixed ^= mixed >> np.uint64(29)
     bands = (mixed[:BANDS * BAND_ROWS] * _ODD[:BANDS * BAND_ROWS]).reshape(BANDS, BAND_ROWS).sum(1, dtype=np.uint64)
-    node = np.uint64(xxhash.xxh64_intdigest(places.tobytes(), 1)).view(np.int64)
-    return fp, int(node), bands.view(np.int64).tolist(), (mixed >> np.uint64(56)).astype(np.uint8).tobytes()
+    node = np.uint64(xxhash.xxh64_intdigest(shingles, 1)).view(np.int64)
+    return fp, int(node), bands.view(np.int64).tolist(), (mixed >> np.uint64(56)).astype(np.uint8).tobytes(), shingles
 
 
 def _marks_column(text: str, width: int, seed: int):
-    @F.pandas_udf("fp long, node long, bands array<long>, places binary")
+    @F.pandas_udf("fp long, node long, bands array<long>, places binary, number long, shingles binary")
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_marks(x, width, seed) for x in texts], columns=["fp", "node", "bands", "places"])
+        found = [(*m[:4], len(m[4]) // 8, m[4]) for m in (_marks(x, width, seed) for x in texts)]
+        return pd.DataFrame(found, columns=["fp", "node", "bands", "places", "number", "shingles"])
 
     return run(whole_text(text))
 
 
-def _link_similar(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Edges of each run of equal (band, key, part) in rows sorted by them; a run may span batches."""
-    def link(run: list[tuple]) -> Iterator[pa.RecordBatch]:
-        if len(run) > 1:
-            nodes, places = [r[0] for r in run], np.frombuffer(b"".join(r[1] for r in run), np.uint8).reshape(-1, BINS)
-            left, right, rest = [], [], np.arange(len(run))
-            while len(rest):
-                front, rest = [rest[0]], rest[1:]
-                while front and len(rest):
-                    one = front.pop()
-                    hit = (places[rest] == places[one]).mean(1) >= similarity
-                    left += [nodes[one]] * int(hit.sum())
-                    right += [nodes[i] for i in rest[hit]]
-                    front += list(rest[hit])
-                    rest = rest[~hit]
-            if left:
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+def _shingles_column(text: str, width: int, seed: int):
+    """The different shingle hashes of a text, as :func:`_marks` gives them."""
+    @F.pandas_udf("binary")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(np.concatenate([*_word_shingles(x or "", width, seed), np.zeros(0, np.uint64)])).astype("<u8").tobytes() for x in texts], dtype=object)
+
+    return run(whole_text(text))
 
+
+def _runs(batches: Iterator[pa.RecordBatch], key: tuple[str, ...], values: tuple[str, ...]) -> Iterator[list[tuple]]:
+    """The values of each run of equal keys, of two rows or more, in rows sorted by key; a run may span batches."""
     at, run = None, []
     for batch in batches:
-        for key, row in zip(zip(*(batch.column(c).to_pylist() for c in ("band", "key", "part")), strict=True),
-                            zip(*(batch.column(c).to_pylist() for c in ("node", "places")), strict=True), strict=True):
-            if key != at:
-                yield from link(run)
-                at, run = key, []
+        for now, row in zip(zip(*(batch.column(c).to_pylist() for c in key), strict=True),
+                            zip(*(batch.column(c).to_pylist() for c in values), strict=True), strict=True):
+            if now != at:
+                if len(run) > 1:
+                    yield run
+                at, run = now, []
             run.append(row)
-    yield from link(run)
+    if len(run) > 1:
+        yield run
+
+
+def _tree(nodes: list[int], near: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Spanning forest of the links among the nodes; ``near`` tells which of some places are linked to one place."""
+    left, right, rest = [], [], np.arange(len(nodes))
+    while len(rest):
+        front, rest = [rest[0]], rest[1:]
+        while front and len(rest):
+            one = front.pop()
+            hit = near(one, rest)
+            left += [nodes[one]] * int(hit.sum())
+            right += [nodes[i] for i in rest[hit]]
+            front += list(rest[hit])
+            rest = rest[~hit]
+    if left:
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
 
+def _likely(places: np.ndarray, number: np.ndarray, similarity: float) -> Callable[[int, np.ndarray], np.ndarray]:
+    def near(one: int, rest: np.ndarray) -> np.ndarray:
+        fits = np.minimum(number[rest], number[one]) >= similarity * np.maximum(number[rest], number[one]) - 1e-9
+        return fits & (((places[rest] == places[one]).mean(1) >= similarity - LIKELY) | (number[rest] + number[one] < FEW))
 
-def similar_links(marks: DataFrame, similarity: float, block: int = 4096) -> DataFrame:
-    """Edges (a, b) between nodes of ``marks`` (node, bands, places) whose signatures agree in ``similarity`` of their places.
+    return near
 
-    Only keys with several members are looked at; a key with more than ``block`` of them is dealt as pairs of blocks.
+
+def _link_likely(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Forests of candidates in each run of equal (band, key, part)."""
+    for run in _runs(batches, ("band", "key", "part"), ("node", "places", "number")):
+        places = np.frombuffer(b"".join(r[1] for r in run), np.uint8).reshape(-1, BINS)
+        yield from _tree([r[0] for r in run], _likely(places, np.array([r[2] for r in run]), similarity))
+
+
+def _link_exact(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Forests of the pairs whose shingle sets have a Jaccard similarity of at least ``similarity``, in each run of equal (root, part)."""
+    for run in _runs(batches, ("root", "part"), ("node", "places", "shingles")):
+        sets = [np.frombuffer(r[2], "<u8") for r in run]
+        likely = _likely(np.frombuffer(b"".join(r[1] for r in run), np.uint8).reshape(-1, BINS), np.array(list(map(len, sets))), similarity)
+
+        def near(one: int, rest: np.ndarray) -> np.ndarray:
+            hit = likely(one, rest)
+            for i in np.flatnonzero(hit):
+                few, many = sorted((sets[one], sets[rest[i]]), key=len)
+                both = int((many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few).sum())
+                hit[i] = both >= similarity * (len(few) + len(many) - both) - 1e-9
+            return hit
+
+        yield from _tree([r[0] for r in run], near)
+
+
+def similar_links(marks: DataFrame, similarity: float, block: int = 4096, texts: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Edges (a, b) between nodes of ``marks`` (node, bands, places, number) that span every component of "found as candidates, and
+    the shingle sets' Jaccard similarity is at least ``similarity``". No edge is below it; a pair at 0.8 shares a band in 99.8 % of cases.
+
+    Only keys with several members are looked at; a key, or a component of candidates, with more than ``block`` members is dealt
+    as pairs of blocks. ``texts`` gives (node, shingles) for rows with a node; else ``marks`` has them.
     """
-    known = marks.groupBy("node").agg(F.first("bands").alias("bands"), F.first("places").alias("places"))
+    known = marks.where("number > 0").groupBy("node").agg(F.first("bands").alias("bands"), F.first("places").alias("places"), F.first("number").alias("number"))
     keys = known.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = keys.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = keys.join(sizes, ["band", "key"]).join(known.select("node", "places"), "node")
-    return (_dealt(shared, "node", block).select("band", "key", "part", "node", "places")
-            .repartition("band", "key", "part").sortWithinPartitions("band", "key", "part", "node")
-            .mapInArrow(partial(_link_similar, similarity=similarity), "a long, b long"))
+    shared = keys.join(sizes, ["band", "key"]).join(known.select("node", "places", "number"), "node")
+    candidates = (_dealt(shared, "node", block).select("band", "key", "part", "node", "places", "number")
+                  .repartition("band", "key", "part").sortWithinPartitions("band", "key", "part", "node")
+                  .mapInArrow(partial(_link_likely, similarity=similarity), "a long, b long"))
+    groups = stable(components(candidates))
+    sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
+    some = texts(groups) if texts else marks.join(groups, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    members = groups.join(sizes, "root").join(known.select("node", "places"), "node").join(some, "node")
+    return (_dealt(members, "node", block).select("root", "part", "node", "places", "shingles")
+            .repartition("root", "part").sortWithinPartitions("root", "part", "node")
+            .mapInArrow(partial(_link_exact, similarity=similarity), "a long, b long"))
 
 
 def _dealt(shared: DataFrame, member: str, block: int) -> DataFrame:
@@ -321,20 +378,24 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The rows of ``docs``, all columns, one of each group of near-duplicates: the smallest id, and of rows with that same
     id the first read; groups of null ids keep their first row.
 
-    Two texts are linked when their SimHashes differ in at most ``bits`` bits or the minhash signatures of their ``width``-word shingles
-    agree in ``similarity`` of 96 places (an estimate of the shingle sets' Jaccard similarity with a standard error of 0.04 at 0.8);
-    groups are the connected components. Null, empty and blank texts make one group.
+    Two texts are linked when their SimHashes differ in at most ``bits`` bits or the sets of their ``width``-word
+    shingles have a Jaccard similarity of at least ``similarity``, exactly (:func:`similar_links`); groups are the connected components. Null, empty and blank texts make one group.
     """
     row, place = "__near_dedup_row", F.struct(F.col("id").isNull().alias("none"), "id", "place")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     rows = stable(numbered.select(F.col(row).alias("place"), F.col(id_col).alias("id"), _marks_column(text_col, width, seed).alias("m"))
-                  .select("place", "id", "m.*"))
+                  .select("place", "id", "m.fp", "m.node", "m.bands", "m.places", "m.number"))
+
+    def texts(nodes: DataFrame) -> DataFrame:
+        one = rows.join(nodes.select("node"), "node").groupBy("node").agg(F.min("place").alias(row))
+        return numbered.select(row, F.col(text_col).alias("text")).join(one, row).select("node", _shingles_column("text", width, seed).alias("shingles"))
+
     # every fingerprint is stood for by its smallest node, so all links are between nodes
     heads = stable(rows.groupBy("fp").agg(F.min("node").alias("head")))
     same = rows.select("fp", "node").distinct().join(heads, "fp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     near = (fingerprint_links(heads, bits, segments).join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a")
             .join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
-    roots = components(same.unionByName(near).unionByName(similar_links(rows, similarity)))
+    roots = components(same.unionByName(near).unionByName(similar_links(rows, similarity, texts=texts)))
     first = rows.groupBy("node").agg(F.min(place).alias("first")).join(roots, "node", "left")
     keep = stable(first.groupBy(F.coalesce("root", "node")).agg(F.min("first")["place"].alias(row)).select(row))
     return numbered.join(keep, row, "left_semi").drop(row)
