@@ -53,6 +53,14 @@ def test_every_template_finds_itself(spark):
     assert all(t.label in got[i] for i, t in enumerate(lic.TEMPLATES))
 
 
+def test_a_file_with_all_templates_keeps_every_label(spark):
+    every = " and then ".join(t.text for t in lic.TEMPLATES)
+    pairs = [(i, f"{a.text} {b.text}") for i, (a, b) in enumerate(zip(lic.TEMPLATES, lic.TEMPLATES[5:] + lic.TEMPLATES[:5]))]
+    got = {r["doc_id"]: set(r["labels"].split(",")) for r in rows_of(lic.scan_licenses(awkward(spark, [*pairs, (100, every), (101, every * 3)])))}
+    assert {t.label for t in lic.TEMPLATES} <= got[100] and got[100] == got[101]
+    assert all({a.label, b.label} <= got[i] for i, (a, b) in enumerate(zip(lic.TEMPLATES, lic.TEMPLATES[5:] + lic.TEMPLATES[:5])))
+
+
 CALLS = "conv_id long, turn long, call_id string, name string, arguments string, extra string"
 RESULTS = "conv_id long, turn long, call_id string, content string, name string"
 TOOLS = {"find": {"q": {"type": "string", "required": True}, "n": {"type": "integer"}, "m": {"type": "string", "enum": ["a", "b"]}}}

@@ -1,7 +1,7 @@
 """License notices by a positional rare-token index, in Spark SQL expressions alone.
 
 Templates of licence notices are words at positions. The index holds, for each template, its rarest words by document
-frequency in the scanned files, with their positions. A file's highest-IDF indexed words are looked up; a posting at
+frequency in the scanned files, with their positions. All indexed words of a file are looked up; a posting at
 template position q for a word at file position p proposes that the template starts at p - q. Proposals on which enough
 different words agree are verified: every mandatory key phrase of the template must stand at its place.
 """
@@ -11,6 +11,8 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,13 +103,13 @@ def rarest_words(files: DataFrame, words: str, templates=TEMPLATES, keep: int =
 
 
 def scan_licenses(files: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, base: dict[str, str] = BASE,
-                  rare: int = 4, looked_up: int = 8, agree: int = 2) -> DataFrame:
+                  rare: int = 4, agree: int = 2) -> DataFrame:
     """One row per file: (id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches).
 
     ``n_base`` counts all places of the base phrases, ``first_word`` and ``last_word`` are the smallest and largest (null without any).
     ``labels`` adds the labels of verified templates to the base ones. ``matches`` lists (label, start, share of the template's words that
-    stand at their place). ``score`` is the best share, at least 0.5 with a base phrase, else 0. ``looked_up`` highest-IDF indexed
-    words of a file are looked up at all their places; ``agree`` different words must propose the same start.
+    stand at their place). ``score`` is the best share, at least 0.5 with a base phrase, else 0. All indexed words
+    of a file are looked up at all their places; ``agree`` different words must propose the same start.
     Null texts are empty: no words, no labels. Null ids and repeated rows are scanned like any row; other columns are not read.
     """
     rows = files.select(F.col(id_col).alias("id"), file_words(whole_text(text_col)).alias("words"))
@@ -115,11 +117,9 @@ def scan_licenses(files: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     indexed = sorted({w for found in index.values() for w in found}, key=lambda w: (-idf[w], w))
     lengths = {t.label: template_words(t.text) for t in templates}
 
-    # a file's highest-IDF indexed words, then all their places
-    top = F.slice(F.filter(F.array_intersect(F.lit(indexed), F.col("words")), lambda w: w.isNotNull()), 1, looked_up)
-    places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(indexed), F.struct(w.alias("w"), i.alias("p")))),
-                      lambda x: x.isNotNull() & F.array_contains(F.col("top"), x["w"]))
-    rows = rows.withColumn("top", top).withColumn("hits", F.when(F.size("top") >= 1, places))
+    # all places of the file's indexed words
+    places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(indexed), F.struct(w.alias("w"), i.alias("p")))), lambda x: x.isNotNull())
+    rows = rows.withColumn("hits", F.when(F.arrays_overlap("words", F.lit(indexed)), places))
 
     base_places = {phrase: _places(F.col("words"), phrase.split()) for phrase in base}
     for k, (phrase, found) in enumerate(base_places.items()):
@@ -129,12 +129,16 @@ def scan_licenses(files: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def matches(template: Template) -> Column:
         words, rarest = lengths[template.label], index[template.label]
-        postings = [(w, q) for q, w in enumerate(words) if w in rarest]
-        starts = F.flatten(F.transform("hits", lambda x: F.array_compact(F.array(
-            *[F.when(x["w"] == w, F.struct((x["p"] - q).alias("start"), x["w"].alias("w"))) for w, q in postings]))))
         enough = min(agree, len(rarest))
-        wanted = F.array_distinct(F.transform(starts, lambda x: x["start"]))
-        agreed = F.filter(wanted, lambda at: F.size(F.array_distinct(F.filter(starts, lambda x: x["start"] == at))) >= enough)
+        # of any ``enough`` words that agree one at least is among these, so they propose all starts
+        postings = [(w, q) for q, w in enumerate(words) if w in rarest[:len(rarest) - enough + 1]]
+        starts = F.flatten(F.transform("hits", lambda x: F.array_compact(F.array(*[F.when(x["w"] == w, x["p"] - q) for w, q in postings]))))
+
+        def support(at: Column) -> Column:
+            stands = [[F.get(F.col("words"), at + q).eqNullSafe(w) for q, x in enumerate(words) if x == w] for w in rarest]
+            return sum(F.when(reduce(or_, places), 1).otherwise(0) for places in stands)
+
+        agreed = F.filter(F.array_distinct(starts), lambda at: support(at) >= enough)
 
         def verified(at: Column) -> Column:
             ok = F.lit(True)
