@@ -1,4 +1,7 @@
+import math
 import random
+import re
+from collections import Counter
 
 from helpers import TEXTS, awkward, nothing, rows_of
 
@@ -67,3 +70,22 @@ def test_question_and_answer():
     assert d.question_and_answer("A b. Answer: c") == (["a", "b"], ["c"])
     assert d.question_and_answer("a b c") == (["a", "b"], ["c"])
     assert d.question_and_answer("") == ([], [])
+
+
+def test_impacts_count_words_of_any_script(spark):
+    texts = [(i, f"¿Dónde está el niño número {i}? Está en la montaña{i} ДОМ 日本" + " más allá" * (40 * (i % 2))) for i in range(12)]
+    shard, = d.index_shards(spark.createDataFrame(texts, "item_id long, text string"))
+    words = {i: re.findall(r"\w+", t.lower()) for i, t in texts}
+    parts = [ws[at:at + 64] for ws in words.values() for at in range(0, len(ws), 64)]
+    mean = sum(map(len, parts)) / len(parts)
+    frequency = Counter(w for ws in words.values() for w in set(ws))
+    want = []
+    for part in parts:
+        raw = {w: math.log(1 + (12 - frequency[w] + 0.5) / (frequency[w] + 0.5)) * tf * (d.K1 + 1) / (tf + d.K1 * (1 - d.B + d.B * len(part) / mean))
+               for w, tf in Counter(part).items()}
+        want.append(sorted((w, round(x / sum(raw.values()), 4)) for w, x in raw.items()))
+    names = sorted(shard.vocabulary, key=shard.vocabulary.get)
+    got = [sorted((names[i], round(float(x), 4)) for i, x in enumerate(column) if x > 0) for column in shard.impact.T]
+    key = lambda part: [w for w, _ in part]
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+        assert key(a) == key(b) and all(abs(x - y) < 2e-4 for (_, x), (_, y) in zip(a, b, strict=True))

@@ -86,15 +86,17 @@ def index_shards(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
                  shard_items: int = 512) -> Iterator[Shard]:
     """The index, shard by shard: only one shard's items and their terms' frequencies are on the driver at a time."""
     rows = items.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")).where("id is not null")
-    words = rows.select("id", F.explode(F.expr(r"array_distinct(regexp_extract_all(lower(text), '\\w+', 0))")).alias("w"))
+    # Python's \w: letters, numbers and the underscore of any script
+    found = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
+    words = rows.select("id", F.explode(F.array_distinct(found)).alias("w"))
     frequency = words.groupBy("w").agg(F.count("*").alias("n"))
-    total, chars = rows.agg(F.count("*"), F.avg(F.length("text"))).first()
+    total, n_words, n_parts = rows.select(F.size(found).alias("n")).agg(F.count("*"), F.sum("n"), F.sum(F.ceil(F.col("n") / stride))).first()
     if not total:
         return
     length = F.greatest(F.lit(1), F.ceil(F.length("text") / (2 * stride)))  # parts of an item, at most
     n_shards = rows.agg(F.ceil(F.sum(length) / shard_items)).first()[0]
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(n_shards)))
-    mean = min(stride, chars / 5.5)
+    mean = n_words / max(n_parts, 1)  # words of a part
     for shard in range(n_shards):
         own = dealt.where(F.col("shard") == shard)
         pairs = [tuple(r) for r in own.select("id", "text").distinct().collect()]
