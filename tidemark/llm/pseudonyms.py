@@ -189,7 +189,7 @@ def pseudonymised(text: Column, hits: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, with personal data in ``text_col`` replaced by format-preserving pseudonyms.
 
-    Card-like numbers, international phone numbers, social security numbers, IPv4 addresses, dates of 1900 to 2100, e-mail
+    Card-like numbers, phone numbers of +country and 3-3-4 digits, social security numbers, IPv4 addresses, dates of 1900 to 2100, e-mail
     local parts and long hexadecimal secrets are replaced; everything else stays. A null text stays null, an empty one empty. No
     column is added, no shuffle is made, repeated rows stay repeated.
     """
