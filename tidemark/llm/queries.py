@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, license_scan, lm_scoring, near_dedup, packing, pseudonyms, syncmers, token_counts, tool_calls, toxicity
+from . import (
+    centroids, decontamination, license_scan, lm_scoring, near_dedup, packing, pseudonyms, source_audit, syncmers, token_counts, tool_calls,
+    toxicity, url_filter,
+)
 from .common import fold_of, table
 
 QUERIES: dict = {}
@@ -127,3 +130,93 @@ def op9_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+def _kmeans_sql(rounds: int = 10) -> str:
+    """Rounds of exact k-means, one pair of common tables each."""
+    assign = """a{i} AS MATERIALIZED (SELECT k.r, min(struct_pack(d := CAST(list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT),
+  c := c.c)) AS best, any_value(k.v) AS v FROM kept k, c{i} c GROUP BY k.r)"""
+    move = """m{i} AS MATERIALIZED (SELECT c, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT best.c AS c, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM a{i}) GROUP BY c, j),
+c{j} AS MATERIALIZED (SELECT c.c, coalesce(f.v, c.v) AS v FROM c{i} c LEFT JOIN (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS v FROM m{i} GROUP BY c) f ON f.c = c.c)"""
+    steps = ",\n".join(f"{assign.format(i=i)},\n{move.format(i=i, j=i + 1)}" for i in range(rounds))
+    return f"""WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256(concat('3:', vec_id)), v) - 1 AS c, v FROM kept QUALIFY c < 8),
+{steps},
+{assign.format(i=rounds)},
+named AS (SELECT c, sha256(array_to_string(v, ',')) AS centroid_sha256 FROM c{rounds})
+SELECT k.vec_id, CAST(a.best.c AS INTEGER) AS cluster, a.best.d AS distance, CAST(sum(a.best.d) OVER (PARTITION BY a.best.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.best.d) OVER () AS BIGINT) AS inertia, n.centroid_sha256
+FROM a{rounds} a JOIN kept k ON k.r = a.r JOIN named n ON n.c = a.best.c"""
+
+
+ORACLES["op11_centroid_dictionaries"] = _kmeans_sql()
+
+
+@query
+def op11_centroid_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_source_divergence"] = r"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+toks AS (SELECT r, lang, source, unnest(ws) AS term FROM docs),
+counted AS MATERIALIZED (SELECT r, lang, source, term, count(*) AS n FROM toks GROUP BY ALL),
+kept AS MATERIALIZED (SELECT lang, term FROM counted GROUP BY lang, term HAVING count(*) >= 30),
+sources AS MATERIALIZED (SELECT DISTINCT lang, source FROM docs),
+sized AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+found AS MATERIALIZED (SELECT c.lang, c.source, c.term, CAST(sum(c.n) AS BIGINT) AS n FROM counted c JOIN kept k ON k.lang = c.lang AND k.term = c.term GROUP BY ALL),
+dense AS MATERIALIZED (SELECT s.lang, s.source, k.term, coalesce(f.n, 0) AS n, CAST(sum(coalesce(f.n, 0)) OVER (PARTITION BY s.lang, s.source) AS BIGINT) AS total, z.v
+  FROM sources s JOIN kept k ON k.lang = s.lang JOIN sized z ON z.lang = s.lang LEFT JOIN found f ON f.lang = s.lang AND f.source = s.source AND f.term = k.term),
+shares AS MATERIALIZED (SELECT lang, source, term, n, CAST(1 + (1000000000 * CAST(n + 5 AS HUGEINT)) // (total + 5 * v) AS BIGINT) AS p FROM dense),
+wide AS (SELECT lang, term, sum(n) AS n, any_value(v) AS v FROM dense GROUP BY lang, term),
+whole AS MATERIALIZED (SELECT lang, term, CAST(1 + (1000000000 * CAST(n + 5 AS HUGEINT)) // CAST(sum(n) OVER (PARTITION BY lang) + 5 * v AS HUGEINT) AS BIGINT) AS q FROM wide),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(d.value, 0) AS value FROM sources a JOIN sources b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN (SELECT x.lang, x.source AS one, y.source AS two, CAST(sum(abs(x.p - y.p)) AS BIGINT) AS value FROM shares x
+    JOIN shares y ON y.lang = x.lang AND y.term = x.term AND y.source <> x.source GROUP BY ALL) d ON d.lang = a.lang AND d.one = a.source AND d.two = b.source),
+terms AS (SELECT s.lang, s.source, s.term AS item, s.p - w.q AS value FROM shares s JOIN whole w ON w.lang = s.lang AND w.term = s.term WHERE s.n > 0 AND s.p > w.q)
+SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL SELECT lang, source, 'term', item, CAST(value AS BIGINT), CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM terms QUALIFY rank <= 50
+"""
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.source_divergence(table(spark, sf_dir, "documents"))
+
+
+#: The rules of the registered URL query.
+URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
+
+
+def _url_sql() -> str:
+    def stands(term: str) -> str:
+        return rf"regexp_matches(url, '(?:^|[\x00-\x2F\x3A-\x60\x7B-\x7F]){term}(?:[\x00-\x2F\x3A-\x60\x7B-\x7F]|$)')"
+
+    weight = " + ".join(f"CASE WHEN {stands(t)} THEN {w} ELSE 0 END" for t, w in url_filter.VOCABULARY.items())
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    low = f"translate({{}}, '{upper}', '{upper.lower()}')"
+    return f"""
+WITH rests AS (SELECT row_number() OVER () AS r, page_id, {low.format("coalesce(url, '')")} AS url,
+  CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT r, page_id, url, {low.format("regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1)")} AS host, regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path FROM rests),
+rules(rule_host, rule_path, verdict) AS (VALUES {rules}),
+fits AS (SELECT p.r, max(struct_pack(n := length(rule_host) + length(rule_path), h := length(rule_host), rule := rule_host || rule_path, verdict := x.verdict)) AS best
+  FROM parts p JOIN rules x ON starts_with(p.path, rule_path) AND (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) GROUP BY p.r),
+judged AS (SELECT p.*, f.best, {weight} AS weight FROM parts p LEFT JOIN fits f ON f.r = p.r)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, CASE WHEN weight >= {url_filter.STRICT} THEN 'block' ELSE 'allow' END) AS verdict,
+  CAST(weight AS BIGINT) AS weight FROM judged"""
+
+
+ORACLES["op13_url_vocabulary"] = _url_sql()
+
+
+@query
+def op13_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "weight")
