@@ -88,3 +88,57 @@ def test_repeated_labels_take_the_largest(spark):
     again = labels.unionByName(labels.withColumn("toxic", F.lit(0)))
     assert t.train(rows.drop("toxic"), again) == t.train(rows.drop("toxic"), labels)
     assert list(itertools.islice(t._tokens("abcdefghij"), 5)) == ["abcdefghij", "abcde*", "abcdef*", "abcdefg*", "abcdefgh*"]
+
+
+def _gradient(bins, beta, penalty=(1e-3, 0.05), start=(0.0, 0.5)):
+    import math
+
+    g = [penalty[i] * (beta[i] - start[i]) for i in (0, 1)]
+    for y, x, n in bins:
+        p = 1 / (1 + math.exp(-max(-700, min(700, beta[0] + beta[1] * x))))
+        g[0] += n * (p - y)
+        g[1] += n * (p - y) * x
+    return g
+
+
+def test_the_fit_converges_whatever_the_counts():
+    pick = random.Random(3)
+    mixed = [(0, x / 4, pick.randint(1, 900) if x < 8 else 1) for x in range(0, 40)] + [(1, x / 4, pick.randint(1, 40)) for x in range(0, 400, 7)]
+    apart = [(0, 0.0, 70_000), (0, 0.25, 900), (1, 9.0, 3000), (1, 80.0, 5000)]  # separable: only the penalty holds the slope
+    swung = [(0, 0.0, 33_000), (0, 30.0, 12), (1, 0.0, 400), (1, 60.0, 3500), (1, 100.0, 500)]
+    for bins in (mixed, apart, swung, [(0, 0.0, 1), (1, 0.0, 1)], [(0, 0.0, 5), (1, 100.0, 5)]):
+        answers = []
+        for times in (1, 12, 100):
+            counted = [(y, x, n * times) for y, x, n in bins]
+            beta = t._logistic(counted)
+            if beta[1] > 0:
+                assert max(map(abs, _gradient(counted, beta))) < 1e-5 * sum(n for _, _, n in counted)
+            answers.append(beta)
+        cut = [-a / b if b else None for a, b in answers]  # where the probability is one half
+        if bins is mixed or bins is swung:  # the penalty alone may move the answer
+            assert max(cut) - min(cut) < 0.05 * max(1, abs(cut[0]))
+    for times in (1, 12, 100):
+        a, b = t._logistic([(y, x, n * times) for y, x, n in apart])
+        assert a + 0.25 * b < 0 < a + 9 * b
+
+
+def test_copies_teach_nothing_new(spark):
+    pick = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(pick.choices(words, k=30)) + (" vile slur" if i % 6 == 0 else ""), int(i % 6 == 0)) for i in range(900)]
+    copied = rows + [(10_000 + i, rows[0][1], 1) for i in range(1500)] + [(20_000 + i, rows[1][1], 0) for i in range(1500)]
+    models = []
+    for each in (rows, copied):
+        docs = spark.createDataFrame(each, "doc_id long, text string, toxic int")
+        models.append(t.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic")))
+    assert {"vile", "slur"} <= set(models[0].odds) and set(models[1].odds) <= set(models[0].odds) | {w for w in models[1].odds if w in ("vile", "slur", "vile*", "slur*")}
+
+
+def test_passages_and_evidence_share_one_chance():
+    model = t.ToxicityModel(odds={"vile": 3.0}, decay=0.7, density=0.02)
+    scorer = t._Scorer(model)
+    n, segments = scorer.segments("a b c vile vile d e f")
+    import math
+
+    assert len(segments) == 1
+    assert abs(scorer.evidence(n, segments) + math.log(model.chance(n, segments[0][2]))) < 1e-12

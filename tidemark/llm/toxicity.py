@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import stable
+
 from .common import fold_of, lowest_hashes, whole_text
 
 WORD = re.compile(r"\w+")
@@ -43,6 +45,10 @@ class ToxicityModel:
     slope: float = 0.0
     significance: float = 0.01  # expected number of chance segments below which a passage is reported
 
+    def chance(self, n: int, score: float) -> float:
+        """Segments of ``score`` or more expected by chance in clean text of ``n`` words, which counts as one place at least."""
+        return (self.density * n + 1) * math.exp(max(-600.0, -self.decay * score))
+
 
 def _tokens(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in STEMS if len(word) >= n)]
@@ -121,12 +127,12 @@ class _Scorer:
         return len(words), maximal_segments(hits, model.neutral)
 
     def evidence(self, n: int, segments: list[tuple[int, int, float]]) -> float:
-        """log of summed exp(lambda S) over all segments, against the chance level K n; zero without any segment."""
+        """log of summed exp(lambda S) over all segments, against the chance level K n + 1; zero without any segment."""
         if not segments:
             return 0.0
         top = max(s for _, _, s in segments)
         summed = sum(math.exp(self.model.decay * (s - top)) for _, _, s in segments)
-        return max(0.0, self.model.decay * top + math.log(summed) - math.log(self.model.density * n + 1))
+        return max(0.0, math.log(summed) - math.log(self.model.chance(n, top)))
 
     def probability(self, evidence: float) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.model.intercept + self.model.slope * evidence))))
@@ -180,19 +186,46 @@ def _decay(bins: dict[float, int]) -> float:
     return min(low, 3.0)
 
 
-def _logistic(bins: list[tuple[int, float, int]]) -> tuple[float, float]:
-    """(intercept, slope) of a lightly penalised logistic fit on (label, x, count)."""
+def _logistic(bins: list[tuple[int, float, int]], penalty: tuple[float, float] = (1e-3, 0.05), start: tuple[float, float] = (0.0, 0.5),
+              rounds: int = 200) -> tuple[float, float]:
+    """(intercept, slope) of a logistic fit on (label, x, count) with a light penalty that draws to ``start``.
+
+    The penalised loss is strictly convex; a Newton step is halved until the loss falls enough, so the fit cannot
+    swing between two points. Raises where the gradient does not vanish.
+    """
     y, x, n = (np.array(v, float) for v in zip(*bins, strict=True))
-    beta, scale = np.array([-2.0, 0.5]), np.diag([1e-3, 0.05])
-    design = np.stack([np.ones_like(x), x], 1)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        step = np.linalg.solve(design.T @ (design * (n * p * (1 - p) + 1e-9)[:, None]) + scale,
-                               design.T @ (n * (y - p)) - scale @ (beta - [0, 0.5]))
-        beta = beta + np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
+    design, scale, drawn = np.stack([np.ones_like(x), x], 1), np.array(penalty), np.array(start)
+
+    def loss(beta: np.ndarray) -> float:
+        z = design @ beta
+        return float((n * (np.logaddexp(0, z) - y * z)).sum() + (scale * (beta - drawn) ** 2).sum() / 2)
+
+    beta, now = drawn, loss(drawn)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(design @ beta, -500, 500)))
+        gradient = design.T @ (n * (p - y)) + scale * (beta - drawn)
+        if np.abs(gradient).max() <= 1e-9 * (1 + n.sum()):
+            return float(beta[0]), float(max(0.0, beta[1]))
+        step = np.linalg.solve(design.T @ (design * (n * p * (1 - p))[:, None]) + np.diag(scale), -gradient)
+        share = 1.0
+        while (after := loss(beta + share * step)) > now + 1e-4 * share * float(gradient @ step) and share > 1e-12:
+            share /= 2
+        if after >= now:  # no step makes it smaller: as good as the numbers' precision allows
+            if np.abs(gradient).max() <= 1e-6 * (1 + n.sum()):
+                return float(beta[0]), float(max(0.0, beta[1]))
             break
-    return float(beta[0]), float(max(0.0, beta[1]))
+        beta, now = beta + share * step, after
+    raise RuntimeError("the calibration did not converge")
+
+
+def _middle(counts: dict[float, int]) -> float:
+    """The median of a histogram's values."""
+    half, seen = sum(counts.values()) / 2, 0
+    for value in sorted(counts):
+        seen += counts[value]
+        if seen >= half:
+            return value
+    raise ValueError("no values")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -201,8 +234,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Learn a :class:`ToxicityModel` from labelled rows.
 
     At most ``most_rows`` labels are used (the ones whose ids hash lowest), so the label side of the join has a
-    known size and is broadcast; rows of fold ``held_out_fold`` (crc32 of the id, modulo 5) are never used. Fold 4 teaches the
-    logistic fit, the others the token scores. ``prior`` is the Dirichlet prior's weight as a share of the labelled rows:
+    known size and is broadcast; rows of fold ``held_out_fold`` (crc32 of the id, modulo 5) are never used. Equal texts count as one row, labelled
+    as at least half of them are. A fifth of the texts, by a digest, teaches the logistic fit, the others the token scores. ``prior`` is the Dirichlet prior's weight as a share of the labelled rows:
     each class gets that many rows that hold a token as often as all labelled rows do. A token enters the lexicon when
     ``least_rows`` toxic rows hold it, its log-odds reach ``least_odds`` and lie ``least_z`` standard errors above zero; ``lexicon_size`` bounds the lexicon (largest z first).
     Null labels, labels other than 0 and 1 and ids without a row are ignored; several labels of one id: the largest.
@@ -215,7 +248,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         label = label.where(F.col("fold") != held_out_fold)
     label = F.broadcast(lowest_hashes(label, "id", most_rows))
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")).join(label, "id")
-    teach, check = rows.where("fold <> 4").select("text", "toxic"), rows.where("fold = 4").select("text", "toxic")
+    # a text counts once however often it was copied, and never on both sides of the calibration
+    texts = stable(rows.withColumn("key", F.md5("text")).groupBy("key").agg(
+        F.any_value("text").alias("text"), F.when(2 * F.sum("toxic") >= F.count("*"), 1).otherwise(0).alias("toxic")).withColumn("fold", F.crc32("key")))
+    held = F.col("fold") % 5 == 4
+    teach, check = texts.where(~held).select("text", "toxic"), texts.where(held).select("text", "toxic")
 
     sides = {r[0]: r[1] for r in teach.groupBy("toxic").count().collect()}
     n1, n0 = sides.get(1, 0), sides.get(0, 0)
@@ -243,7 +280,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # K: clean rows hold K n exp(-lambda t) segments of score t or more; read off at the median segment
     words, seen = sum(tokens.values()), sum(found.values())
     if words and seen:
-        level = sorted(found)[len(found) // 2]
+        level = _middle(found)
         above = sum(n for s, n in found.items() if s >= level)
         model.density = min(1.0, max(1e-6, above / words * math.exp(model.decay * level)))
     rows = [(kind, b / 4, n) for kind, b, n in _binned(check, _evidence_bins, model)]
@@ -272,7 +309,7 @@ def _passages(batches: Iterator[pa.RecordBatch], model: ToxicityModel, schema: p
             n, segments = scorer.segments(text)
             passages = []
             for first, last, s in segments:
-                chance = min(1e9, model.density * n * math.exp(-model.decay * s))
+                chance = model.chance(n, s)
                 if chance <= model.significance:
                     passages.append({"first_word": first, "last_word": last, "log_odds": s, "chance": chance})
             evidence = scorer.evidence(n, segments)
