@@ -67,11 +67,16 @@ class _Ids:
         known = self.known
         if len(known) > REMEMBER:
             known.clear()
-        new = {w for words in plain if words for w in words if w not in known}
+        found = [None if words is None else list(map(known.get, words)) for words in plain]
+        lacking = [(words, ids, [j for j, x in enumerate(ids) if x is None]) for words, ids in zip(plain, found, strict=True) if ids and None in ids]
+        new = {words[j] for words, _, places in lacking for j in places}
         mixed = {w: self.piece.findall(w) for w in new if not w.isalpha()}
         self._learn(list({p for pieces in mixed.values() for p in pieces if p not in known} | {w for w in new if w not in mixed}))
         known.update((w, b"".join(map(known.__getitem__, pieces))) for w, pieces in mixed.items() if len(pieces) > 1)
-        return [self._whole(x) if words is None else b"".join(map(known.__getitem__, words)) for x, words in zip(texts, plain, strict=True)]
+        for words, ids, places in lacking:
+            for j in places:
+                ids[j] = known[words[j]]
+        return [self._whole(x) if ids is None else b"".join(ids) for x, ids in zip(texts, found, strict=True)]
 
 
 class _Packer:
@@ -79,12 +84,17 @@ class _Packer:
 
     def __init__(self, put, tokens: int, segments: int, loss: int, pool: int):
         self.put, self.limits, self.pool_size = put, np.array([tokens, segments, loss], float), pool
-        self.sequence, self.rows, self.size = 0, [], np.zeros((0, 4), np.int64)  # size: start, tokens, segments, loss
+        self.sequence, self.rows = 0, []
+        self.sizes = np.zeros((pool + 1, 4), np.int64)  # of the waiting pieces: start, tokens, segments, loss
+
+    @property
+    def size(self) -> np.ndarray:
+        return self.sizes[:len(self.rows)]
 
     @staticmethod
     def _loss(start, length, whole, loss):
         """Loss-bearing tokens stand at the end of an example."""
-        return np.maximum(0, np.minimum(length, start + length - (whole - loss)))
+        return max(0, min(length, start + length - (whole - loss)))
 
     def add(self, row, whole: int, loss: int) -> None:
         """Full-length pieces are sequences of their own; the rest waits in the pool."""
@@ -93,8 +103,8 @@ class _Packer:
             self._emit([(row, start, tokens)])
             start += tokens
         if whole > start:
+            self.sizes[len(self.rows)] = start, whole - start, 1, self._loss(start, whole - start, whole, loss)
             self.rows.append((row, whole, loss))
-            self.size = np.vstack([self.size, [start, whole - start, 1, self._loss(start, whole - start, whole, loss)]])
         if len(self.rows) >= self.pool_size:
             self.drain(self.pool_size // 2)
 
@@ -147,8 +157,9 @@ class _Packer:
             keep[at] = n < length
             self.size[at] = start + n, length - n, 1, self._loss(start + n, length - n, whole, loss)
         self._emit(pieces)
+        left = self.size[keep]
         self.rows = [r for r, k in zip(self.rows, keep, strict=True) if k]
-        self.size = self.size[keep]
+        self.sizes[:len(left)] = left
 
 
 def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, end: int, limits: tuple, pool: int, schema: pa.Schema
