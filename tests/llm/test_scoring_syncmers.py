@@ -38,15 +38,15 @@ def brute_scores(rows, targets, vocabulary, mu, least):
     return sorted(out)
 
 
-@pytest.mark.parametrize("heads", [1 << 18, 5])
-def test_scores_match_both_models_in_full(spark, heads):
+@pytest.mark.parametrize(("heads", "least"), [(1 << 18, 1), (5, 1), (5, 2)])
+def test_scores_match_both_models_in_full(spark, heads, least):
     rng = random.Random(4)
     rows = [*TEXTS, *((100 + i, " ".join(rng.choices(["alpha", "beta", "gamma", "delta", "The", "of"] if i % 2 else ["one", "two", "three", "the", "of"], k=rng.randint(0, 30))))
                       for i in range(40))]
     targets = [101, 103, 105, 107, 109, 111, None, 101]
     wanted = spark.createDataFrame([(k,) for k in targets], "doc_id long")
-    got = lm_scoring.cross_entropy_difference(awkward(spark, rows), wanted, vocabulary=12, mu=7.0, heads=heads)
-    assert sorted((r["doc_id"] or -1, r["n_tokens"], round(r["score"], 9)) for r in rows_of(got)) == brute_scores(rows, set(targets) - {None}, 12, 7.0, 2)
+    got = lm_scoring.cross_entropy_difference(awkward(spark, rows), wanted, vocabulary=12, mu=7.0, heads=heads, least_count=least)
+    assert sorted((r["doc_id"] or -1, r["n_tokens"], round(r["score"], 9)) for r in rows_of(got)) == brute_scores(rows, set(targets) - {None}, 12, 7.0, least)
     low = {r["doc_id"]: r["score"] for r in got.collect()}
     assert low[121] < low[120]
 
@@ -57,7 +57,7 @@ def test_all_of_many_targets_are_used(spark):
     targets = [k for k in range(60_000) if k % 3000]  # 59,980 ids, among them two thirds of the rows
     wanted = spark.createDataFrame([(k,) for k in targets], "doc_id long")
     got = lm_scoring.cross_entropy_difference(awkward(spark, rows), wanted, vocabulary=12)
-    assert sorted((r["doc_id"] or -1, r["n_tokens"], round(r["score"], 9)) for r in rows_of(got)) == brute_scores(rows, set(targets), 12, 50.0, 2)
+    assert sorted((r["doc_id"] or -1, r["n_tokens"], round(r["score"], 9)) for r in rows_of(got)) == brute_scores(rows, set(targets), 12, 50.0, 1)
 
 
 def test_scores_without_targets_or_rows(spark):

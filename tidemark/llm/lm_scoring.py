@@ -6,7 +6,7 @@ scaled to the target's size, so their losses differ only by what the two corpora
     p(v | u) = (c(u v) + mu p(v)) / (c(u) + mu),      p(v) = (c(v) + 1) / (N + V)
 
 The score is the mean over a text's tokens of target loss minus background loss: low means target-like. Counts cover all
-texts. Bigrams seen fewer than ``least_count`` times count as unseen in both models. A text's sum is split in two: what
+texts, and every bigram that occurs (``least_count`` above 1 would leave rarer ones to the unigrams). A text's sum is split in two: what
 unigram and context counts give, from broadcast tables of vocabulary size, and a correction for each seen bigram.
 The corrections of the most frequent bigrams (at most ``heads``) are broadcast, the others meet the texts' bigrams in a
 shuffle join; the model as a whole grows with the corpus and is never in one place.
@@ -117,11 +117,11 @@ def _terms(batches: Iterator[pa.RecordBatch], model, kind: pa.DataType) -> Itera
 
 
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = 1 << 15,
-                             mu: float = 50.0, least_count: int = 2, heads: int = 1 << 18) -> DataFrame:
+                             mu: float = 50.0, least_count: int = 1, heads: int = 1 << 18) -> DataFrame:
     """One row per input row: (id, n_tokens, score), score = mean target loss minus mean background loss, in nats.
 
     ``targets`` names the target texts by id; all of them are used, so that side of the join grows with the input and
-    Spark chooses how to join. All texts are the background. ``vocabulary`` words (the most frequent, ties by
+    is shuffled at every size. All texts are the background. ``vocabulary`` words (the most frequent, ties by
     word) and one unknown word make the shared vocabulary. Texts without words, null ones too, score 0; without any
     target text every score is 0. Null ids are never targets; repeated rows count and are scored like any row; repeated target
     ids count once; other columns are not read; an empty table gives no rows.
@@ -129,7 +129,8 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str =
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind, send = docs.schema[id_col].dataType, docs.sparkSession.sparkContext.broadcast
-    target = targets.select(F.col(id_col).alias("id")).where("id is not null").distinct().withColumn("target", F.lit(1))
+    # the targets grow with the input, so their join is the same at every size: by shuffle, never by broadcast
+    target = targets.select(F.col(id_col).alias("id")).where("id is not null").distinct().withColumn("target", F.lit(1)).hint("merge")
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")).join(target, "id", "left").select(
         "text", F.coalesce("target", F.lit(0)).alias("target"))
 

@@ -40,7 +40,7 @@ unigrams AS (SELECT k.v, count(*) FILTER (tg) AS ct, count(*) * any_value(scale)
   (count(*) * any_value(scale) + 1) / (any_value(z.n) * any_value(scale) + any_value(z.v) + 1) AS pb FROM known k, size z GROUP BY k.v),
 contexts AS (SELECT v AS u, ct, cb FROM unigrams
   UNION ALL SELECT '<s>', count(*) FILTER (tg), count(*) * any_value(scale) FROM texts, size WHERE len(ws) > 0),
-bigrams AS (SELECT q.u, q.v, count(*) FILTER (q.tg) AS ct, count(*) * any_value(z.scale) AS cb FROM pairs q, size z GROUP BY q.u, q.v HAVING count(*) >= 2),
+bigrams AS (SELECT q.u, q.v, count(*) FILTER (q.tg) AS ct, count(*) * any_value(z.scale) AS cb FROM pairs q, size z GROUP BY q.u, q.v),
 losses AS (SELECT p.doc_id, -ln((coalesce(b.ct, 0) + 50 * g.pt) / (c.ct + 50)) + ln((coalesce(b.cb, 0) + 50 * g.pb) / (c.cb + 50)) AS loss
   FROM pairs p JOIN unigrams g ON g.v = p.v JOIN contexts c ON c.u = p.u LEFT JOIN bigrams b ON b.u = p.u AND b.v = p.v)
 SELECT x.doc_id, CAST(len(x.ws) AS BIGINT) AS n_tokens, round(coalesce(l.score, 0), 6) AS score
