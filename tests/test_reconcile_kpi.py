@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.clock import trunc
 from tidemark.operators import kpi
 from tidemark.operators import reconcile as R
 from tidemark.operators.runlog import extract_runs, run_report, run_totals
@@ -159,3 +160,23 @@ def test_run_totals(spark):
                                 "JOB_STATUS string, RUN_START_ISO string, RUN_END_ISO string, TOTAL_DURATIONS int, dt string, hour string, source string")
     row = run_totals(log).first()
     assert (row.tables_ok, row.tables_err, row.sum_durations, row.wall_seconds) == (1, 1, 240, 300)
+
+
+def test_sketched_runtimes_stay_within_their_bound(spark):
+    runs = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("job"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(days=(F.col("id") % 91).cast("int"))).alias("started_at"),
+        F.pmod(F.xxhash64("id"), F.lit(100_000)).cast("int").alias("duration_seconds"))
+    runs = runs.unionAll(runs.limit(5).withColumn("duration_seconds", F.lit(None).cast("int")))
+    sketches = kpi.runtime_sketches(runs)
+    for period in ("week", "quarter"):
+        found = kpi.sketched_runtime(sketches, period, {"q50": 0.5, "q95": 0.95})
+        exact = runs.groupBy(trunc(period, F.col("started_at")).alias(period), "job").agg(F.collect_list("duration_seconds").alias("all"), F.count("duration_seconds").alias("n"))
+        rows = found.join(exact, [period, "job"]).collect()
+        assert len(rows) == exact.count()
+        for r in rows:
+            assert r.runs == r.n
+            for value, wanted in ((r.q50, 0.5), (r.q95, 0.95)):
+                assert abs(sum(x <= value for x in r["all"]) / r.n - wanted) <= 0.004 + 1 / r.n
+    few = kpi.sketched_runtime(kpi.runtime_sketches(runs.limit(0)))
+    assert few.collect() == []

@@ -1,3 +1,6 @@
+import json
+import threading
+from pathlib import Path
 from datetime import datetime, timedelta
 
 import pytest
@@ -58,10 +61,13 @@ def test_run_log_folders(spark, tmp_path):
     row = logs.run_status_row(run_id="abc", job="daily job", exit_code=0, started_at=datetime(2024, 1, 2, 3), ended_at=datetime(2024, 1, 2, 3, 1),
                               pg_table="t", prod_table="p")
     logs.write_run_status(spark, f"{base}/db1", row)
-    logs.write_run_status(spark, f"{base}/db1", {**row, "run_id": "late", "started_at_utc": "2024-01-03T00:00:00Z"})
+    late = logs.write_run_status(spark, f"{base}/db1", {**row, "run_id": "late", "started_at_utc": "2024-01-03T00:00:00Z"})
+    assert Path(late).is_file() and json.loads(Path(late).read_text()) == {**row, "run_id": "late", "started_at_utc": "2024-01-03T00:00:00Z"}
+    assert list(json.loads(Path(late).read_text())) == RUN_STATUS.names
+    logs.write_run_status(spark, f"{base}/db1", {**row, "run_id": "late", "started_at_utc": "2024-01-03T00:00:00Z"})  # replaced, not doubled
     lines = read_run_logs(spark, base, ["db1", "absent"], "daily job", datetime(2024, 1, 2), datetime(2024, 1, 3))
     one = lines.first()
-    assert lines.count() == 1 and (one.system, one.job, one.year, one.month, one.day) == ("db1", "daily job", 2024, 1, 2)
+    assert lines.count() == len(RUN_STATUS) + 2 and (one.system, one.job, one.year, one.month, one.day) == ("db1", "daily job", 2024, 1, 2)
     run = extract_runs(lines).first()
     assert (run.run_id, run.table_name, run.duration_seconds, run.source_name, run.started_at_wib) == (
         "abc", "t", 60, "db1", "2024-01-02T10:00:00+0700")
@@ -129,6 +135,38 @@ def test_staging_table_registration_and_drop(spark, tmp_path):
     assert drop_staging(spark, "no such name!") is not None
 
 
+def test_staging_schema_grows_and_widens(spark, tmp_path):
+    path = str(tmp_path / "grow")
+
+    def load(row, schema, **options):
+        write_staging(spark.createDataFrame([row], schema), path, table="stg_grow", partitions=["p"], force_text=False, **options)
+        return {r.p: r.asDict() for r in spark.table("stg_grow").collect()}
+
+    load((1, 1.5, "a"), "id int, x float, p string")
+    load((2, 2.5, "more", "b"), "id int, x float, y string, p string")
+    got = load((2 ** 40, 3.5, "c"), "id bigint, x double, p string")
+    assert got == {"a": {"id": 1, "x": 1.5, "y": None, "p": "a"}, "b": {"id": 2, "x": 2.5, "y": "more", "p": "b"}, "c": {"id": 2 ** 40, "x": 3.5, "y": None, "p": "c"}}
+    assert {n: t.simpleString() for n, t in relations.table_types(spark, "stg_grow").items()} == {"id": "bigint", "x": "double", "y": "string", "p": "string"}
+    got = load((7, "narrow", "a"), "ID short, y string, p string")  # a narrower load is read as the entry says
+    assert got["a"] == {"id": 7, "x": None, "y": "narrow", "p": "a"} and set(got) == {"a", "b", "c"}
+    with pytest.raises(ValueError, match="cannot"):
+        load(("text", "a"), "id string, p string")
+    with pytest.raises(ValueError, match="schema_evolution"):
+        load((1, 2, "a"), "id int, z int, p string", schema_evolution=False)
+    assert set(load((1, "q"), "id string, p string".replace("string,", "int,"), mode="overwrite")) == {"q"}  # a whole overwrite starts anew
+    assert relations.table_columns(spark, "stg_grow") == ["id", "p"]
+
+
+def test_only_written_partitions_are_registered(spark, tmp_path):
+    path, df = str(tmp_path / "reg"), spark.createDataFrame([(1, "a")], "id int, p string")
+    write_staging(df, path, table="stg_reg", partitions=["p"])
+    df.withColumn("p", F.lit("stray")).write.mode("append").partitionBy("p").parquet(path)
+    write_staging(df.withColumn("p", F.lit("b")), path, table="stg_reg", partitions=["p"])
+    assert [r[0] for r in spark.sql("SHOW PARTITIONS stg_reg").collect()] == ["p=a", "p=b"]
+    write_staging(df.withColumn("p", F.lit("a")), path, table="stg_reg", partitions=["p"], mode="append")
+    assert sorted((r.id, r.p) for r in spark.table("stg_reg").collect()) == [("1", "a"), ("1", "a"), ("1", "b")]
+
+
 def test_silver_versions(spark, tmp_path):
     with pytest.raises(ValueError, match="not found"):
         silver.assert_database(spark, "nowhere")
@@ -162,12 +200,112 @@ def test_only_touched_partitions_are_replaced(spark, tmp_path):
     some = spark.createDataFrame([(f"d{i}",) for i in range(2500)], "day string")
     plan = silver.touched_partitions(spark.table("daily"), some, ["day"])._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    with pytest.raises(ValueError, match="another partition"):
-        silver.merge_table(spark, "daily", spark.createDataFrame([("1", "new", "d2")], "id string, v string, day string"), MergeRules(keys="id"))
     with pytest.raises(ValueError, match="partitioned by"):
         silver.merge_table(spark, "daily", some, MergeRules(keys="id"), partitions=["v"])
-    with pytest.raises(ValueError, match="apply_deletes"):
-        silver.merge_table(spark, "daily", some, MergeRules(keys="id", apply_deletes=True), partitions=["day"])
+
+
+def daily(spark, tmp_path, name):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType()), T.StructField("day", T.StringType())])
+    silver.create_table(spark, name, schema, str(tmp_path / name), partitions=["day"])
+    spark.createDataFrame([(i, "old", f"d{i % 3}") for i in range(9)], schema).write.insertInto(name)
+    return lambda: sorted(tuple(r) for r in spark.table(name).collect())
+
+
+CHANGES = "id string, v string, day string, __op string"
+
+
+def test_keys_move_between_partitions(spark, tmp_path):
+    rows = daily(spark, tmp_path, "moving")
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "moving").rglob("*.parquet")}
+    move = spark.createDataFrame([("1", "moved", "d2", "u"), ("4", "moved", None, "u"), ("20", "new", "it's/new", "c")], CHANGES)
+    with pytest.raises(ValueError, match="another partition"):
+        silver.merge_partitions(spark, "moving", move, MergeRules(keys="id", op=None), moved="error")
+    with pytest.raises(ValueError, match="moved"):
+        silver.merge_partitions(spark, "moving", move, MergeRules(keys="id", op=None), moved="perhaps")
+    silver.merge_table(spark, "moving", move, MergeRules(keys="id", op=None))
+    want = [(i, "old", f"d{i % 3}") for i in range(9) if i not in (1, 4)] + [(1, "moved", "d2"), (4, "moved", None), (20, "new", "it's/new")]
+    assert sorted(rows(), key=str) == sorted(want, key=str)
+    assert before == {p: p.stat().st_mtime_ns for p in before}  # a reader that has planned keeps its files
+    assert "day=d0" not in {p.parent.name for p in (tmp_path / "moving").glob("merge=*/*/*.parquet")}
+    silver.merge_partitions(spark, "moving", spark.createDataFrame([("1", "twice", "d0", "u")], CHANGES), MergeRules(keys="id", op=None), moved="never")
+    assert [r[1] for r in rows() if r[0] == 1] == ["twice", "moved"] or [r[1] for r in rows() if r[0] == 1] == ["moved", "twice"]
+
+
+def test_deletes_empty_a_partition(spark, tmp_path):
+    rows = daily(spark, tmp_path, "shrinking")
+    rules = MergeRules(keys="id", op=None, apply_deletes=True)
+    # deletes may know their key alone
+    gone = spark.createDataFrame([("0", None, None, "d"), ("3", None, "d0", "d"), ("6", "x", "d0", "d"), ("1", None, None, "d"), ("77", None, None, "d")], CHANGES)
+    silver.merge_table(spark, "shrinking", gone, rules)
+    assert rows() == [(i, "old", f"d{i % 3}") for i in range(9) if i not in (0, 3, 6, 1)]
+    assert [r[0] for r in spark.sql("SHOW PARTITIONS shrinking").collect()] == ["day=d1", "day=d2"]
+    silver.merge_table(spark, "shrinking", spark.createDataFrame([(str(i), None, None, "d") for i in range(9)], CHANGES), rules)
+    assert rows() == [] and spark.sql("SHOW PARTITIONS shrinking").isEmpty()
+    silver.merge_table(spark, "shrinking", spark.createDataFrame([("5", "back", "d2", "c")], CHANGES), rules)
+    assert rows() == [(5, "back", "d2")]
+    silver.merge_table(spark, "shrinking", spark.createDataFrame([], CHANGES), rules)
+    assert rows() == [(5, "back", "d2")]
+
+
+def test_a_reader_sees_a_partition_before_or_after(spark, tmp_path):
+    rows = daily(spark, tmp_path, "watched")
+    states = {tuple(rows())}
+    seen, problems, done = [], [], threading.Event()
+
+    def watch():
+        while not done.is_set():
+            try:
+                seen.append(tuple(sorted(tuple(r) for r in spark.table("watched").filter("day = 'd0'").collect())))
+            except Exception as problem:  # noqa: BLE001 - shown by the assertion below
+                problems.append(problem)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        for step in ([("0", "a", "d0", "u"), ("30", "a", "d0", "c")], [("0", None, "d0", "d"), ("30", "b", "d0", "u")], [("30", None, None, "d"), ("3", None, None, "d"), ("6", None, None, "d")]):
+            silver.merge_table(spark, "watched", spark.createDataFrame(step, CHANGES), MergeRules(keys="id", op=None, apply_deletes=True))
+            states.add(tuple(rows()))
+    finally:
+        done.set()
+        watcher.join()
+    assert not problems and seen
+    assert set(seen) <= {tuple(r for r in state if r[2] == "d0") for state in states}
+
+
+def test_a_second_writer_of_a_partition_loses_nothing(spark, tmp_path, monkeypatch):
+    rows = daily(spark, tmp_path, "shared")
+    rules, switch = MergeRules(keys="id", op=None), silver._switch_partitions
+    others = [("40", "other", "d0"), ("41", "other", "d9"), ("3", "other", "d0")]
+
+    def beaten(*args):
+        monkeypatch.setattr(silver, "_switch_partitions", switch)
+        for other in others:  # comes between the plan and the switch
+            silver.merge_table(spark, "shared", spark.createDataFrame([(*other, "u")], CHANGES), rules)
+        switch(*args)
+
+    monkeypatch.setattr(silver, "_switch_partitions", beaten)
+    with pytest.raises(silver.TableMoved):
+        silver.merge_partitions(spark, "shared", spark.createDataFrame([("0", "mine", "d0", "u")], CHANGES), rules)
+    assert [r for r in rows() if r[1] == "mine"] == []
+    monkeypatch.setattr(silver, "_switch_partitions", beaten)
+    silver.merge_table(spark, "shared", spark.createDataFrame([("0", "mine", "d0", "u"), ("50", "mine", "d9", "u")], CHANGES), rules)
+    assert {r[0] for r in rows() if r[1] == "mine"} == {0, 50} and {r[0] for r in rows() if r[1] == "other"} == {40, 41, 3}
+    # a plain insert counts as another writer, too
+    def appended(*args):
+        monkeypatch.setattr(silver, "_switch_partitions", switch)
+        spark.createDataFrame([(60, "plain", "d0")], "id long, v string, day string").write.insertInto("shared")
+        switch(*args)
+
+    monkeypatch.setattr(silver, "_switch_partitions", appended)
+    silver.merge_table(spark, "shared", spark.createDataFrame([("0", "again", "d0", "u")], CHANGES), rules)
+    assert {r[1] for r in rows() if r[0] in (0, 60)} == {"again", "plain"}
+
+
+def test_home_lookup_is_pruned_by_the_keys(spark, tmp_path):
+    daily(spark, tmp_path, "pruned")
+    some = spark.createDataFrame([(3, "d1"), (4, "d1")], "id long, day string")
+    plan = silver.home_partitions(spark.table("pruned"), some, ["id"], ["day"])._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,3)" in plan and "LessThanOrEqual(id,4)" in plan and "ReadSchema: struct<id:bigint>" in plan
 
 
 def test_latest_view_follows_the_table(spark, tmp_path):

@@ -1,4 +1,5 @@
 import json
+import threading
 from datetime import datetime
 
 import pytest
@@ -157,6 +158,64 @@ def test_failed_job_does_not_stop_the_rest(spark, tmp_path):
     assert read_run_status(spark, str(tmp_path / "logs")).count() == 2
 
 
+def test_jobs_side_by_side(spark, tmp_path):
+    """Chains of one table keep their order, a failing job stops no other, statuses come in the order given."""
+    for name in ("side_a", "side_b"):
+        silver.create_table(spark, name, TARGET, str(tmp_path / name))
+    batches = {"first": [("1", "one", "2024-01-01")], "second": [("1", "two", "2024-01-02"), ("2", "two", "2024-01-02")], "third": [("1", "late", "2024-01-01")],
+               "other": [("9", "x", "2024-01-01")], "bad": [("1", "x", "2024-01-01")]}
+    pools, together = {}, threading.Barrier(2, timeout=60)
+
+    def extract(spec):
+        pools[spec.job_name] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        if spec.job_name in ("first", "other"):
+            together.wait()  # both chains run at the same time
+        return spark.createDataFrame(batches[spec.job_name], "ID string, V string, Updated_At string")
+
+    rows = [spec(tmp_path, "first", "side_a"), spec(tmp_path, "bad", "side_missing"), spec(tmp_path, "other", "side_b"), spec(tmp_path, "second", "side_a"),
+            spec(tmp_path, "third", "side_a")]
+    status = jobs.run_jobs(spark, rows, extract, status_base=str(tmp_path / "logs"), at_once=3)
+    assert [(r.job, r.status) for r in status.collect()] == [("first", "SUCCESS"), ("bad", "ERROR"), ("other", "SUCCESS"), ("second", "SUCCESS"), ("third", "SUCCESS")]
+    assert sorted((r.id, r.v) for r in spark.table("side_a").collect()) == [(1, "two"), (2, "two")]
+    assert [(r.id, r.v) for r in spark.table("side_b").collect()] == [(9, "x")]
+    assert pools == {n: n for n in batches} and spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    assert read_run_status(spark, str(tmp_path / "logs")).count() == 5
+
+
+def test_repeats_within_the_watermark_are_dropped(spark, tmp_path):
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+
+    def send(*rows):
+        spark.createDataFrame([(k, datetime(2024, 1, 1, h, m)) for k, h, m in rows], "k int, at timestamp_ntz").coalesce(1).write.mode("append").parquet(inbox)
+        rows = spark.readStream.schema("k int, at timestamp_ntz").parquet(inbox)
+        (S.drop_repeats(rows, ["k"], "at", lateness="1 hour").writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+         .trigger(availableNow=True).start().awaitTermination())
+        return sorted(r.k for r in spark.read.schema("k int").parquet(out).collect())
+
+    assert send((1, 1, 0), (1, 1, 0), (2, 1, 5)) == [1, 2]
+    assert send((2, 1, 5), (3, 1, 10)) == [1, 2, 3]      # a repeat in the next batch, and after a restart
+    assert send((4, 9, 0)) == [1, 2, 3, 4]
+    assert send((5, 2, 0), (6, 9, 5)) == [1, 2, 3, 4, 6]  # too late to be told from a repeat
+    plan = spark.readStream.schema("k int, at timestamp_ntz").parquet(inbox)
+    assert "DeduplicateWithinWatermark" in S.drop_repeats(plan, ["k"], "at")._jdf.queryExecution().analyzed().toString()
+
+
+def test_new_log_files_alone_are_read(spark, tmp_path):
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "system string, job string, year int, month int, day int, src string, line string"
+
+    def send(*runs):
+        lines = [("s", "j", 2024, 1, 1, f"/db1/{r}/monitoring/status.json", line) for r, code in runs
+                 for line in (f'"run_id": "{r}",', f'"exit_code": {code},', '"pg_table": "t",')]
+        spark.createDataFrame(lines, schema).coalesce(1).write.mode("append").parquet(inbox)
+        query = S.land_runs(spark.readStream.schema(schema).parquet(inbox), out, state, every=None)
+        query.awaitTermination()
+        return sum(p["numInputRows"] for p in query.recentProgress), sorted((r.run_id, r.exit_code) for r in S.landed_runs(spark, out).collect())
+
+    assert send(("a", 0), ("b", 1)) == (6, [("a", 0), ("b", 1)])
+    assert send(("c", 0)) == (3, [("a", 0), ("b", 1), ("c", 0)])  # three lines read, not nine
+
+
 def test_backfill_then_reconcile_is_all_same(spark, tmp_path):
     silver.ensure_database(spark, "jobdb", str(tmp_path))
     silver.create_table(spark, "jobdb.dest", TARGET, str(tmp_path / "dest"))

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.latest import current_state, dedupe_source, latest_per_key
-from tidemark.operators import upsert
 from tidemark.operators.upsert import MergeRules, merge_upsert
+from tidemark.session import estimated_bytes, stable
 
 AS_OF = datetime(2025, 1, 1, 5, 0, 0, 123456)
 TARGET = "id long, name string, price decimal(12,2), created_at timestamp_ntz, updated_at timestamp_ntz, __op string, __ts_ms timestamp_ntz"
@@ -169,16 +169,45 @@ def test_full_outer_shuffles_each_side_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_small_source_leaves_the_target_unshuffled(spark, tmp_path, monkeypatch):
+def test_small_source_leaves_the_target_unshuffled(spark, tmp_path):
+    """The session's broadcast threshold decides: both sides within it, only the source, none."""
     spark.range(20000).select("id", F.lit("t").alias("name")).write.parquet(str(tmp_path / "t"))
     spark.range(19990, 20010).select("id", F.lit("s").alias("name")).write.parquet(str(tmp_path / "s"))
     t, s = (spark.read.parquet(str(tmp_path / x)) for x in "ts")
-    assert "FullOuter" in merge_upsert(t, s, MergeRules(keys="id"))._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(upsert, "MUCH_LARGER", 0)  # any target is large enough
-    out = merge_upsert(t, s, MergeRules(keys="id"))
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 3
-    assert out.count() == 20010 and out.filter("name = 's'").count() == 20
+    between = (estimated_bytes(s) + estimated_bytes(t)) // 2
+    assert estimated_bytes(s) < between < estimated_bytes(t)
+
+    def merged(threshold):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+            out = merge_upsert(t, s, MergeRules(keys="id"))
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == jobs  # planning runs no job
+            assert out.count() == 20010 and out.filter("name = 's'").count() == 20
+            return plan
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+    assert "FullOuter" in merged(100 << 20)
+    lookup = merged(between)
+    assert "SortMergeJoin" not in lookup and lookup.count("BroadcastHashJoin") >= 3
+    assert "SortMergeJoin" in (plan := merged(-1)) and "FullOuter" in plan
+
+
+def test_a_source_read_often_is_made_once_when_asked(spark):
+    seen = []
+
+    def keep(df):
+        seen.append(df.columns)
+        return stable(df)
+
+    t = spark.range(100).select("id", F.lit("t").alias("name"))
+    s = spark.range(50, 150).select("id", F.lit("s").alias("name"))
+    for strategy, times in (("lookup", 1), ("full_outer", 0)):
+        seen.clear()
+        assert merge_upsert(t, s, MergeRules(keys="id", strategy=strategy), run_once=keep).filter("name = 's'").count() == 100
+        assert len(seen) == times
 
 
 def test_current_state(spark):

@@ -16,14 +16,15 @@ Two plans give the same rows.
     by shuffle with adaptive skew splitting, which a full outer join does not get.
 
 ``auto`` takes ``lookup`` for a source within the broadcast threshold under a target beyond it: then the
-target need not be shuffled. ``lookup`` reads its source three times, so it is checkpointed first. It also takes ``lookup`` for repeated keys it has to keep or cannot judge
+target need not be shuffled. It also takes ``lookup``, for a source of any size, where repeated keys have to be kept or cannot be judged
 by key alone (``on_duplicate="allow"``, ``extra_on`` without de-duplication). Else ``full_outer``.
+``lookup`` reads its source three times; a caller that runs the merge at once passes ``run_once`` to have it made once.
 """
 
 from __future__ import annotations
 
 import warnings
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 
 from ..functions.casting import cast_to_schema
 from ..schemas import META_COLUMNS, META_OP
-from ..session import fits_broadcast, stable
+from ..session import fits_broadcast
 from .columns import clean_keys, column_types, require_columns, run_metadata, split_by_destination
 from .latest import dedupe_source
 from .predicates import newer_than
@@ -154,12 +155,17 @@ def prepare_source(source: DataFrame, types: Mapping[str, T.DataType], rules: Me
     return typed.drop(*order_only)
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, rules: MergeRules) -> DataFrame:
-    """Target rows after the merge, with the target's columns, order and types."""
+def merge_upsert(target: DataFrame, source: DataFrame, rules: MergeRules, *,
+                 run_once: Callable[[DataFrame], DataFrame] = lambda prepared: prepared) -> DataFrame:
+    """Target rows after the merge, with the target's columns, order and types.
+
+    Only plans: no job runs. ``run_once`` is applied to the prepared source where the plan reads it more than
+    once, for instance :func:`tidemark.session.stable`, which runs it and keeps its rows in the shared folder.
+    """
     types = column_types(target)
     require_columns(target, rules.keys, "merge target")
     prepared = prepare_source(source, types, rules)
-    return _Merge(target, prepared, rules, types).result()
+    return _Merge(target, prepared, rules, types).result(run_once)
 
 
 class _Merge:
@@ -223,12 +229,12 @@ class _Merge:
             doomed = doomed & (_ref("s", guard).isNull() | self.applies())
         return F.coalesce(doomed, F.lit(False))
 
-    def result(self) -> DataFrame:
+    def result(self, run_once: Callable[[DataFrame], DataFrame]) -> DataFrame:
         strategy = self.rules.strategy
         if strategy == "auto":
             small = fits_broadcast(self.source) and not fits_broadcast(self.target)
             strategy = "lookup" if small or not (self.rules.dedupe or self._repeats_split()) else "full_outer"
-        return self._lookup() if strategy == "lookup" else self._full_outer()
+        return self._lookup(run_once(self.source).alias("s")) if strategy == "lookup" else self._full_outer()
 
     def _repeats_split(self) -> bool:
         """True when repeated source keys can be set apart by key alone."""
@@ -290,10 +296,8 @@ class _Merge:
         ))
         return reduce(DataFrame.unionAll, [*([] if aside is None else [aside]), *branches], merged)
 
-    def _lookup(self) -> DataFrame:
-        # read three times below: made once, it is within the broadcast threshold or asked for
-        rules, source = self.rules, stable(self.source).alias("s")
-        branches = []
+    def _lookup(self, source: DataFrame) -> DataFrame:
+        rules, branches = self.rules, []
         if rules.dedupe:
             matched_keys = self.target.join(source, self.condition, "left_semi").alias(self.target_name)
             new = source.join(matched_keys, self.condition, "left_anti")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,13 +34,23 @@ def status_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
 
 
 def write_run_status(spark: SparkSession, base: str, row: dict) -> str:
-    """Append one record under ``job/yyyy/mm/dd/run_id/monitoring``."""
+    """One JSON document, ``job/yyyy/mm/dd/run_id/monitoring/status.json``; the same run's is replaced."""
     day = datetime.strptime(row["started_at_utc"], "%Y-%m-%dT%H:%M:%SZ")
     path = f"{base.rstrip('/')}/{row['job']}/{day:%Y/%m/%d}/{row['run_id']}/monitoring/status.json"
-    status_frame(spark, [row]).coalesce(1).write.mode("append").json(path)
+    write_document(spark, path, json.dumps({f.name: row[f.name] for f in RUN_STATUS.fields}, indent=2) + "\n")
     return path
 
 
+def write_document(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of just that name, which a DataFrame writer cannot make, on any file system that Spark writes to."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def write_run_statuses(df: DataFrame, path: str) -> None:
     """Many run-status records, one JSON document per line."""
     df.select(*(f.name for f in RUN_STATUS.fields)).write.mode("append").json(path)

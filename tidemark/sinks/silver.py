@@ -2,13 +2,15 @@
 
 * a catalog with row-level operations takes the merge as ``MERGE INTO``;
 * a partitioned Parquet table (its partitions are read from the catalog) is merged partition by
-  partition: only partitions the source touches are read and replaced;
+  partition: only partitions that the source's rows go to or come from are read; each gets a fresh folder and is
+  switched to it in one step, and one left without rows is dropped from the catalog;
 * otherwise a fresh folder is written and the table is switched to it in one step. Readers of
   the old folder are not disturbed, and a lost executor or a failed job leaves the table as it was.
   The whole table is rewritten, so large tables need partitions or a catalog with row-level operations.
 
-A version is published only on top of the version its plan has read: when another writer was
-faster, :class:`TableMoved` is raised and :func:`merge_table` plans the merge again.
+A version is published only on top of the version its plan has read, a partition only on top of the files its plan has
+read: when another writer was faster, :class:`TableMoved` is raised and :func:`merge_table` plans the merge again. The
+catalog has no compare-and-set, so a moment remains between that comparison and the switch.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -150,13 +153,13 @@ def merge_whole(spark: SparkSession, table: str, source: DataFrame, rules: Merge
         if marks.get(batch[0], -1) >= batch[1]:
             return
         marks = {**marks, batch[0]: batch[1]}
-    publish_version(spark, table, merge_upsert(spark.table(table), source, rules), version, planned_on=planned_on, marks=marks)
+    publish_version(spark, table, merge_upsert(spark.table(table), source, rules, run_once=stable), version, planned_on=planned_on, marks=marks)
 
 
-def touched_partitions(target: DataFrame, source: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """Target rows of the partitions the source has rows for.
+def touched_partitions(target: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Target rows of the partitions whose values ``touched`` lists.
 
-    The source's partition values are joined to the table's: Spark's dynamic partition pruning makes
+    The values are joined to the table's: Spark's dynamic partition pruning makes
     them a partition filter at run time, however many there are. They are broadcast: there are as
     many as partitions are merged at once, and each of those is a folder to be written anyway.
     """
@@ -164,53 +167,128 @@ def touched_partitions(target: DataFrame, source: DataFrame, partitions: Sequenc
         # nulls become a value, since only plain equality is pruned by
         return F.coalesce(df[name].cast("string"), F.lit("\u0000null"))
 
-    wanted = source.select(*partitions).distinct()
+    wanted = touched.select(*partitions).distinct()
     # true for every row; as a filter it tells the optimizer that pruning pays
     wanted = wanted.filter(F.length(text(wanted, partitions[0])) >= 0)
     condition = [text(target, p) == text(wanted, p) for p in partitions]
     return target.join(F.broadcast(wanted), condition, "left_semi")
 
 
-def require_home_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], partitions: Sequence[str]) -> None:
-    """Fail when a source key stands in the table under another partition value.
+def rows_of_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], partitions: Sequence[str]) -> DataFrame:
+    """Key and partition columns of the target rows whose keys lie between the source's smallest and largest.
 
-    Merging it would leave the key in two partitions. Reads the key columns of the whole table.
+    The bounds are literals, so Parquet statistics leave out the row groups, and mostly the files, that cannot hold a key.
     """
-    known = target.select(*keys, *(F.col(f"`{p}`").alias(f"__at_{i}") for i, p in enumerate(partitions)))
+    ends = source.agg(*(f(k).alias(f"{n}_{i}") for i, k in enumerate(keys) for n, f in (("low", F.min), ("high", F.max)))).first()
+    known = target.select(*dict.fromkeys((*keys, *partitions)))
+    for i, k in enumerate(keys):
+        kind = target.schema[k].dataType
+        # without any value the comparison is null, and no row is kept
+        known = known.filter(F.col(k).between(F.lit(ends[f"low_{i}"]).cast(kind), F.lit(ends[f"high_{i}"]).cast(kind)))
+    return known
+
+
+def home_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], partitions: Sequence[str]) -> DataFrame:
+    """Partition values under which the table holds any of the source's keys now."""
+    known = rows_of_keys(target, source, keys, partitions)
+    return known.join(source.select(*keys).distinct(), list(keys), "left_semi").select(*partitions).distinct()
+
+
+def require_home_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], partitions: Sequence[str]) -> None:
+    """Fail when a source key stands in the table under another partition value."""
+    known = rows_of_keys(target, source, keys, partitions).select(*keys, *(F.col(f"`{p}`").alias(f"__at_{i}") for i, p in enumerate(partitions)))
     moved = F.lit(False)
     for i, p in enumerate(partitions):
         moved = moved | ~F.col(f"`{p}`").eqNullSafe(F.col(f"__at_{i}"))
-    wrong = source.select(*keys, *partitions).distinct().join(known, list(keys)).filter(moved)
+    wrong = source.select(*dict.fromkeys((*keys, *partitions))).distinct().join(known, list(keys)).filter(moved)
     found = wrong.select(*keys).take(3)
     if found:
         raise ValueError(f"keys stored in another partition than the source says: {[tuple(r) for r in found]}")
 
 
+def _files(rows: DataFrame, touched: DataFrame | None, partitions: Sequence[str]) -> dict[tuple, tuple]:
+    """Partition values as text -> first and last file and row count. Reads file footers; one row a partition reaches the driver."""
+    listed = rows.select(*partitions, F.col("_metadata.file_path").alias("__file"))
+    if touched is not None:
+        listed = touched_partitions(listed, touched, partitions)
+    found = listed.groupBy(*partitions).agg(F.min("__file").alias("__first"), F.max("__file").alias("__last"), F.count("*").alias("__rows"))
+    texts = found.select(*(F.col(p).cast("string") for p in partitions), "__first", "__last", "__rows").collect()
+    return {tuple(r[:-3]): tuple(r[-3:]) for r in texts}
+
+
+def _sql_text(value: str | None) -> str:
+    return "null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _switch_partitions(spark: SparkSession, table: str, path: str, partitions: Sequence[str], touched: DataFrame,
+                       planned_on: dict[tuple, tuple]) -> None:
+    """Point the touched partitions at what was written below ``path``, and drop those of which nothing was written.
+
+    Each partition changes in one step and its old files stay, so a reader sees it as it was or as it is. Partitions change one after the
+    other, dropped ones last: for a moment a key that moves may be seen in both places, never in none.
+    """
+    written = _files(spark.read.schema(spark.table(table).schema).parquet(path), None, partitions)
+    spark.catalog.refreshTable(table)
+    if _files(spark.table(table), touched, partitions) != planned_on:
+        raise TableMoved(f"partitions of {table} have changed since they were read")
+
+    def spec(values: tuple) -> str:
+        return "PARTITION (" + ", ".join(f"`{p}` = {_sql_text(v)}" for p, v in zip(partitions, values, strict=True)) + ")"
+
+    def folder(values: tuple) -> str:
+        return _sql_text(unquote(written[values][0]).rsplit("/", 1)[0])
+
+    fresh = [v for v in written if v not in planned_on]
+    if fresh:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"{spec(v)} LOCATION {folder(v)}" for v in fresh))
+    for values in written:
+        if values in planned_on:
+            spark.sql(f"ALTER TABLE {table} {spec(values)} SET LOCATION {folder(values)}")
+    emptied = [v for v in planned_on if v not in written]
+    if emptied:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(map(spec, emptied)))
+    spark.catalog.refreshTable(table)
+
+
+#: What a merge does about source keys that the table holds in another partition.
+MOVED = ("merge", "error", "never")
+
+
 def merge_partitions(spark: SparkSession, table: str, source: DataFrame, rules: MergeRules,
-                     partitions: Sequence[str] | None = None, *, check_keys: bool = True) -> None:
+                     partitions: Sequence[str] | None = None, *, moved: str = "merge") -> None:
     """Merge into a partitioned table, replacing only the partitions the source touches.
 
-    The source must carry the partition columns, and a row must stay in the partition of its key for
-    good (for instance a creation date): a key found in another partition fails the merge.
-    ``check_keys=False`` leaves that test out, where the partition is computed from the key. The
-    source is checkpointed first, so that all steps see the same rows. Deletes are refused: a
-    partition left without rows would not be replaced.
+    The source must carry the partition columns (deletes need their keys alone). With ``moved="merge"`` the partitions that hold the source's
+    keys now are merged along, so a key whose partition value changes leaves its old partition in the same merge; ``"error"`` fails on such a
+    key; ``"never"`` does not look for them, where the partition is computed from the key. The look-up reads the key columns of the row
+    groups that can hold a source key. A partition that loses its last row is dropped.
+
+    The source is checkpointed first, so that all steps see the same rows. Raises :class:`TableMoved`, with nothing changed, when the files
+    of a touched partition are not those the plan has read.
     """
-    if rules.apply_deletes:
-        raise ValueError("apply_deletes needs a table without partitions or a catalog with row-level operations")
+    if moved not in MOVED:
+        raise ValueError(f"moved must be one of {MOVED}")
+    spark.catalog.refreshTable(table)
     target = spark.table(table)
     partitions = list(partitions or partition_columns(spark, table))
     source = stable(source)
     versions = prepare_source(source, column_types(target), replace(rules, dedupe=False))
-    if check_keys:
-        require_home_partitions(target, versions, rules.keys, partitions)
-    merged = merge_upsert(touched_partitions(target, versions, partitions), source, rules)
+    touched = versions.select(*partitions).distinct()
+    if not set(partitions) <= set(rules.keys):
+        if moved == "error":
+            require_home_partitions(target, versions, rules.keys, partitions)
+        elif moved == "merge":
+            touched = touched.unionByName(home_partitions(target, versions, rules.keys, partitions)).distinct()
+    touched = stable(touched)
+    if touched.isEmpty():
+        return
+    planned_on = _files(target, touched, partitions)
+    merged = merge_upsert(touched_partitions(target, touched, partitions), source, rules, run_once=stable)
+    path = f"{_version_root(spark, table)}/merge={uuid.uuid4().hex}"
     # rebalance groups rows by partition, splits a partition that holds most of them over several
-    # writers and joins small ones; dynamic overwrite stages new files first, so the table may be
-    # read while it is written
-    merged.select(*target.columns).hint("rebalance", *partitions).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").insertInto(table)
-    spark.catalog.refreshTable(table)
+    # writers and joins small ones
+    merged.select(*target.columns).hint("rebalance", *partitions).write.options(**TABLE_OPTIONS).partitionBy(*partitions).parquet(path)
+    _switch_partitions(spark, table, path, partitions, touched, planned_on)
 
 
 def supports_row_merge(spark: SparkSession, table: str) -> bool:
@@ -232,13 +310,12 @@ def merge_table(spark: SparkSession, table: str, source: DataFrame, rules: Merge
     stored = partition_columns(spark, table)
     if partitions and set(partitions) != set(stored):
         raise ValueError(f"{table} is partitioned by {stored}, not by {list(partitions)}")
-    if stored:
-        merge_partitions(spark, table, source, rules, stored)
-        return
     for attempt in range(ATTEMPTS):
         try:
-            # a second attempt needs a folder of its own
-            merge_whole(spark, table, source, rules, version if attempt == 0 else None, batch)
+            if stored:
+                merge_partitions(spark, table, source, rules, stored)
+            else:  # a second attempt needs a folder of its own
+                merge_whole(spark, table, source, rules, version if attempt == 0 else None, batch)
             return
         except TableMoved:
             if attempt == ATTEMPTS - 1:

@@ -43,39 +43,103 @@ def write_staging(
     types: Mapping[str, T.DataType | str] | None = None,
     as_of: datetime | None = None,
     force_text: bool = True,
+    schema_evolution: bool = True,
 ) -> None:
     """Write Parquet at ``path`` and, if ``table`` is given, register it there.
 
     ``overwrite_partitions`` replaces only the partitions the frame has rows for (the whole path
-    when unpartitioned); ``append`` adds; ``overwrite`` replaces everything.
+    when unpartitioned); ``append`` adds; ``overwrite`` replaces everything. A table is written through the catalog, which
+    learns of the written partitions alone, without listing the others. With ``schema_evolution`` a load may bring
+    new columns and wider types: the entry grows, columns that the load lacks are null. Otherwise, and for types
+    of which neither holds the other, a different schema fails before anything is written, unless everything is replaced.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    staged = staging_frame(df, partitions=partitions, types=types, as_of=as_of, force_text=force_text)
+    spark, staged = df.sparkSession, staging_frame(df, partitions=partitions, types=types, as_of=as_of, force_text=force_text)
+    fresh = mode == "overwrite" or (mode == "overwrite_partitions" and not partitions)
+    if table:
+        listed = register(spark, table, path, staged.schema, partitions, replace=fresh, schema_evolution=schema_evolution)
+        have = {c.lower(): c for c in staged.columns}
+        staged = staged.select(*(
+            (F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in spark.table(table).schema.fields))
     writer = staged.write.mode("append" if mode == "append" else "overwrite")
-    dynamic = mode == "overwrite_partitions" and partitions
-    writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    writer.parquet(path)
+    writer = writer.option("partitionOverwriteMode", "static" if fresh else "dynamic")
     if table:
-        register(df.sparkSession, table, path, staged.schema, partitions)
-
-
-def register(spark: SparkSession, table: str, path: str, schema: T.StructType, partitions: Sequence[str] = ()) -> None:
-    """Point an external table at ``path``; a changed schema, path or partitioning replaces the table entry (its files stay)."""
+        writer.insertInto(table)
+        if not listed and partitions:  # the entry was made anew over partitions written before
+            spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.catalog.refreshTable(table)
+    else:
+        (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+
+
+#: Types of which each holds all values of those before it.
+_WIDENING = ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.FloatType, T.DoubleType))
+
+
+def wider_type(old: T.DataType, new: T.DataType) -> T.DataType:
+    """The one of two types that holds the other's values; Parquet files of the narrower are read as it."""
+    if old == new:
+        return old
+    for chain in _WIDENING:
+        if type(old) in chain and type(new) in chain:
+            return max(old, new, key=lambda kind: chain.index(type(kind)))
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        scale = max(old.scale, new.scale)
+        whole = max(old.precision - old.scale, new.precision - new.scale)
+        if whole + scale <= 38:
+            return T.DecimalType(whole + scale, scale)
+    raise ValueError(f"cannot widen {old.simpleString()} and {new.simpleString()} to one type")
+
+
+def grown_schema(old: T.StructType, new: T.StructType, partitions: Sequence[str] = ()) -> T.StructType:
+    """The old columns, widened where needed, then new ones; partition columns stay last. Names compare without case."""
+    kinds = {f.name.lower(): f.dataType for f in new.fields}
+    kept = [T.StructField(f.name, wider_type(f.dataType, kinds.get(f.name.lower(), f.dataType))) for f in old.fields]
+    known = {f.name.lower() for f in old.fields}
+    added = [T.StructField(f.name, f.dataType) for f in new.fields if f.name.lower() not in known]
+    last = {p.lower() for p in partitions}
+    return T.StructType([f for f in kept if f.name.lower() not in last] + added + [f for f in kept if f.name.lower() in last])
+
+
+def register(spark: SparkSession, table: str, path: str, schema: T.StructType, partitions: Sequence[str] = (), *,
+             replace: bool = False, schema_evolution: bool = True) -> bool:
+    """Point an external table at ``path``; False when an entry was made anew that must list its partitions.
+
+    New columns are added to an existing entry. Wider types, another path or another partitioning replace the entry (its files stay).
+    """
+    listed, last = True, {p.lower() for p in partitions}
+    schema = T.StructType([f for f in schema.fields if f.name.lower() not in last] + [schema[p] for p in partitions])
     if spark.catalog.tableExists(table):
-        have = {f.name: f.dataType for f in spark.table(table).schema.fields}
-        columns = spark.catalog.listColumns(table)
-        if (have != {f.name: f.dataType for f in schema.fields} or _plain_path(table_location(spark, table)) != _plain_path(path)
-                or {c.name for c in columns if c.isPartition} != set(partitions)):
-            spark.sql(f"DROP TABLE {table}")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        old, columns = spark.table(table).schema, spark.catalog.listColumns(table)
+        moved = (_plain_path(table_location(spark, table)) != _plain_path(path)
+                 or {c.name.lower() for c in columns if c.isPartition} != last)
+        if not moved and not replace:
+            wanted = grown_schema(old, schema, partitions)
+            if not schema_evolution and _plain_fields(wanted) != _plain_fields(old):
+                raise ValueError(f"the load's schema differs from {table}: {schema.simpleString()}; allow schema_evolution or overwrite it")
+            kinds = dict(_plain_fields(old))
+            added = [f for f in wanted.fields if f.name not in kinds]
+            if all(kinds.get(n, k) == k for n, k in _plain_fields(wanted)):
+                if added:
+                    spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns(added)})")
+                return True
+            schema, listed = wanted, False
+        if moved or replace or not listed:
+            if not replace or moved or _plain_fields(old) != _plain_fields(schema):
+                spark.sql(f"DROP TABLE {table}")
     by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{by} LOCATION '{path}'")
-    if partitions:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
-    spark.catalog.refreshTable(table)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_columns(schema.fields)}) USING parquet{by} LOCATION '{path}'")
+    return listed
+
+
+def _plain_fields(schema: T.StructType) -> list[tuple[str, T.DataType]]:
+    return [(f.name, f.dataType) for f in schema.fields]
+
+
+def _columns(fields: Sequence[T.StructField]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
 
 def _plain_path(path: str) -> str:

@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.casting import decimal_text, micros_time, millis_time
 from ..functions.clock import trunc
+from ..operators.reconcile import SILVER_ROWS, SOURCE_ROWS
+from ..operators.runlog import extract_runs
 from ..operators.upsert import MergeRules
 from ..schemas import META_OP, META_TS
 from ..session import estimated_bytes
@@ -144,3 +146,47 @@ def hourly_stream_counts(events: DataFrame, ts: str, *, lateness: str = "2 hours
         .groupBy(F.window("__t", "1 hour")).agg(F.count(F.lit(1)).alias("total_rows"))
         .select(trunc("hour", F.col("window.start")).alias("slot"), "total_rows")
     )
+
+
+def drop_repeats(changes: DataFrame, keys: Sequence[str], ts: str = META_TS, *, lateness: str = "2 hours 30 minutes") -> DataFrame:
+    """Change rows without those that a restarted connector sent again.
+
+    The first row of each key stays; a row with the same ``keys`` is dropped while it comes within ``lateness`` of the first. The state
+    holds the keys of that span only. Keys name one change (for instance key and log position), not one table row. Rows later than
+    ``lateness`` are dropped: their repeats can no longer be told.
+    """
+    moment = changes.withColumn("__t", F.col(f"`{ts}`").cast("timestamp")).withWatermark("__t", lateness)
+    return moment.dropDuplicatesWithinWatermark(list(keys)).drop("__t")
+
+
+def hourly_stream_reconcile(source: DataFrame, silver: DataFrame, source_ts: str, silver_ts: str, *,
+                            lateness: str = "2 hours 30 minutes") -> DataFrame:
+    """Both sides' rows per hour once the hour is closed: ``slot, total_row_source, total_row_silver``.
+
+    Two windowed counts under watermarks meet in a full outer join of streams, in append mode: an hour comes out when the slower
+    stream's watermark has passed it, with 0 for a side without rows. State is one row per open hour and side.
+    """
+    def side(rows: DataFrame, ts: str, name: str) -> DataFrame:
+        moment = rows.select(F.col(f"`{ts}`").cast("timestamp").alias("__t")).withWatermark("__t", lateness)
+        return moment.groupBy(F.window("__t", "1 hour").alias("hour")).agg(F.count(F.lit(1)).alias(name))
+
+    both = side(source, source_ts, SOURCE_ROWS).join(side(silver, silver_ts, SILVER_ROWS), "hour", "full_outer")
+    return both.select(trunc("hour", F.col("hour.start").cast("timestamp_ntz")).alias("slot"),
+                       *(F.coalesce(n, F.lit(0)).alias(n) for n in (SOURCE_ROWS, SILVER_ROWS)))
+
+
+def land_runs(lines: DataFrame, path: str, checkpoint: str, *, every: str | None = LAND_EVERY) -> StreamingQuery:
+    """Runs of new log files, from a stream of their lines; files read once are not read again.
+
+    ``lines`` has ``job, year, month, day, src, line``; all lines of a file come in one batch, as file streams give them. Each batch has
+    a folder of its own, so a batch that is delivered again replaces itself. Read them with :func:`landed_runs`.
+    """
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        extract_runs(batch, path_like=None).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+    return _trigger(lines.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint), every).start()
+
+
+def landed_runs(spark: SparkSession, path: str) -> DataFrame:
+    """Run rows of all batches that :func:`land_runs` has written."""
+    return spark.read.parquet(f"{path.rstrip('/')}/batch=*")

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.clock import trunc
 from tidemark.functions.rules import rate_pct
 from tidemark.operators import kpi
 from tidemark.operators.predicates import log_selection
@@ -17,7 +18,7 @@ from tidemark.operators.reconcile import (
 from tidemark.operators.runlog import dq_run_report as dq_report
 from tidemark.operators.runlog import extract_runs, run_report, runs_from_documents
 from tidemark.operators.runlog import run_totals as totals
-from tidemark.session import stable
+from tidemark.session import scratch_path, stable
 
 from .inputs import (
     AS_OF, AS_OF_WIB_SQL, DB_SOURCE, WINDOW, dq_run_log, job_sla, order_runs, plain, run_log_lines, runs, silver_events, table,
@@ -231,6 +232,21 @@ def kpi_p95(spark, sf):
     return plain(kpi.runtime_p95(runs(spark, sf), job_sla(spark, sf)))
 
 
+@query(with_inputs("""SELECT job, date_trunc('week', started_at) AS week, count(*) AS runs, TRUE AS p95_in_bound, TRUE AS median_in_bound FROM runs GROUP BY 1, 2""", "runs"))
+def kpi_sketched_runtime(spark, sf):
+    """Weekly quantiles from stored daily sketches; their true ranks lie within half a per cent of those asked for."""
+    path, r = scratch_path(spark, "sketches"), runs(spark, sf)
+    kpi.runtime_sketches(r).write.parquet(path)
+    found = kpi.sketched_runtime(spark.read.parquet(path))
+    seen = r.select("job", trunc("week", F.col("started_at")).alias("week"), "duration_seconds").join(found, ["job", "week"])
+
+    def in_bound(name: str, rank: float):
+        below, upto = (F.avg((F.col("duration_seconds") < F.col(name)).cast("int")), F.avg((F.col("duration_seconds") <= F.col(name)).cast("int")))
+        return (below <= rank + 0.005) & (upto >= rank - 0.005)
+
+    return seen.groupBy("job", "week", "runs").agg(in_bound("p95_seconds", 0.95).alias("p95_in_bound"), in_bound("median_seconds", 0.5).alias("median_in_bound"))
+
+
 _RECOVER = f"""marked AS (SELECT *, first_value(CASE WHEN {_OK} THEN ended_at END IGNORE NULLS) OVER (
   PARTITION BY job ORDER BY started_at, run_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS recovered_at FROM runs),
 failed AS (SELECT {_WEEK}, job, run_id, started_at, recovered_at, CAST(epoch(recovered_at) - epoch(started_at) AS BIGINT) AS seconds

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import warnings
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from tidemark.functions.clock import resolve_window
 from tidemark.operators.columns import align_columns
 from tidemark.operators.latest import dedupe_source
 from tidemark.operators.predicates import backfill_filter, in_range
-from tidemark.operators.reconcile import reconcile_many
+from tidemark.operators.reconcile import CheckSpec, reconcile_many
 from tidemark.session import scratch_path
 from tidemark.sources.partitioned import read_run_logs
 
@@ -68,14 +69,24 @@ def window_choices(spark, sf):
     return out
 
 
-@query("""SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(0 AS BIGINT) AS total_row_silver FROM orders WHERE FALSE""")
+@query(with_inputs("""SELECT 'good' AS outcome, count(*) AS total_row_silver FROM silver_events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-31'
+UNION ALL SELECT 'failed ' || v, count(*) FROM (VALUES ('broken'), ('broken later')) f(v), events GROUP BY v
+UNION ALL SELECT 'alone', 0""", "silver_events"))
 def reconcile_none_succeeded(spark, sf):
-    """No check resolves: an empty result with the fixed columns, of which two are returned."""
-    outcome = reconcile_many(spark, [BROKEN], lambda schema, name: table(spark, sf, name), lambda db, name: silver_events(spark, sf),
-                             LOW, HIGH, database_source=DB_SOURCE)
-    if outcome.failed_ids != ("broken",):
-        raise AssertionError(outcome.failed_ids)
-    return outcome.results.select("id", "total_row_silver")
+    """Broken checks beside a good one, which keeps its rows, and alone, which leaves an empty result of the same columns."""
+    def checks(*specs):
+        return reconcile_many(spark, specs, lambda schema, name: table(spark, sf, name), lambda db, name: silver_events(spark, sf),
+                              LOW, HIGH, database_source=DB_SOURCE)
+
+    good = CheckSpec("good", "public", "events", "silver", "events", "ts", "ts")
+    mixed, alone = checks(BROKEN, good, replace(BROKEN, id="broken later")), checks(BROKEN)
+    if mixed.results.dtypes != alone.results.dtypes:
+        raise AssertionError("columns differ without a successful check")
+    rows = F.sum("total_row_silver").alias("total_row_silver")
+    failed = mixed.failures.join(table(spark, sf, "events").agg(F.count("*").alias("total_row_silver")))  # one row
+    return (mixed.results.agg(rows).select(F.lit("good").alias("outcome"), "total_row_silver")
+            .unionAll(failed.select(F.concat(F.lit("failed "), "check_id"), "total_row_silver"))
+            .unionAll(alone.results.agg(F.count("*")).select(F.lit("alone"), "count(1)")))
 
 
 @query("SELECT event_id, event_type AS same, hex(event_type) AS bytes FROM events")

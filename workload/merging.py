@@ -14,6 +14,7 @@ from tidemark.operators.latest import dedupe_source, latest_per_key
 from tidemark.operators.predicates import backfill_filter, look_back
 from tidemark.operators.upsert import MergeRules, merge_upsert
 from tidemark.schemas import schema_from_names
+from tidemark.session import stable
 from tidemark.sources.relations import query as run_sql
 
 from .inputs import (
@@ -202,7 +203,7 @@ def order_rules(**changes) -> MergeRules:
 
 
 def _merge(spark, sf, **changes) -> DataFrame:
-    return plain(merge_upsert(silver_orders(spark, sf), stg_orders(spark, sf), order_rules(**changes)))
+    return plain(merge_upsert(silver_orders(spark, sf), stg_orders(spark, sf), order_rules(**changes), run_once=stable))
 
 
 @query(merge_sql())

@@ -6,7 +6,9 @@ These write to a fresh folder below the shared scratch folder and return what is
 from __future__ import annotations
 
 import uuid
+import warnings
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from tidemark.functions.clock import WIB, to_wib
 from tidemark.operators.latest import current_state
 from tidemark.operators.predicates import select_changes
 from tidemark.operators.reconcile import CheckSpec
-from tidemark.operators.runlog import dq_run_report
+from tidemark.operators.runlog import dq_run_report, run_report
 from tidemark.operators.upsert import MergeRules
 from tidemark.plans.jobs import BackfillSpec, JobSpec, backfill, full_run, reconcile
 from tidemark.schemas import META_STRUCT, RUN_STATUS, with_columns
@@ -37,7 +39,7 @@ from .inputs import (
     table, typed_changes, with_inputs,
 )
 from .merging import BACKFILL_HIGH, BACKFILL_LOW, BACKFILL_RANGE_SQL, STAGED_TYPES, backfill_source, merge_sql, order_rules
-from .registry import query
+from .registry import ORACLES, query
 
 
 def _unique(label: str) -> str:
@@ -179,6 +181,61 @@ def merge_touched_partitions(spark, sf):
     return spark.table(name)
 
 
+def _daily(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """Events in a table partitioned by day, without those of large value, and all events."""
+    events = table(spark, sf, "events").select("event_id", F.col("event_type").alias("kind"), "ts", "value", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    return silver_table(spark, events.filter("value <= 150.0").select("event_id", "kind", "day"), "daily", ("day",)), events
+
+
+@query("""SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN upper(event_type) ELSE event_type END AS kind,
+  strftime(CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN ts - INTERVAL 9 DAY ELSE ts END, '%Y-%m-%d') AS day FROM events
+WHERE value <= 150.0 OR ts >= TIMESTAMP '2024-01-20'""")
+def merge_moved_keys(spark, sf):
+    """Rows whose partition value changes leave their old partitions; those of the last days end empty."""
+    name, events = _daily(spark, sf)
+    moved = events.filter(F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")).select(
+        "event_id", F.upper("kind").alias("kind"), F.date_format(F.col("ts") - F.expr("interval 9 days"), "yyyy-MM-dd").alias("day"))
+    silver_sinks.merge_table(spark, name, moved, MergeRules(keys="event_id"))
+    return spark.table(name)
+
+
+@query("""SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-25' THEN upper(event_type) ELSE event_type END AS kind, strftime(ts, '%Y-%m-%d') AS day,
+  'day=' || strftime(ts, '%Y-%m-%d') AS partition FROM events
+WHERE ts >= TIMESTAMP '2024-01-25' OR (value <= 150.0 AND ts < TIMESTAMP '2024-01-20')""")
+def merge_emptied_partitions(spark, sf):
+    """Deletes that know their key alone remove whole days, updates in the same batch change others; emptied days leave the catalog."""
+    name, events = _daily(spark, sf)
+    recent = events.filter(F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz"))
+    gone = F.col("day") < "2024-01-25"
+    changes = recent.select("event_id", F.when(~gone, F.upper("kind")).alias("kind"), F.when(~gone, F.col("day")).alias("day"),
+                            F.when(gone, "d").otherwise("u").alias("__op"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        silver_sinks.merge_table(spark, name, changes, MergeRules(keys="event_id", op=None, apply_deletes=True))
+    listed = spark.sql(f"SHOW PARTITIONS {name}")
+    return spark.table(name).join(listed, F.col("partition") == F.concat(F.lit("day="), "day"), "full")
+
+
+@query("""SELECT event_id, event_type, CASE WHEN ts >= TIMESTAMP '2024-01-10' THEN value END AS value,
+  CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN user_id END AS user_id, strftime(ts, '%Y-%m') || CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 'c'
+  WHEN ts >= TIMESTAMP '2024-01-10' THEN 'b' ELSE 'a' END AS load FROM events""")
+def staging_schema_evolution(spark, sf):
+    """Three loads, each with a column more and the last with a wider key, read back whole through the table."""
+    path, name = scratch_path(spark, "staging"), _unique("stg_events")
+    events = table(spark, sf, "events")
+    steps = [("a", None, "2024-01-10", ["event_id", "event_type"], "int"), ("b", "2024-01-10", "2024-01-20", ["event_id", "event_type", "value"], "int"),
+             ("c", "2024-01-20", None, ["event_id", "event_type", "user_id", "value"], "bigint")]
+    for load, low, high, columns, kind in steps:
+        rows = events
+        if low:
+            rows = rows.filter(F.col("ts") >= F.lit(low).cast("timestamp_ntz"))
+        if high:
+            rows = rows.filter(F.col("ts") < F.lit(high).cast("timestamp_ntz"))
+        write_staging(rows.select(*columns, F.concat(F.date_format("ts", "yyyy-MM"), F.lit(load)).alias("load")), path, table=name, partitions=["load"],
+                      force_text=False, types={"event_id": kind})
+    return spark.table(name)
+
+
 # --- change streams ----------------------------------------------------------------------------
 
 _STATE_SQL = """SELECT id, event_type, CAST(amount AS DOUBLE) AS amount, __op, __ts_ms, event_id FROM cdc_changes
@@ -325,6 +382,58 @@ def stream_hourly_counts(spark, sf):
     return spark.read.parquet(out)
 
 
+@query("SELECT event_id, event_type, ts FROM events")
+def stream_drop_repeats(spark, sf):
+    """Every change arrives twice, the second time with the slice after it; the stream lands each once."""
+    inbox, out = scratch_path(spark, "inbox"), scratch_path(spark, "landed")
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    edges = [None, "2024-01-08", "2024-01-16", "2024-01-24", None]
+    between = lambda i: reduce(lambda a, b: a & b, [F.lit(True), *(
+        c for c in (F.col("ts") >= F.lit(edges[i]).cast("timestamp_ntz") if edges[i] else None,
+                    F.col("ts") < F.lit(edges[i + 1]).cast("timestamp_ntz") if edges[i + 1] else None) if c is not None)])
+    for i in range(4):  # a file a slice, in order
+        slice_ = events.where(between(i))
+        again = slice_ if i == 0 else events.where(between(i - 1))
+        slice_.unionAll(slice_ if i == 3 else slice_.limit(0)).unionAll(again).coalesce(1).write.mode("append").parquet(inbox)
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    once = stream.drop_repeats(rows, ["event_id"], "ts")
+    (once.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "repeats-state"))
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(events.schema).parquet(out)
+
+
+@query(with_inputs("""SELECT coalesce(a.slot, b.slot) AS slot, coalesce(a.n, 0) AS total_row_source, coalesce(b.n, 0) AS total_row_silver
+FROM (SELECT date_trunc('hour', ts) AS slot, count(*) AS n FROM events GROUP BY 1) a
+FULL JOIN (SELECT date_trunc('hour', ts) AS slot, count(*) AS n FROM silver_events WHERE event_type <> 'purchase' OR ts < TIMESTAMP '2024-01-12' GROUP BY 1) b ON a.slot = b.slot
+WHERE coalesce(a.slot, b.slot) + INTERVAL 1 HOUR <= least((SELECT max(ts) FROM events),
+  (SELECT max(ts) FROM silver_events WHERE event_type <> 'purchase' OR ts < TIMESTAMP '2024-01-12')) - INTERVAL 150 MINUTE""", "silver_events"))
+def stream_hourly_reconcile(spark, sf):
+    """Hourly counts of two streams joined once an hour is closed on both."""
+    out, sides = scratch_path(spark, "reconciled"), []
+    for label, rows in (("source", table(spark, sf, "events").select("ts")),
+                        ("silver", silver_events(spark, sf).where("event_type <> 'purchase' or ts < timestamp_ntz '2024-01-12 00:00:00'").select("ts"))):
+        inbox = scratch_path(spark, label)
+        for low, high in (("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01")):  # a file a slice, in order
+            (rows.where((F.col("ts") >= F.lit(low).cast("timestamp_ntz")) & (F.col("ts") < F.lit(high).cast("timestamp_ntz")))
+             .coalesce(1).write.mode("append").parquet(inbox))
+        sides.append(spark.readStream.schema("ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(inbox))
+    joined = stream.hourly_stream_reconcile(*sides, "ts", "ts")
+    (joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "reconcile-state"))
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(joined.schema).parquet(out)
+
+
+@query(ORACLES["runlog_report"])
+def stream_run_report(spark, sf):
+    """The run report from a stream of log files, read in several batches and each file once."""
+    inbox, out = scratch_path(spark, "run-lines"), scratch_path(spark, "runs")
+    lines = run_log_lines(spark, sf)
+    lines.repartition(4, "src").write.parquet(inbox)  # all lines of a run's file together
+    rows = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    stream.land_runs(rows, out, scratch_path(spark, "runs-state"), every=None).awaitTermination()
+    return run_report(stream.landed_runs(spark, out), days=("2024-01-03", "2024-01-28"))
+
+
 # --- jobs --------------------------------------------------------------------------------------
 
 @query(merge_sql())
