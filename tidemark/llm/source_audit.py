@@ -22,13 +22,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path, stable
 
-from .common import ascii_lower, whole_text
+from .common import whole_text
 
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"  # what separates terms
 WHOLE, SMOOTH = 1_000_000_000, 5
@@ -44,6 +45,21 @@ def share(count: str, total: str, terms: str) -> Column:
     return F.expr(f"1 + cast({WHOLE} as decimal(10,0)) * {wide(f'{count} + {SMOOTH}')} div {wide(f'{total} + {SMOOTH} * {terms}')}")
 
 
+def _tokens(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """(lang, source, tokens): every term of a text in order, behind its language; whole columns at a time, by Arrow's own functions."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            found = pc.split_pattern_regex(pc.ascii_lower(part.column("text")), BETWEEN)
+            flat, owner = found.flatten(), pc.list_parent_indices(found)
+            some = pc.not_equal(flat, "")  # a text may begin or end between terms
+            flat, owner = flat.filter(some), owner.filter(some)
+            ends = np.cumsum(np.bincount(owner.to_numpy(), minlength=len(part)))
+            words = pc.binary_join_element_wise(part.column("lang").take(owner), flat, "\0")  # no term holds it
+            tokens = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), words)
+            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("source"), tokens], names=["lang", "source", "tokens"])
+
+
 def _sum_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, index, n): entries of sparse vectors summed by group; a bounded number of them is held."""
     keys, values, groups, held = [], [], {}, 0
@@ -121,10 +137,8 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     gives no rows; a source alone in its language has no pairs.
     """
     spark = docs.sparkSession
-    rows = docs.select(whole_text(lang_col).alias("lang"), whole_text(source_col).alias("source"), ascii_lower(whole_text(text_col)).alias("text"))
-    prefix = F.concat("lang", F.lit("\0"))  # no term holds it
-    terms = F.filter(F.split("text", BETWEEN), lambda t: t != "")  # cheaper than extracting each match
-    tokens = rows.select("lang", "source", F.transform(terms, lambda t: F.concat(prefix, t)).alias("tokens"))
+    rows = docs.select(whole_text(lang_col).alias("lang"), whole_text(source_col).alias("source"), whole_text(text_col).alias("text"))
+    tokens = rows.mapInArrow(_tokens, "lang string, source string, tokens array<string>")
     model = CountVectorizer(inputCol="tokens", outputCol="vector", minDF=float(min_docs), vocabSize=2 ** 31 - 1).fit(tokens.select("tokens"))
     path = scratch_path(spark, "vocabulary")
     model.write().save(path)
