@@ -235,7 +235,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     At most ``most_rows`` labels are used (the ones whose ids hash lowest), so the label side of the join has a
     known size and is broadcast; rows of fold ``held_out_fold`` (crc32 of the id, modulo 5) are never used. Equal texts count as one row, labelled
-    as at least half of them are. A fifth of the texts, by a digest, teaches the logistic fit, the others the token scores. ``prior`` is the Dirichlet prior's weight as a share of the labelled rows:
+    as at least half of them are (rows that repeat an id with its text count each). A fifth of the texts, by a digest, teaches the logistic fit, the others the token scores. ``prior`` is the Dirichlet prior's weight as a share of the labelled rows:
     each class gets that many rows that hold a token as often as all labelled rows do. A token enters the lexicon when
     ``least_rows`` toxic rows hold it, its log-odds reach ``least_odds`` and lie ``least_z`` standard errors above zero; ``lexicon_size`` bounds the lexicon (largest z first).
     Null labels, labels other than 0 and 1 and ids without a row are ignored; several labels of one id: the largest.
@@ -247,17 +247,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if held_out_fold is not None:
         label = label.where(F.col("fold") != held_out_fold)
     label = F.broadcast(lowest_hashes(label, "id", most_rows))
-    rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")).join(label, "id")
-    # a text counts once however often it was copied, and never on both sides of the calibration
-    texts = stable(rows.withColumn("key", F.md5("text")).groupBy("key").agg(
-        F.any_value("text").alias("text"), F.when(2 * F.sum("toxic") >= F.count("*"), 1).otherwise(0).alias("toxic")).withColumn("fold", F.crc32("key")))
-    held = F.col("fold") % 5 == 4
-    teach, check = texts.where(~held).select("text", "toxic"), texts.where(held).select("text", "toxic")
-
-    sides = {r[0]: r[1] for r in teach.groupBy("toxic").count().collect()}
-    n1, n0 = sides.get(1, 0), sides.get(0, 0)
+    texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
+    # a text counts once however many rows have it, and never on both sides of the calibration: digests choose a row, texts stay where they are
+    rows = texts.join(label, "id").select("id", "toxic", F.md5("text").alias("key")).groupBy("key", "id").agg(F.count("*").alias("n"), F.max("toxic").alias("toxic"))
+    chosen = stable(rows.groupBy("key").agg(F.min_by("id", F.struct("n", "id")).alias("id"), F.when(2 * F.sum(F.col("n") * F.col("toxic")) >= F.sum("n"), 1).otherwise(0)
+                                            .alias("toxic")).withColumn("held", F.crc32("key") % 5 == 4))
+    sides = {tuple(r[:2]): r[2] for r in chosen.groupBy("toxic", "held").count().collect()}
+    n1, n0 = sides.get((1, False), 0), sides.get((0, False), 0)
     if not n1 or not n0:
         return ToxicityModel()
+    few = F.broadcast(chosen) if sum(sides.values()) <= 2 * most_rows else chosen  # more only where ids have several texts each
+    used = texts.join(few, "id").where(F.md5("text") == F.col("key"))
+    teach, check = used.where(~F.col("held")).select("text", "toxic"), used.where("held").select("text", "toxic")
+
     weight = prior * (n1 + n0)
     rate = (F.col("toxic") + F.col("clean")) / F.lit(n1 + n0)
     a1, a0 = F.col("toxic") + weight * rate, F.col("clean") + weight * rate
@@ -268,9 +270,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     z = odds / F.sqrt(1 / a1 + 1 / a0)
     counts = (teach.mapInArrow(_count_tokens, "token string, toxic long, clean long")
               .groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
-    chosen = (counts.where(F.col("toxic") >= least_rows).select("token", odds.alias("odds"), z.alias("z"))
-              .where((F.col("z") >= least_z) & (F.col("odds") >= least_odds)).orderBy(F.desc("z"), "token").limit(lexicon_size))
-    lexicon = {r["token"]: min(8.0, r["odds"]) for r in chosen.collect()}
+    known = (counts.where(F.col("toxic") >= least_rows).select("token", odds.alias("odds"), z.alias("z"))
+             .where((F.col("z") >= least_z) & (F.col("odds") >= least_odds)).orderBy(F.desc("z"), "token").limit(lexicon_size))
+    lexicon = {r["token"]: min(8.0, r["odds"]) for r in known.collect()}
     model = ToxicityModel(odds=lexicon)
 
     bins = _binned(teach, _score_bins, model)
