@@ -110,3 +110,22 @@ def test_vector_sums_hold_a_bounded_number(sizes, monkeypatch):
         for j in range(n):
             want[f"s{i % 2}", j] += 2 * (j + 1)
     assert total == want
+
+
+def test_terms_of_bytes_are_those_of_the_pattern():
+    import pyarrow as pa
+
+    upper = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    pick = random.Random(9)
+    texts = ["", "a", "", "", "Zoë9x", "ÀÉ@日本語[x`y{z", " lead and trail ", "123 !", "ab", "cd", "\x7f\x80\u00ff", LONG[:500], ""]
+    texts += ["".join(pick.choices("abZ éÜ日🎉0-_\n", k=pick.randint(0, 30))) for _ in range(300)]
+    for prefix in ("", "en\0", "日\0"):
+        for part in (pa.array(texts), pa.array(["skip", *texts]).slice(1), pa.array(["", ""]), pa.array([], pa.string())):
+            want = [[prefix + w for w in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", t.translate(upper))] for t in part.to_pylist()]
+            got = source_audit.terms_of(part, prefix)
+            got.validate(full=True)
+            assert got.to_pylist() == want
+    batch = pa.RecordBatch.from_pydict({"lang": ["a", "b", "a", "", "a"], "source": list("vwxyz"), "text": ["One two", "x", "", "q r", "s"]})
+    for options in ({}, {"rows": 1}, {"most_bytes": 1}):
+        found = [tuple(r.values()) for out in source_audit._tokens(iter([batch]), **options) for r in out.to_pylist()]
+        assert sorted(found) == sorted([("a", "v", ["a\0one", "a\0two"]), ("b", "w", ["b\0x"]), ("a", "x", []), ("", "y", ["\0q", "\0r"]), ("a", "z", ["a\0s"])])

@@ -31,7 +31,6 @@ from tidemark.session import scratch_path, stable
 
 from .common import whole_text
 
-BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"  # what separates terms
 WHOLE, SMOOTH = 1_000_000_000, 5
 TILE, BLOCK = 64, 4096
 HELD = 1 << 21  # stored entries a task sums at once
@@ -45,19 +44,51 @@ def share(count: str, total: str, terms: str) -> Column:
     return F.expr(f"1 + cast({WHOLE} as decimal(10,0)) * {wide(f'{count} + {SMOOTH}')} div {wide(f'{total} + {SMOOTH} * {terms}')}")
 
 
-def _tokens(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """(lang, source, tokens): every term of a text in order, behind its language; whole columns at a time, by Arrow's own functions."""
+_LOWER, _LETTER = np.arange(256, dtype=np.uint8), np.zeros(256, bool)
+_LOWER[65:91] += 32
+_LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True  # all bytes of a character beyond ASCII are 128 or more
+
+
+def terms_of(texts: pa.Array, prefix: str) -> pa.ListArray:
+    """The terms of each text in order, A-Z lower-cased, each behind ``prefix``; bytes of all texts at once."""
+    begin = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[begin[0]:begin[-1]]
+    begin, head = begin - begin[0], np.frombuffer(prefix.encode(), np.uint8)
+    letter = _LETTER[data]
+    first = letter.copy()
+    first[1:] &= ~letter[:-1]
+    starts = begin[:-1][begin[:-1] < len(data)]
+    first[starts] = letter[starts]  # the letters of two texts never join
+    places = np.flatnonzero(letter)
+    term = np.cumsum(first[places])  # of each letter, from 1
+    at = np.flatnonzero(first[places])
+    ends = np.concatenate(([0], np.cumsum(np.diff(np.append(at, len(places))) + len(head))))
+    out = np.empty(ends[-1], np.uint8)
+    out[np.arange(len(places)) + term * len(head)] = _LOWER[data[places]]
+    for i, byte in enumerate(head):
+        out[ends[:-1] + i] = byte
+    owner = np.searchsorted(begin, places[at], "right") - 1
+    words = pa.StringArray.from_buffers(len(at), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(out))
+    each = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(texts)))))
+    return pa.ListArray.from_arrays(pa.array(each, pa.int32()), words)
+
+
+def _tokens(batches: Iterator[pa.RecordBatch], rows: int = 1000, most_bytes: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """(lang, source, tokens): every term of a text behind its language and a zero character, which no term holds.
+
+    Rows are taken by language, at most about ``most_bytes`` of text at once or one text.
+    """
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            part = batch.slice(at, rows)
-            found = pc.split_pattern_regex(pc.ascii_lower(part.column("text")), BETWEEN)
-            flat, owner = found.flatten(), pc.list_parent_indices(found)
-            some = pc.not_equal(flat, "")  # a text may begin or end between terms
-            flat, owner = flat.filter(some), owner.filter(some)
-            ends = np.cumsum(np.bincount(owner.to_numpy(), minlength=len(part)))
-            words = pc.binary_join_element_wise(part.column("lang").take(owner), flat, "\0")  # no term holds it
-            tokens = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), words)
-            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("source"), tokens], names=["lang", "source", "tokens"])
+        for lang in pc.unique(batch.column("lang")):
+            own = batch.filter(pc.equal(batch.column("lang"), lang))
+            sizes, at = np.cumsum(pc.binary_length(own.column("text")).to_numpy()), 0
+            while at < own.num_rows:
+                before = sizes[at - 1] if at else 0
+                to = min(at + rows, max(at + 1, int(np.searchsorted(sizes, before + most_bytes, "right"))))
+                part = own.slice(at, to - at)
+                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("source"), terms_of(part.column("text"), f"{lang.as_py()}\0")],
+                                                 names=["lang", "source", "tokens"])
+                at = to
 
 
 def _sum_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
