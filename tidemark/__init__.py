@@ -15,10 +15,11 @@ from .operators.latest import current_state, dedupe_source, latest_per_key
 from .operators.reconcile import CheckSpec, reconcile_check, reconcile_many
 from .operators.upsert import MergeRules, merge_upsert
 from .plans.jobs import BackfillSpec, JobSpec, backfill, full_run, merge, reconcile, run_jobs, stage
+from .plans.slices import backfill_in_slices
 from .session import configure
 
 __all__ = [
-    "BackfillSpec", "CheckSpec", "JobSpec", "MergeRules", "align_columns", "backfill", "cast_column", "cast_to_schema",
+    "BackfillSpec", "CheckSpec", "JobSpec", "MergeRules", "align_columns", "backfill", "backfill_in_slices", "cast_column", "cast_to_schema",
     "configure", "current_state", "dedupe_source", "full_run", "latest_per_key", "merge", "merge_upsert", "reconcile",
     "reconcile_check", "reconcile_many", "run_jobs", "stage",
 ]

@@ -22,6 +22,7 @@ from tidemark.operators.reconcile import CheckSpec
 from tidemark.operators.runlog import dq_run_report, run_report
 from tidemark.operators.upsert import MergeRules
 from tidemark.plans.jobs import BackfillSpec, JobSpec, backfill, full_run, reconcile
+from tidemark.plans.slices import backfill_in_slices
 from tidemark.schemas import META_STRUCT, RUN_STATUS, with_columns
 from tidemark.session import scratch_path
 from tidemark.sinks import logs as log_sinks
@@ -470,6 +471,19 @@ def job_backfill_partitioned(spark, sf):
     return plain(spark.table(dest))
 
 
+@query(f"SELECT *, strftime(created_at, '%Y-%m') AS created_month FROM ({BACKFILL_RANGE_SQL}) m")
+def job_backfill_sliced(spark, sf):
+    """The range in four slices of equal row counts, stopped after two and started again."""
+    dest = silver_table(spark, _by_month(silver_orders(spark, sf)), "orders", ("created_month",))
+    source, ledger = silver_table(spark, _by_month(backfill_source(spark, sf)), "bronze"), scratch_path(spark, "ledger")
+    spec = BackfillSpec(source, dest, "o_orderkey", op_literal="cron-2-hours", filter_start=BACKFILL_LOW, filter_end=BACKFILL_HIGH,
+                        options={"null_keys": "error"})
+    left = [backfill_in_slices(spark, spec, ledger, slices=4, most_slices=2, as_of=AS_OF), backfill_in_slices(spark, spec, ledger)]
+    if left != [2, 0]:
+        raise AssertionError(left)
+    return plain(spark.table(dest))
+
+
 @query("SELECT CAST(event_id AS VARCHAR) AS event_id, upper(event_type) AS event_type FROM events")
 def staging_new_path(spark, sf):
     """A staging table loaded again at another path shows the new load."""
