@@ -29,27 +29,22 @@ from tidemark.session import stable
 from .common import frequent, top, whole_text
 
 WORD = re.compile(r"\w+")
-START = "\x02"  # no word: how many texts have words
 FLUSH_WORDS, FLUSH_BIGRAMS = 300_000, 1 << 21
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n, n_target), partly summed."""
-    sides = (Counter(), Counter())
+    """(word, n), partly summed."""
+    held = Counter()
 
     def flush():
-        words = list(sides[0].keys() | sides[1].keys())
-        target = [sides[1][w] for w in words]
-        out = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([sides[0][w] + t for w, t in zip(words, target, strict=True)], pa.int64()),
-                                          pa.array(target, pa.int64())], names=["word", "n", "n_target"])
-        sides[0].clear(), sides[1].clear()
+        out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+        held.clear()
         return out
 
     for batch in batches:
-        for text, target in zip(batch.column("text").to_pylist(), batch.column("target").to_pylist(), strict=True):
-            found = WORD.findall(text.lower())
-            sides[target].update([*found, START] if found else ())
-            if len(sides[0]) + len(sides[1]) > FLUSH_WORDS:
+        for text in batch.column("text").to_pylist():
+            held.update(WORD.findall(text.lower()))
+            if len(held) > FLUSH_WORDS:
                 yield flush()
     yield flush()
 
@@ -129,31 +124,36 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str =
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind, send = docs.schema[id_col].dataType, docs.sparkSession.sparkContext.broadcast
-    # the targets grow with the input, so their join is the same at every size: by shuffle, never by broadcast
-    target = targets.select(F.col(id_col).alias("id")).where("id is not null").distinct().withColumn("target", F.lit(1)).hint("merge")
-    rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text")).join(target, "id", "left").select(
-        "text", F.coalesce("target", F.lit(0)).alias("target"))
+    texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
 
-    words = stable(rows.mapInArrow(_count_words, "word string, n long, n_target long").groupBy("word")
-                   .agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")))
-    starts = words.where(F.col("word") == START).first() or {"n": 0, "n_target": 0}
-    words = words.where(F.col("word") != START)
-    total, total_target = (x or 0 for x in words.agg(F.sum("n"), F.sum("n_target")).first())
+    # the vocabulary is that of all texts, so it needs no join with the targets
+    words = stable(texts.select("text").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
     chosen = top(words, "n", vocabulary, "word").collect()
     ids, size = {r["word"]: i for i, r in enumerate(chosen)}, len(chosen)
-    scale = total_target / total if total else 0.0  # background counts at the target's size
 
-    counts = np.array([[r["n_target"], r["n"]] for r in chosen] or np.zeros((0, 2)), float)
-    counts = np.vstack([counts, np.maximum(0, [total_target, total] - counts.sum(0))])  # and the unknown word
+    # the targets grow with the input, so their join is the same at every size: by shuffle, never by broadcast
+    target = targets.select(F.col(id_col).alias("id")).where("id is not null").distinct().withColumn("target", F.lit(1)).hint("merge")
+    rows = texts.join(target, "id", "left").select("text", F.coalesce("target", F.lit(0)).alias("target"))
+    every = stable(rows.mapInArrow(partial(_count_bigrams, ids=send(ids)), "bigram long, n long, n_target long").groupBy("bigram")
+                   .agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")))
+    seen = every.where(F.col("n") >= least_count)
+
+    # each token ends one bigram, so word counts are the bigrams' sums by their second word; a text's first token follows the start
+    sums = [F.sum("n_target").alias("n_target"), F.sum("n").alias("n")]
+    counts = np.zeros((size + 1, 2))  # target, background; the last is the unknown word
+    for r in every.groupBy((F.col("bigram") % (size + 2)).alias("v")).agg(*sums).collect():  # at most a row per word of the vocabulary
+        counts[r["v"]] = r["n_target"], r["n"]
+    starts = [x or 0 for x in every.where(F.col("bigram") >= (size + 1) * (size + 2)).agg(*sums).first()]
+    total_target, total = counts.sum(0)
+    scale = float(total_target / total) if total else 0.0  # background counts at the target's size
+
     counts[:, 1] *= scale
     p = (counts + 1) / (counts.sum(0) + size + 1)
     # losses without bigram counts: log p(v) and the contexts' log((c + mu) / mu), target minus background
     word = np.append(-np.log(p[:, 0] / p[:, 1]), 0.0)
-    contexts = np.vstack([counts, [starts["n_target"], starts["n"] * scale]])
+    contexts = np.vstack([counts, [starts[0], starts[1] * scale]])
     context = -np.log((contexts[:, 0] + mu) / (contexts[:, 1] + mu))
 
-    seen = stable(rows.mapInArrow(partial(_count_bigrams, ids=send(ids)), "bigram long, n long, n_target long").groupBy("bigram")
-                  .agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).where(F.col("n") >= least_count))
     of_word = docs.sparkSession.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(p)], "v int, pt double, pb double")
     delta = -(F.log1p(F.col("n_target") / (mu * F.col("pt"))) - F.log1p(F.col("n") * scale / (mu * F.col("pb"))))
     model = seen.withColumn("v", (F.col("bigram") % (size + 2)).cast("int")).join(F.broadcast(of_word), "v").select("bigram", "n", delta.alias("delta"))
@@ -167,5 +167,5 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str =
     summed = terms.join(model.select("bigram", "delta"), "bigram", "left").groupBy("row").agg(
         F.max("id").alias(id_col), F.max("n_tokens").alias("n_tokens"),
         F.sum(F.col("base") + F.col("n") * F.coalesce("delta", F.lit(0.0))).alias("sum"))
-    score = F.when((F.col("n_tokens") == 0) | F.lit(total_target == 0), 0.0).otherwise(F.col("sum") / F.col("n_tokens"))
+    score = F.when((F.col("n_tokens") == 0) | F.lit(bool(total_target == 0)), 0.0).otherwise(F.col("sum") / F.col("n_tokens"))
     return summed.select(id_col, "n_tokens", score.alias("score"))
