@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.runlog import extract_runs
-from tidemark.operators.upsert import MergeRules
+from tidemark.operators.upsert import MergeRules, merge_upsert
 from tidemark.schemas import DQ_RESULT, RUN_STATUS
 from tidemark.session import estimated_bytes, fits_broadcast, scratch_path
 from tidemark.sinks import logs, silver
@@ -187,6 +187,70 @@ def test_silver_versions(spark, tmp_path):
     assert files and all(".zstd." in name for name in files)
 
 
+def _above(plan, leaf):
+    """The steps above the first ``leaf`` of a plan's text."""
+    lines = [(len(x) - len(x.lstrip(" :+-*")), x.lstrip(" :+-*")) for x in plan.splitlines()]
+    at = next(i for i, (_, x) in enumerate(lines) if leaf in x)
+    depth, found = lines[at][0], []
+    for d, x in reversed(lines[:at]):
+        if d < depth:
+            depth = d
+            found.append(x.split(") ", 1)[1] if x.startswith("(") else x)
+    return found
+
+
+def _read_buckets(spark, table):
+    """(bucket of the file's name, bucket of the row's key) of all rows."""
+    number = silver.bucket_layout(spark, table).number
+    found = spark.table(table).select(F.regexp_extract(F.col("_metadata.file_name"), r"_([0-9]{5})[.]", 1).cast("int"), F.pmod(F.hash("id"), F.lit(number)))
+    return [tuple(r) for r in found.collect()]
+
+
+@pytest.mark.parametrize("partitions", [(), ("p",)])
+def test_buckets_survive_merges(spark, tmp_path, partitions):
+    name = f"bucketed_{len(partitions)}"
+    rows = spark.range(200).select("id", F.lit("t").alias("v"), (F.col("id") % 3).cast("string").alias("p"))
+    silver.create_table(spark, name, rows.schema, str(tmp_path / "t"), partitions=partitions, buckets=silver.Buckets(("id",), 6))
+    assert silver.bucket_layout(spark, name) == silver.Buckets(("id",), 6)
+    before = len(spark.catalog.listTables())
+    silver.merge_table(spark, name, rows, MergeRules(keys="id"))
+    fresh = spark.range(150, 260).select("id", F.lit("s").alias("v"), (F.col("id") % 4).cast("string").alias("p"))
+    fresh = fresh.unionByName(spark.createDataFrame([(None, "null", "0")], "id long, v string, p string"))
+    silver.merge_table(spark, name, fresh, MergeRules(keys="id"))
+    assert len(spark.catalog.listTables()) == before  # the entries used for writing are gone
+    want = {(i, "t", str(i % 3)) for i in range(150)} | {(i, "s", str(i % 4)) for i in range(150, 260)}
+    got = [tuple(r) for r in spark.table(name).select("id", "v", "p").collect()]
+    assert len(got) == len(want) + 1 and set(got) == want | {(None, "null", "0")}
+    assert all(of_file == of_key for of_file, of_key in _read_buckets(spark, name))
+    # repeated source rows, and the other plan, whose rows are dealt again
+    silver.merge_table(spark, name, fresh.filter("id < 160").withColumn("v", F.lit("r")), MergeRules(keys="id", strategy="lookup"))
+    assert spark.table(name).filter("v = 'r'").count() == 10 and spark.table(name).count() == len(got)
+    assert all(of_file == of_key for of_file, of_key in _read_buckets(spark, name))
+
+
+def test_a_bucketed_target_is_not_shuffled(spark, tmp_path):
+    rows = spark.range(5000).select("id", F.lit("t").alias("v"))
+    for name, buckets in (("dealt", silver.Buckets(("id",), 6)), ("undealt", None), ("elsewhere", silver.Buckets(("v",), 6))):
+        silver.create_table(spark, name, rows.schema, str(tmp_path / name), buckets=buckets)
+        silver.publish_version(spark, name, rows)
+    source = spark.range(4000, 6000).select("id", F.lit("s").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for name, shuffles in (("dealt", 0), ("undealt", 1), ("elsewhere", 1)):
+            merged = merge_upsert(spark.table(name), source, silver.merged_in_buckets(MergeRules(keys="id"), silver.bucket_layout(spark, name)))
+            above = _above(merged._jdf.queryExecution().executedPlan().toString(), "FileScan")
+            assert sum(step.startswith("SortMergeJoin") for step in above) == 1
+            assert sum(step.startswith("Exchange") for step in above) == shuffles, (name, above)
+            assert merged.count() == 6000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert silver.merged_in_buckets(MergeRules(keys="id", strategy="lookup"), silver.bucket_layout(spark, "dealt")).strategy == "lookup"
+    # a merge writes one file a bucket, without another shuffle
+    silver.merge_table(spark, "dealt", source, MergeRules(keys="id"))
+    files = [r[0] for r in spark.table("dealt").select("_metadata.file_name").distinct().collect()]
+    assert len(files) == 6 and spark.table("dealt").count() == 6000
+
+
 def test_only_touched_partitions_are_replaced(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType()), T.StructField("day", T.StringType())])
     silver.create_table(spark, "daily", schema, str(tmp_path / "d"), partitions=["day"])

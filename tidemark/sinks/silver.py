@@ -4,6 +4,8 @@
 * a partitioned Parquet table (its partitions are read from the catalog) is merged partition by
   partition: only partitions that the source's rows go to or come from are read; each gets a fresh folder and is
   switched to it in one step, and one left without rows is dropped from the catalog;
+* a table in buckets of its keys is merged without shuffling it: only the source is dealt to the table's buckets, and
+  what is written is in the same buckets again. It may be partitioned as well;
 * otherwise a fresh folder is written and the table is switched to it in one step. Readers of
   the old folder are not disturbed, and a lost executor or a failed job leaves the table as it was.
   The whole table is rewritten, so large tables need partitions or a catalog with row-level operations.
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -37,6 +39,14 @@ ATTEMPTS = 5
 TABLE_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3"}
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Rows of a table dealt to ``number`` files by the hash of ``columns``: for merges, all key columns."""
+
+    columns: tuple[str, ...]
+    number: int
+
+
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
@@ -55,10 +65,18 @@ def create_table(
     *,
     partitions: Sequence[str] = (),
     using: str = "parquet",
+    buckets: Buckets | None = None,
 ) -> None:
-    """Empty table whose versions live under ``location``."""
+    """Empty table whose versions live under ``location``.
+
+    With ``buckets`` its rows are dealt to that many files by the hash of the named columns and sorted by them within. A bucket is read
+    and written by one task (in a partitioned table: one for all partitions of a merge), so choose their number for the size the table will have.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
+    if buckets:
+        listed = ", ".join(f"`{c}`" for c in buckets.columns)
+        by += f" CLUSTERED BY ({listed}) SORTED BY ({listed}) INTO {buckets.number} BUCKETS"
     options = ", ".join(f"'{k}' = '{v}'" for k, v in TABLE_OPTIONS.items())
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {using} OPTIONS ({options}){by} "
@@ -99,6 +117,36 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def bucket_layout(spark: SparkSession, table: str) -> Buckets | None:
+    """The buckets the catalog names for the table."""
+    columns = tuple(c.name for c in spark.catalog.listColumns(table) if c.isBucket)
+    if not columns:
+        return None
+    number = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Num Buckets'").first()
+    return Buckets(columns, int(number["data_type"]))
+
+
+def merged_in_buckets(rules: MergeRules, buckets: Buckets | None) -> MergeRules:
+    """The rules for a table in ``buckets``: where these are of the merge keys, the full outer join, since it leaves the table where it is."""
+    fits = buckets is not None and sorted(c.lower() for c in buckets.columns) == sorted(k.lower() for k in rules.keys)
+    return replace(rules, strategy="full_outer") if fits and rules.dedupe and rules.strategy == "auto" else rules
+
+
+def _write_in_buckets(spark: SparkSession, table: str, rows: DataFrame, path: str, buckets: Buckets, dealt: bool) -> None:
+    """``rows`` as files of the table's layout below ``path``; ``dealt`` rows stand in its buckets already.
+
+    Only a write through the catalog makes buckets, so the files are written as those of a table of the same layout, whose entry is dropped
+    again. Spark leaves the files of a table with a location of its own where they are.
+    """
+    entry = f"{table.strip('`')}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {entry} LIKE {table} LOCATION {_sql_text(path)}")
+    try:
+        rows = rows.select(*spark.table(table).columns)
+        (rows if dealt else rows.repartition(buckets.number, *buckets.columns)).write.insertInto(entry)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {entry}")
+
+
 def _marks_path(spark: SparkSession, table: str, version: str) -> str:
     return f"{_version_root(spark, table)}/streams/version={version}"
 
@@ -115,18 +163,23 @@ def stream_marks(spark: SparkSession, table: str) -> dict[str, int]:
 
 
 def publish_version(spark: SparkSession, table: str, df: DataFrame, version: str | None = None, *,
-                    planned_on: str | None = None, marks: Mapping[str, int] | None = None) -> str:
+                    planned_on: str | None = None, marks: Mapping[str, int] | None = None, dealt: bool = False) -> str:
     """Write ``df`` as a new version of an unpartitioned table and switch the table to it.
 
     ``planned_on`` is the location the plan has read; the switch is refused when the table has moved
     on. ``marks`` are the stream marks of the new version (None: those of the version before): they
-    lie beside the version's folder and become valid with the switch.
+    lie beside the version's folder and become valid with the switch. A table in buckets gets its rows dealt to
+    them, unless ``dealt`` says that each task of ``df`` has rows of few buckets as it is.
     """
     if partition_columns(spark, table):
         raise ValueError(f"{table} is partitioned: merge it by partitions, a new location would hide its rows")
     version = version or uuid.uuid4().hex
     path, kept = f"{_version_root(spark, table)}/version={version}", stream_marks(spark, table) if marks is None else marks
-    df.write.mode("overwrite").options(**TABLE_OPTIONS).parquet(path)
+    buckets = bucket_layout(spark, table)
+    if buckets:
+        _write_in_buckets(spark, table, df, path, buckets, dealt)
+    else:
+        df.write.mode("overwrite").options(**TABLE_OPTIONS).parquet(path)
     if kept:
         spark.createDataFrame(sorted(kept.items()), "stream string, batch long").coalesce(1).write.mode("overwrite").json(
             _marks_path(spark, table, version))
@@ -153,7 +206,9 @@ def merge_whole(spark: SparkSession, table: str, source: DataFrame, rules: Merge
         if marks.get(batch[0], -1) >= batch[1]:
             return
         marks = {**marks, batch[0]: batch[1]}
-    publish_version(spark, table, merge_upsert(spark.table(table), source, rules, run_once=stable), version, planned_on=planned_on, marks=marks)
+    rules = merged_in_buckets(rules, bucket_layout(spark, table))
+    publish_version(spark, table, merge_upsert(spark.table(table), source, rules, run_once=stable), version, planned_on=planned_on, marks=marks,
+                    dealt=rules.strategy == "full_outer" and rules.dedupe)
 
 
 def touched_partitions(target: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -283,11 +338,16 @@ def merge_partitions(spark: SparkSession, table: str, source: DataFrame, rules:
     if touched.isEmpty():
         return
     planned_on = _files(target, touched, partitions)
+    buckets = bucket_layout(spark, table)
+    rules = merged_in_buckets(rules, buckets)
     merged = merge_upsert(touched_partitions(target, touched, partitions), source, rules, run_once=stable)
     path = f"{_version_root(spark, table)}/merge={uuid.uuid4().hex}"
-    # rebalance groups rows by partition, splits a partition that holds most of them over several
-    # writers and joins small ones
-    merged.select(*target.columns).hint("rebalance", *partitions).write.options(**TABLE_OPTIONS).partitionBy(*partitions).parquet(path)
+    if buckets:
+        _write_in_buckets(spark, table, merged, path, buckets, rules.strategy == "full_outer" and rules.dedupe)
+    else:
+        # rebalance groups rows by partition, splits a partition that holds most of them over several
+        # writers and joins small ones
+        merged.select(*target.columns).hint("rebalance", *partitions).write.options(**TABLE_OPTIONS).partitionBy(*partitions).parquet(path)
     _switch_partitions(spark, table, path, partitions, touched, planned_on)
 
 

@@ -141,13 +141,14 @@ def status_json_roundtrip(spark, sf):
 
 # --- tables ------------------------------------------------------------------------------------
 
-def silver_table(spark: SparkSession, frame: DataFrame, label: str, partitions: tuple[str, ...] = ()) -> str:
+def silver_table(spark: SparkSession, frame: DataFrame, label: str, partitions: tuple[str, ...] = (),
+                 buckets: silver_sinks.Buckets | None = None) -> str:
     """A catalog table holding ``frame``: as its first version, or in partitions."""
     home, database = scratch_path(spark, label), _unique("tidemark")
     silver_sinks.ensure_database(spark, database, home)
     silver_sinks.assert_database(spark, database)
     name = f"{database}.{label}"
-    silver_sinks.create_table(spark, name, frame.schema, f"{home}/{label}", partitions=partitions)
+    silver_sinks.create_table(spark, name, frame.schema, f"{home}/{label}", partitions=partitions, buckets=buckets)
     if partitions:
         spread(frame, *partitions).select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
     else:
@@ -165,6 +166,15 @@ def table_lifecycle(spark, sf):
     return plain(spark.table(view))
 
 
+@query(merge_sql())
+def merge_bucketed(spark, sf):
+    """Merge into a table in buckets of its key: the table is not shuffled, and stays in its buckets."""
+    orders = silver_orders(spark, sf)
+    name = silver_table(spark, orders, "orders", buckets=silver_sinks.Buckets(("o_orderkey",), 8))
+    silver_sinks.merge_table(spark, name, stg_orders(spark, sf), order_rules())
+    return plain(spark.table(name))
+
+
 @query(with_inputs("""SELECT coalesce(s.event_id, e.event_id) AS event_id, coalesce(s.kind, e.event_type) AS kind,
   coalesce(s.day, strftime(e.ts, '%Y-%m-%d')) AS day FROM (SELECT * FROM events WHERE value <= 150.0) e
 FULL JOIN (SELECT event_id, upper(event_type) AS kind, strftime(ts, '%Y-%m-%d') AS day FROM events
