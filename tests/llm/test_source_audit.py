@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import source_audit
@@ -96,8 +97,6 @@ def test_no_rows_and_no_kept_terms(spark):
 
 @pytest.mark.parametrize("sizes", [[0], [3, 0, 2], [5, 5, 5, 5]])
 def test_vector_sums_hold_a_bounded_number(sizes, monkeypatch):
-    import pyarrow as pa
-
     monkeypatch.setattr(source_audit, "HELD", 4)
     vectors = [{"indices": list(range(n)), "values": [float(i + 1) for i in range(n)]} for n in sizes]
     batch = pa.RecordBatch.from_pydict({"lang": ["x"] * len(sizes), "source": [f"s{i % 2}" for i in range(len(sizes))], "vector": vectors})
@@ -113,8 +112,6 @@ def test_vector_sums_hold_a_bounded_number(sizes, monkeypatch):
 
 
 def test_terms_of_bytes_are_those_of_the_pattern():
-    import pyarrow as pa
-
     upper = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     pick = random.Random(9)
     texts = ["", "a", "", "", "Zoë9x", "ÀÉ@日本語[x`y{z", " lead and trail ", "123 !", "ab", "cd", "\x7f\x80\u00ff", LONG[:500], ""]
@@ -129,3 +126,10 @@ def test_terms_of_bytes_are_those_of_the_pattern():
     for options in ({}, {"rows": 1}, {"most_bytes": 1}):
         found = [tuple(r.values()) for out in source_audit._tokens(iter([batch]), **options) for r in out.to_pylist()]
         assert sorted(found) == sorted([("a", "v", ["a\0one", "a\0two"]), ("b", "w", ["b\0x"]), ("a", "x", []), ("", "y", ["\0q", "\0r"]), ("a", "z", ["a\0s"])])
+
+
+def test_different_terms_of_each_text():
+    texts = pa.array(["b a b A ab", "", "a", "a a é É"])
+    got = [sorted(x) for x in source_audit.terms_of(texts, "en\0", once=True).to_pylist()]
+    assert got == [sorted("en\0" + t for t in ts) for ts in (["a", "ab", "b"], [], ["a"], ["a", "é", "É"])]
+    assert source_audit.terms_of(pa.array(["", "1"]), "", once=True).to_pylist() == [[], []]

@@ -18,6 +18,7 @@ driver and once by each executor, as that estimator does. A kept term needs ``mi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -49,8 +50,9 @@ _LOWER[65:91] += 32
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True  # all bytes of a character beyond ASCII are 128 or more
 
 
-def terms_of(texts: pa.Array, prefix: str) -> pa.ListArray:
-    """The terms of each text in order, A-Z lower-cased, each behind ``prefix``; bytes of all texts at once."""
+def terms_of(texts: pa.Array, prefix: str, once: bool = False) -> pa.ListArray:
+    """The terms of each text in order, A-Z lower-cased, each behind ``prefix``; bytes of all texts at once. ``once``: each different
+    term of a text, in any order."""
     begin = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[begin[0]:begin[-1]]
     begin, head = begin - begin[0], np.frombuffer(prefix.encode(), np.uint8)
@@ -69,12 +71,17 @@ def terms_of(texts: pa.Array, prefix: str) -> pa.ListArray:
         out[ends[:-1] + i] = byte
     owner = np.searchsorted(begin, places[at], "right") - 1
     words = pa.StringArray.from_buffers(len(at), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(out))
+    if once and len(words):
+        coded = words.dictionary_encode()
+        size = len(coded.dictionary)
+        found = np.unique(owner * size + coded.indices.to_numpy())
+        owner, words = found // size, coded.dictionary.take(pa.array(found % size))
     each = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(texts)))))
     return pa.ListArray.from_arrays(pa.array(each, pa.int32()), words)
 
 
-def _tokens(batches: Iterator[pa.RecordBatch], rows: int = 1000, most_bytes: int = 1 << 23) -> Iterator[pa.RecordBatch]:
-    """(lang, source, tokens): every term of a text behind its language and a zero character, which no term holds.
+def _tokens(batches: Iterator[pa.RecordBatch], once: bool = False, rows: int = 1000, most_bytes: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """(lang, source, tokens): every term of a text (``once``: every different one) behind its language and a zero character, which no term holds.
 
     Rows are taken by language, at most about ``most_bytes`` of text at once or one text.
     """
@@ -86,7 +93,7 @@ def _tokens(batches: Iterator[pa.RecordBatch], rows: int = 1000, most_bytes: int
                 before = sizes[at - 1] if at else 0
                 to = min(at + rows, max(at + 1, int(np.searchsorted(sizes, before + most_bytes, "right"))))
                 part = own.slice(at, to - at)
-                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("source"), terms_of(part.column("text"), f"{lang.as_py()}\0")],
+                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("source"), terms_of(part.column("text"), f"{lang.as_py()}\0", once)],
                                                  names=["lang", "source", "tokens"])
                 at = to
 
@@ -169,8 +176,11 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     """
     spark = docs.sparkSession
     rows = docs.select(whole_text(lang_col).alias("lang"), whole_text(source_col).alias("source"), whole_text(text_col).alias("text"))
-    tokens = rows.mapInArrow(_tokens, "lang string, source string, tokens array<string>")
-    model = CountVectorizer(inputCol="tokens", outputCol="vector", minDF=float(min_docs), vocabSize=2 ** 31 - 1).fit(tokens.select("tokens"))
+    kind = "lang string, source string, tokens array<string>"
+    tokens = rows.mapInArrow(_tokens, kind)
+    # minDF asks how many texts hold a term; how often each does only orders the vocabulary, which no result depends on
+    held = rows.mapInArrow(partial(_tokens, once=True), kind).select("tokens")
+    model = CountVectorizer(inputCol="tokens", outputCol="vector", minDF=float(min_docs), vocabSize=2 ** 31 - 1).fit(held)
     path = scratch_path(spark, "vocabulary")
     model.write().save(path)
     words = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "word"))
