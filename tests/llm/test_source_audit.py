@@ -133,3 +133,26 @@ def test_different_terms_of_each_text():
     got = [sorted(x) for x in source_audit.terms_of(texts, "en\0", once=True).to_pylist()]
     assert got == [sorted("en\0" + t for t in ts) for ts in (["a", "ab", "b"], [], ["a"], ["a", "é", "É"])]
     assert source_audit.terms_of(pa.array(["", "1"]), "", once=True).to_pylist() == [[], []]
+
+
+@pytest.mark.parametrize(("held", "rows"), [(1 << 21, 1000), (7, 3), (1, 1)])
+def test_sums_by_spans_are_the_sums(monkeypatch, held, rows):
+    monkeypatch.setattr(source_audit, "HELD", held)
+    rng, want, batches = random.Random(held + rows), Counter(), []
+    for _ in range(6):
+        table = []
+        for _ in range(rng.randint(0, 12)):
+            group, found = (rng.choice(["", "en"]), rng.choice(["s", "t", "u"])), sorted(rng.sample(range(1200), rng.randint(0, 40)))
+            counts = [float(rng.randint(1, 9)) for _ in found]
+            want.update({(*group, i): int(c) for i, c in zip(found, counts)})
+            table.append({"lang": group[0], "source": group[1], "vector": {"indices": found, "values": counts}})
+        kind = pa.schema([("lang", pa.string()), ("source", pa.string()),
+                          ("vector", pa.struct([("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))]))])
+        batches.append(pa.RecordBatch.from_pylist(table, kind))
+    spans = [r for b in source_audit._sum_vectors(iter(batches)) for r in b.to_pylist()]
+    spans.sort(key=lambda r: (r["lang"], r["source"], r["span"]))
+    dealt = [pa.RecordBatch.from_pylist(spans[i:i + rows], pa.schema([
+        ("lang", pa.string()), ("source", pa.string()), ("span", pa.int32()), ("place", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))]))
+        for i in range(0, len(spans), rows)]
+    got = [tuple(r.values()) for b in source_audit._add_spans(iter(dealt)) for r in b.to_pylist()]
+    assert len(got) == len(want) and dict(((a, b, c), n) for a, b, c, n in got) == want

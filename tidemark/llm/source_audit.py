@@ -35,6 +35,7 @@ from .common import whole_text
 WHOLE, SMOOTH = 1_000_000_000, 5
 TILE, BLOCK = 64, 4096
 HELD = 1 << 21  # stored entries a task sums at once
+SPAN = 256  # terms whose sums of one group travel in one row
 
 
 def share(count: str, total: str, terms: str) -> Column:
@@ -99,7 +100,8 @@ def _tokens(batches: Iterator[pa.RecordBatch], once: bool = False, rows: int = 1
 
 
 def _sum_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, index, n): entries of sparse vectors summed by group; a bounded number of them is held."""
+    """(lang, source, span, place, n): entries of sparse vectors summed by group; a bounded number of them is held. A row has those of
+    ``SPAN`` neighbouring terms."""
     keys, values, groups, held = [], [], {}, 0
 
     def flush() -> Iterator[pa.RecordBatch]:
@@ -107,11 +109,17 @@ def _sum_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.bincount(place, np.concatenate(values), len(found)).astype(np.int64)
         names = list(groups)
         lang, source = (pa.array([g[i] for g in names], pa.string()) for i in (0, 1))
-        for at in range(0, len(found), 100_000):
-            part = found[at:at + 100_000]
-            group = pa.array(part >> 32)
-            yield pa.RecordBatch.from_arrays([lang.take(group), source.take(group), pa.array((part & 0xFFFFFFFF).astype(np.int32)),
-                                              pa.array(n[at:at + 100_000])], names=["lang", "source", "index", "n"])
+        starts = np.flatnonzero(np.diff(found // SPAN, prepend=-1))  # of a group's terms of one span
+        ends = np.append(starts, len(found))
+        for at in range(0, len(starts), 5000):
+            to = min(at + 5000, len(starts))
+            low, high = ends[at], ends[to]
+            first, offsets = found[starts[at:to]], pa.array((ends[at:to + 1] - low).astype(np.int32))
+            group = pa.array(first >> 32)
+            yield pa.RecordBatch.from_arrays([
+                lang.take(group), source.take(group), pa.array(((first & 0xFFFFFFFF) // SPAN).astype(np.int32)),
+                pa.ListArray.from_arrays(offsets, pa.array((found[low:high] % SPAN).astype(np.int32))),
+                pa.ListArray.from_arrays(offsets, pa.array(n[low:high]))], names=["lang", "source", "span", "place", "n"])
 
     for batch in batches:
         lang, source = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
@@ -135,6 +143,41 @@ def _sum_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
+def _add_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, index, n): the sums of rows of ``_sum_vectors`` that come in order of (lang, source, span). A batch and one span are held."""
+    last, carried = None, np.zeros(SPAN, np.int64)
+
+    def entries(keys: list[tuple], sums: np.ndarray) -> pa.RecordBatch:
+        row, place = np.nonzero(sums)
+        lang, source, span = (pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64())))
+        of = pa.array(row)
+        index = span.take(of).to_numpy() * SPAN + place
+        return pa.RecordBatch.from_arrays([lang.take(of), source.take(of), pa.array(index.astype(np.int32)), pa.array(sums[row, place])],
+                                          names=["lang", "source", "index", "n"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = list(zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "span")), strict=True))
+        keys, run = [], np.empty(len(names), np.int64)
+        for i, key in enumerate(names):
+            if not keys or key != keys[-1]:
+                keys.append(key)
+            run[i] = len(keys) - 1
+        places, amounts = batch.column("place"), batch.column("n")
+        at = np.repeat(run * SPAN, np.diff(places.offsets.to_numpy())) + places.flatten().to_numpy()
+        sums = np.bincount(at, amounts.flatten().to_numpy(), len(keys) * SPAN).astype(np.int64).reshape(-1, SPAN)
+        if last == keys[0]:
+            sums[0] += carried
+        elif last is not None:
+            yield entries([last], carried[None])
+        last, carried = keys[-1], sums[-1].copy()
+        if len(keys) > 1:
+            yield entries(keys[:-1], sums[:-1])
+    if last is not None:
+        yield entries([last], carried[None])
+
+
 def _tile_pairs(frame: pd.DataFrame) -> pd.DataFrame:
     """Pairs of one tile of sources with another, over one block of terms: summed differences beyond those of two absent terms.
 
@@ -186,8 +229,11 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     words = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("index", "word"))
     words = words.select("index", F.regexp_extract("word", r"(?s)^(.*)\x00([^\x00]*)$", 1).alias("lang"), F.substring_index("word", "\0", -1).alias("term"))
 
-    sums = stable(model.transform(tokens).select("lang", "source", "vector").mapInArrow(_sum_vectors, "lang string, source string, index int, n long")
-                  .groupBy("lang", "source", "index").agg(F.sum("n").alias("n")))
+    # a group's sums travel by spans of terms, so a group with most rows is dealt to as many tasks as it has spans
+    key = ["lang", "source", "span"]
+    spans = model.transform(tokens).select("lang", "source", "vector").mapInArrow(
+        _sum_vectors, "lang string, source string, span int, place array<int>, n array<long>")
+    sums = stable(spans.repartition(*key).sortWithinPartitions(*key).mapInArrow(_add_spans, "lang string, source string, index int, n long"))
     kept = words.groupBy("lang").agg(F.count("*").alias("terms"))
     totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = (rows.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(kept, "lang", "left")
