@@ -103,7 +103,7 @@ def test_vector_sums_hold_a_bounded_number(sizes, monkeypatch):
     total = Counter()
     for out in source_audit._sum_vectors(iter([batch, batch])):
         for r in out.to_pylist():
-            total[r["source"], r["index"]] += r["n"]
+            total.update({(r["source"], r["span"] * source_audit.SPAN + i): n for i, n in zip(r["place"], r["n"], strict=True)})
     want = Counter()
     for i, n in enumerate(sizes):
         for j in range(n):

@@ -81,7 +81,7 @@ def terms_of(texts: pa.Array, prefix: str, once: bool = False) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(each, pa.int32()), words)
 
 
-def _tokens(batches: Iterator[pa.RecordBatch], once: bool = False, rows: int = 1000, most_bytes: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def _tokens(batches: Iterator[pa.RecordBatch], once: bool = False, rows: int = 1000, most_bytes: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """(lang, source, tokens): every term of a text (``once``: every different one) behind its language and a zero character, which no term holds.
 
     Rows are taken by language, at most about ``most_bytes`` of text at once or one text.
