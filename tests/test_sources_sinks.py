@@ -337,31 +337,31 @@ def test_a_reader_sees_a_partition_before_or_after(spark, tmp_path):
 
 
 def test_a_second_writer_of_a_partition_loses_nothing(spark, tmp_path, monkeypatch):
-    rows = daily(spark, tmp_path, "shared")
+    rows = daily(spark, tmp_path, "shared_days")
     rules, switch = MergeRules(keys="id", op=None), silver._switch_partitions
     others = [("40", "other", "d0"), ("41", "other", "d9"), ("3", "other", "d0")]
 
     def beaten(*args):
         monkeypatch.setattr(silver, "_switch_partitions", switch)
         for other in others:  # comes between the plan and the switch
-            silver.merge_table(spark, "shared", spark.createDataFrame([(*other, "u")], CHANGES), rules)
+            silver.merge_table(spark, "shared_days", spark.createDataFrame([(*other, "u")], CHANGES), rules)
         switch(*args)
 
     monkeypatch.setattr(silver, "_switch_partitions", beaten)
     with pytest.raises(silver.TableMoved):
-        silver.merge_partitions(spark, "shared", spark.createDataFrame([("0", "mine", "d0", "u")], CHANGES), rules)
+        silver.merge_partitions(spark, "shared_days", spark.createDataFrame([("0", "mine", "d0", "u")], CHANGES), rules)
     assert [r for r in rows() if r[1] == "mine"] == []
     monkeypatch.setattr(silver, "_switch_partitions", beaten)
-    silver.merge_table(spark, "shared", spark.createDataFrame([("0", "mine", "d0", "u"), ("50", "mine", "d9", "u")], CHANGES), rules)
+    silver.merge_table(spark, "shared_days", spark.createDataFrame([("0", "mine", "d0", "u"), ("50", "mine", "d9", "u")], CHANGES), rules)
     assert {r[0] for r in rows() if r[1] == "mine"} == {0, 50} and {r[0] for r in rows() if r[1] == "other"} == {40, 41, 3}
     # a plain insert counts as another writer, too
     def appended(*args):
         monkeypatch.setattr(silver, "_switch_partitions", switch)
-        spark.createDataFrame([(60, "plain", "d0")], "id long, v string, day string").write.insertInto("shared")
+        spark.createDataFrame([(60, "plain", "d0")], "id long, v string, day string").write.insertInto("shared_days")
         switch(*args)
 
     monkeypatch.setattr(silver, "_switch_partitions", appended)
-    silver.merge_table(spark, "shared", spark.createDataFrame([("0", "again", "d0", "u")], CHANGES), rules)
+    silver.merge_table(spark, "shared_days", spark.createDataFrame([("0", "again", "d0", "u")], CHANGES), rules)
     assert {r[1] for r in rows() if r[0] in (0, 60)} == {"again", "plain"}
 
 
