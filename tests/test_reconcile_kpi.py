@@ -147,6 +147,18 @@ def test_log_extraction(spark):
     assert (report["stg"].success_count, report["stg"].error_count, report["stg"].error_rate_pct) == (0, 1, 100.0)
 
 
+def test_run_lines_are_dealt_out_before_they_are_sorted(spark, tmp_path):
+    lines = [("j", 2024, 1, d, src, line) for d in (1, 2) for src in ("/db1/a/monitoring/status.json", None)
+             for line in ('"run_id": "r",', f'"exit_code": {d}', None)]
+    spark.createDataFrame(lines, "job string, year int, month int, day int, src string, line string").repartition(5).write.parquet(str(tmp_path / "lines"))
+    runs = extract_runs(spark.read.parquet(str(tmp_path / "lines")), path_like=None)
+    assert sorted((r.day, r.src or "", r.run_id, r.exit_code) for r in runs.collect()) == [
+        (d, src, "r", d) for d in (1, 2) for src in ("", "/db1/a/monitoring/status.json")]
+    # the sort would hold all the lines of a read task, many times its bytes in Parquet
+    above, below = runs.filter("dt >= '2024-01-02'")._jdf.queryExecution().executedPlan().toString().split("Exchange")
+    assert "Sort" in above and "Sort" not in below and "day" in below.split("DataFilters")[0]
+
+
 def test_unknown_outcome_is_neither(spark):
     runs = spark.createDataFrame([("d", "s", "t", "ok", None), ("d", "s", "t", None, 0), ("d", "s", "t", "ok", 0)],
                                  "dt string, source_name string, table_name string, status string, exit_code int")

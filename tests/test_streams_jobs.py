@@ -14,6 +14,7 @@ from tidemark.sources.changes import json_value, read_change_files
 from tidemark.sources.logs import read_run_status
 from tidemark.streaming import changes as S
 from pyspark.sql import functions as F
+from workload import moving
 
 CHANGE = T.StructType([T.StructField("id", T.LongType()), T.StructField("amount", T.StringType()), T.StructField("at", T.LongType())])
 ENVELOPE = T.StructType([T.StructField("after", CHANGE), T.StructField("op", T.StringType()), T.StructField("ts_ms", T.LongType())])
@@ -216,6 +217,28 @@ def test_new_log_files_alone_are_read(spark, tmp_path):
     assert send(("c", 0)) == (3, [("a", 0), ("b", 1), ("c", 0)])  # three lines read, not nine
 
 
+def test_more_runs_make_more_log_files_not_larger_ones(spark, tmp_path, monkeypatch):
+    kinds, days = ("view", "click"), ("2024-01-02", "2024-01-03", "2024-01-28")
+    events = [(i, kinds[i % 2], days[i % 3]) for i in range(1000)]
+    (spark.createDataFrame(events, "event_id bigint, event_type string, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+     .coalesce(1).write.parquet(str(tmp_path / "events.parquet")))
+    monkeypatch.setattr(moving, "RUNS_PER_FILE", 40, raising=False)
+    monkeypatch.setattr(moving, "scratch_path", lambda spark, label: str(tmp_path / label))
+    expected = {}
+    for i, kind, day in events:
+        if day > "2024-01-02":
+            key = (day, f"db{i % 3}", f"p_{kind}" if i % 7 == 0 else f"t_{kind}")
+            total, bad = expected.get(key, (0, 0))
+            expected[key] = (total + 1, bad + (i % 11 == 0))
+    got = moving.stream_run_report(spark, str(tmp_path)).collect()
+    assert {(r.dt, r.source, r.table_name): (r.total_jobs, r.error_count) for r in got} == expected and len(got) == len(expected)
+    lines = spark.read.parquet(str(tmp_path / "run-lines")).groupBy(F.col("_metadata.file_path").alias("file"))
+    assert max(r["count"] for r in lines.count().collect()) <= 2 * 5 * 40  # 25 files or so, five lines a run
+    assert len(list((tmp_path / "runs").glob("batch=*"))) > 1
+    files = spark.read.parquet(str(tmp_path / "run-lines")).groupBy("src").agg(F.count_distinct("_metadata.file_path").alias("n"))
+    assert files.filter("n > 1").isEmpty()  # all lines of a run's file together
+
+
 def test_backfill_then_reconcile_is_all_same(spark, tmp_path):
     silver.ensure_database(spark, "jobdb", str(tmp_path))
     silver.create_table(spark, "jobdb.dest", TARGET, str(tmp_path / "dest"))

@@ -17,12 +17,17 @@ STATUS_TEXT_FIELDS = (
     "ended_at_utc", "started_at_wib", "ended_at_wib", "timezone_wib", "log_s3_uri",
 )
 STATUS_PATH = "%/monitoring/status.json%"
+FILE_COLUMNS = ("job", "year", "month", "day", "src")
 
 
 def extract_runs(lines: DataFrame, *, path_like: str | None = STATUS_PATH) -> DataFrame:
     """One row per status file from its text lines (``job, year, month, day, src, line``).
 
     A file's fields may be spread over lines: each is the maximum over the file.
+
+    Maxima of text are aggregated by sorting. Lines are therefore dealt out by file first, and a task sorts one
+    shuffle partition, whose size adaptive execution bounds, instead of all the lines that it has read. The lines of
+    one file meet in one task.
     """
     line = F.col("line")
     if path_like:
@@ -35,7 +40,7 @@ def extract_runs(lines: DataFrame, *, path_like: str | None = STATUS_PATH) -> Da
         return F.max(json_number_field(line, name)).try_cast("int")
 
     return (
-        lines.groupBy("job", "year", "month", "day", "src")
+        lines.repartition(*FILE_COLUMNS).groupBy(*FILE_COLUMNS)
         .agg(
             F.coalesce(text("pg_table"), text("prod_table"), text("staging_table")).alias("table_name"),
             text("job").alias("job_name_in_file"),

@@ -161,9 +161,15 @@ SQL["order_runs"] = """SELECT o_orderpriority AS job, o_orderdate AS started_at,
   CAST(floor(o_totalprice / 1000) AS INTEGER) AS duration_seconds FROM orders"""
 
 
-def run_log_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Five text lines per run; the table name is missing from every seventh run's file."""
-    e = table(spark, sf, "events").select("event_id", "event_type", "ts", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("n"))
+def run_log_lines(spark: SparkSession, sf: str, parts: int | None = None) -> DataFrame:
+    """Five text lines per run; the table name is missing from every seventh run's file.
+
+    With ``parts`` the runs are dealt out to so many partitions, all lines of a run's file together.
+    """
+    e = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    if parts:  # before the lines are made, which are many times as large
+        e = e.repartition(parts, "event_id")
+    e = e.select("*", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("n"))
     bad, key, n = F.col("event_id") % 11 == 0, F.col("event_id").cast("string"), F.col("n")
     kind = F.col("event_type")
     line = (

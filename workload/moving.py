@@ -434,13 +434,20 @@ def stream_hourly_reconcile(spark, sf):
     return spark.read.schema(joined.schema).parquet(out)
 
 
+#: Runs in one file of the stream of run-log lines, about 100 MB of lines in memory.
+RUNS_PER_FILE = 100_000
+
+
 @query(ORACLES["runlog_report"])
 def stream_run_report(spark, sf):
     """The run report from a stream of log files, read in several batches and each file once."""
     inbox, out = scratch_path(spark, "run-lines"), scratch_path(spark, "runs")
-    lines = run_log_lines(spark, sf)
-    lines.repartition(4, "src").write.parquet(inbox)  # all lines of a run's file together
-    rows = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    # more runs make more files, not larger ones; a batch has a quarter of the files, or one for each core
+    files = max(4, -(-table(spark, sf, "events").count() // RUNS_PER_FILE))
+    at_once = min(-(-files // 4), max(1, spark.sparkContext.defaultParallelism))
+    lines = run_log_lines(spark, sf, files)
+    lines.write.parquet(inbox)
+    rows = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", at_once).parquet(inbox)
     stream.land_runs(rows, out, scratch_path(spark, "runs-state"), every=None).awaitTermination()
     return run_report(stream.landed_runs(spark, out), days=("2024-01-03", "2024-01-28"))
 
