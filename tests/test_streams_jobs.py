@@ -219,23 +219,25 @@ def test_new_log_files_alone_are_read(spark, tmp_path):
 
 def test_more_runs_make_more_log_files_not_larger_ones(spark, tmp_path, monkeypatch):
     kinds, days = ("view", "click"), ("2024-01-02", "2024-01-03", "2024-01-28")
-    events = [(i, kinds[i % 2], days[i % 3]) for i in range(1000)]
+    events = [(i, kinds[i % 2], days[i % 3]) for i in range(1000)] + [(i, None, days[i % 3]) for i in range(1000, 1030)]
     (spark.createDataFrame(events, "event_id bigint, event_type string, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
      .coalesce(1).write.parquet(str(tmp_path / "events.parquet")))
     monkeypatch.setattr(moving, "RUNS_PER_FILE", 40, raising=False)
     monkeypatch.setattr(moving, "scratch_path", lambda spark, label: str(tmp_path / label))
     expected = {}
-    for i, kind, day in events:
+    for i, kind, day in events[:1000]:
         if day > "2024-01-02":
             key = (day, f"db{i % 3}", f"p_{kind}" if i % 7 == 0 else f"t_{kind}")
             total, bad = expected.get(key, (0, 0))
             expected[key] = (total + 1, bad + (i % 11 == 0))
+    # without a kind there is no path, so a day's runs are one file
+    expected |= {(day, None, None): (1, int(any(i % 11 == 0 for i, _, d in events[1000:] if d == day))) for day in days[1:]}
     got = moving.stream_run_report(spark, str(tmp_path)).collect()
     assert {(r.dt, r.source, r.table_name): (r.total_jobs, r.error_count) for r in got} == expected and len(got) == len(expected)
     lines = spark.read.parquet(str(tmp_path / "run-lines")).groupBy(F.col("_metadata.file_path").alias("file"))
     assert max(r["count"] for r in lines.count().collect()) <= 2 * 5 * 40  # 25 files or so, five lines a run
     assert len(list((tmp_path / "runs").glob("batch=*"))) > 1
-    files = spark.read.parquet(str(tmp_path / "run-lines")).groupBy("src").agg(F.count_distinct("_metadata.file_path").alias("n"))
+    files = spark.read.parquet(str(tmp_path / "run-lines")).groupBy("job", "day", "src").agg(F.count_distinct("_metadata.file_path").alias("n"))
     assert files.filter("n > 1").isEmpty()  # all lines of a run's file together
 
 

@@ -166,12 +166,16 @@ def run_log_lines(spark: SparkSession, sf: str, parts: int | None = None) -> Dat
 
     With ``parts`` the runs are dealt out to so many partitions, all lines of a run's file together.
     """
+    bad, key, n = F.col("event_id") % 11 == 0, F.col("event_id").cast("string"), F.col("n")
+    kind = F.col("event_type")
+    system = F.concat(F.lit("db"), (F.col("event_id") % 3).cast("string"))
+    file = [kind.alias("job"), F.year("ts").alias("year"), F.month("ts").alias("month"), F.dayofmonth("ts").alias("day"),
+            F.concat(F.lit("s3://bucket/logs/cron-batch/"), system, F.lit("/"), kind, F.lit("/"), key,
+                     F.lit("/monitoring/status.json")).alias("src")]
     e = table(spark, sf, "events").select("event_id", "event_type", "ts")
     if parts:  # before the lines are made, which are many times as large
-        e = e.repartition(parts, "event_id")
+        e = e.repartition(parts, *file)
     e = e.select("*", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("n"))
-    bad, key, n = F.col("event_id") % 11 == 0, F.col("event_id").cast("string"), F.col("n")
-    kind = F.col("event_type")
     line = (
         F.when(n == 0, F.concat(F.lit('"run_id": "'), key, F.lit('",')))
         .when(n == 1, F.concat(F.lit('"exit_code": '), F.when(bad, F.lit("1")).otherwise(F.lit("0")), F.lit(",")))
@@ -179,13 +183,7 @@ def run_log_lines(spark: SparkSession, sf: str, parts: int | None = None) -> Dat
         .when(n == 3, F.when(F.col("event_id") % 7 == 0, F.lit("}")).otherwise(
             F.concat(F.lit('"pg_table": "t_'), kind, F.lit('",'))))
         .otherwise(F.concat(F.lit('"prod_table": "p_'), kind, F.lit('",'))))
-    system = F.concat(F.lit("db"), (F.col("event_id") % 3).cast("string"))
-    return e.select(
-        system.alias("system"), kind.alias("job"), F.year("ts").alias("year"), F.month("ts").alias("month"),
-        F.dayofmonth("ts").alias("day"),
-        F.concat(F.lit("s3://bucket/logs/cron-batch/"), system, F.lit("/"), kind, F.lit("/"), key,
-                 F.lit("/monitoring/status.json")).alias("src"),
-        line.alias("line"))
+    return e.select(system.alias("system"), *file, line.alias("line"))
 
 
 SQL["run_log_lines"] = """SELECT concat('db', CAST(event_id % 3 AS VARCHAR)) AS system, event_type AS job,
