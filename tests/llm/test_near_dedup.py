@@ -150,3 +150,17 @@ def test_one_hot_key_in_blocks(spark):
 def test_plan_has_no_cross_join(spark):
     plan = near_dedup.fingerprint_links(spark.range(10).select(F.col("id").alias("fp")))._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_keys_are_not_broadcast_by_the_size_of_the_fingerprints(spark):
+    """Spark sizes the keys by the fingerprints they are made from, a fortieth of their rows."""
+    rng = random.Random(9)
+    fps = spark.createDataFrame([(rng.getrandbits(63),) for _ in range(1000)], "fp long")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "60k")  # 16 kB of fingerprints, over a megabyte of keys
+    try:
+        links = near_dedup.fingerprint_links(fps)
+        links.collect()
+        assert "BroadcastExchange" not in links._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)

@@ -343,7 +343,8 @@ def fingerprint_links(fps: DataFrame, bits: int = 4, segments: int = 5, block: i
     keys = fps.select("fp").where("fp is not null").distinct().mapInArrow(
         partial(_chain_keys, bits=bits, segments=segments), "start int, key long, fp long")
     sizes = keys.groupBy("start", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = keys.join(sizes, ["start", "key"])
+    # Spark takes a fingerprint's forty keys for one row and would broadcast them
+    shared = keys.hint("merge").join(sizes, ["start", "key"])
     dealt = _dealt(shared, "fp", block).select("start", "key", "fp", "part")
     return (dealt.repartition("start", "key", "part").sortWithinPartitions("start", "key", "part", "fp")
             .mapInArrow(partial(_link_sorted, bits=bits, segments=segments), "a long, b long"))
