@@ -164,3 +164,37 @@ def test_keys_are_not_broadcast_by_the_size_of_the_fingerprints(spark):
         assert "BroadcastExchange" not in links._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def broadcast_unmeasured(plan):
+    """The rows made of others (keys of bands or of fingerprints) that a plan broadcasts before their own size is known."""
+    lines = plan.split("== Initial Plan ==")[0].split("\n")
+    deep = [re.match(r"[\s:+\-]*", line).end() for line in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if line[deep[i]:].startswith("BroadcastExchange"):
+            for k in range(i + 1, len(lines)):
+                if deep[k] <= deep[i] or "Exchange" in lines[k]:
+                    break
+                found += [lines[k]] if "MapInArrow" in lines[k] or "posexplode" in lines[k] else []
+    return found
+
+
+def test_the_stage_broadcasts_no_keys_by_the_size_of_their_nodes(spark, monkeypatch):
+    rng = random.Random(10)
+    texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(30)) for _ in range(1000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:100])], "doc_id long, text string")
+    plans, kept = [], spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def watched(edges):
+        edges.collect()
+        plans.append(edges._jdf.queryExecution().executedPlan().toString())
+        return components(edges)
+
+    monkeypatch.setattr(near_dedup, "components", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "300k")
+    try:
+        assert near_dedup.keep_one_each(docs).count() == 1000
+        assert len(plans) > 1 and [x for p in plans for x in broadcast_unmeasured(p)] == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)

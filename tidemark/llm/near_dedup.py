@@ -200,7 +200,8 @@ def similar_links(marks: DataFrame, similarity: float, block: int = 4096, texts:
     known = marks.where("number > 0").groupBy("node").agg(F.first("bands").alias("bands"), F.first("places").alias("places"), F.first("number").alias("number"))
     keys = known.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = keys.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = keys.join(sizes, ["band", "key"]).join(known.select("node", "places", "number"), "node")
+    # Spark takes a node's sixteen keys for one row and might broadcast them
+    shared = keys.hint("merge").join(sizes, ["band", "key"]).join(known.select("node", "places", "number"), "node")
     candidates = (_dealt(shared, "node", block).select("band", "key", "part", "node", "places", "number")
                   .repartition("band", "key", "part").sortWithinPartitions("band", "key", "part", "node")
                   .mapInArrow(partial(_link_likely, similarity=similarity), "a long, b long"))
