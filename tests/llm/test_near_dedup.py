@@ -1,7 +1,9 @@
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from helpers import TEXTS, awkward, nothing, rows_of
 from pyspark.sql import functions as F
@@ -198,3 +200,64 @@ def test_the_stage_broadcasts_no_keys_by_the_size_of_their_nodes(spark, monkeypa
         assert len(plans) > 1 and [x for p in plans for x in broadcast_unmeasured(p)] == []
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def classes(n, edges):
+    """The smallest member of each one's component."""
+    of = list(range(n))
+    for a, b in edges:
+        of = [min(of[a], of[b]) if x in (of[a], of[b]) else x for x in of]
+    return of
+
+
+def pairs_of(batches):
+    return [e for b in batches for e in zip(b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True)]
+
+
+def alike(a, b, similarity):
+    return len(a & b) >= similarity * len(a | b) - 1e-9
+
+
+def test_short_sets_are_linked_as_by_brute_force():
+    rng = random.Random(11)
+    for _ in range(120):
+        wide, similarity, sets = rng.choice([8, 30, 300]), rng.choice([0.8, 0.5, 0.9, 1.0, 0.75]), []
+        for _ in range(rng.randrange(2, 40)):
+            one = set(rng.choice(sets)) if sets and rng.random() < 0.6 else {rng.randrange(wide) for _ in range(rng.randrange(1, 40))}
+            for _ in range(rng.randrange(6)):
+                one ^= {rng.randrange(wide)}
+            sets.append(one or {0})
+        links = {(i, j) for i in range(len(sets)) for j in range(len(sets)) if i != j and alike(sets[i], sets[j], similarity)}
+        got = pairs_of(near_dedup._short_tree(list(range(len(sets))), [np.array(sorted(s), "<u8") for s in sets], similarity))
+        assert set(got) <= links and classes(len(sets), got) == classes(len(sets), links)
+
+
+def test_a_component_of_short_texts_is_not_compared_pair_by_pair():
+    """Short texts are candidates by one band, so their component grows with the table; 4,000 took 64 s when all pairs were compared."""
+    rng, n = random.Random(12), 4000
+    words = [rng.getrandbits(63) for _ in range(3000)]
+    sets = [np.unique(np.array(rng.sample(words, 40), "<u8")) for _ in range(n - 1)]
+    sets.append(sets[0][:-1])
+    rows = pa.RecordBatch.from_pydict({"root": [1] * n, "short": [True] * n, "part": [0] * n, "node": list(range(n)), "places": [bytes(near_dedup.BINS)] * n,
+                                       "shingles": [s.tobytes() for s in sets], "number": list(map(len, sets))})
+    began = time.process_time()
+    assert pairs_of(near_dedup._link_exact(iter([rows]), 0.8)) == [(0, n - 1)]
+    assert time.process_time() - began < 10
+
+
+def test_texts_between_short_and_long_are_linked(spark):
+    """Pairs with fewer than FEW shingles together are sought apart from the others; texts of 178 to 221 shingles are in both."""
+    rng, width = random.Random(13), 5
+    texts = []
+    for size in (150, 177, 178, 182, 200, 215, 221, 222, 260, 300):
+        base = [f"w{rng.randrange(100_000)}" for _ in range(size + width - 1)]
+        texts += [" ".join(base), " ".join([*base, *(f"x{rng.random()}" for _ in range(size // 7))]), " ".join(base[size // 6:])]
+    marks = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string").select("i", near_dedup._marks_column("text", width, 42).alias("m"))
+    rows = marks.select("i", "m.node", "m.bands", "m.places", "m.number", "m.shingles")
+    place = {r["node"]: r["i"] for r in rows.collect()}
+    runs = [{" ".join(t.split()[i:i + width]) for i in range(len(t.split()) - width + 1)} for t in texts]
+    links = {(i, j) for i in range(len(runs)) for j in range(len(runs)) if i != j and alike(runs[i], runs[j], 0.8)}
+    assert min(len(runs[i]) + len(runs[j]) for i, j in links) < near_dedup.FEW < max(len(runs[i]) + len(runs[j]) for i, j in links)
+    for block in (4096, 4):
+        got = [(place[r["a"]], place[r["b"]]) for r in near_dedup.similar_links(rows, 0.8, block).collect()]
+        assert set(got) <= links and classes(len(runs), got) == classes(len(runs), links)

@@ -19,6 +19,7 @@ inside a component of candidates, so each component's shingle hashes meet once a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -26,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import stable
@@ -72,17 +73,30 @@ def simhash_column(text: str = "text", width: int = 4, seed: int = 42):
 
 BINS, BANDS, BAND_ROWS = 96, 16, 5
 LIKELY = 0.2  # a candidate's signature agrees in the wanted similarity less this: five standard errors at 0.8
+MORE = 3  # see _short_tree
+SHORT_BLOCKS = 4  # a block has so many times as many short texts, which are compared with few others
 FEW = 400  # pairs with fewer shingles together are candidates by their band alone: their places are not independent
 _ODD = (np.arange(1, BINS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)  # fixed multipliers, one a place
 
+#: The smallest hash of each bin; bins cut the upper 32 bits evenly.
+_EDGES = np.array([-(-(i << 32) // BINS) << 32 for i in range(BINS)], np.uint64)
+
+
+def _once(blocks: list[np.ndarray]) -> np.ndarray:
+    """The different hashes, in order."""
+    hashes = np.sort(np.concatenate([*blocks, np.zeros(0, np.uint64)]))
+    return hashes[np.concatenate(([True], hashes[1:] != hashes[:-1]))] if len(hashes) else hashes
+
 
 def signature(blocks: Iterator[np.ndarray]) -> np.ndarray | None:
     """One-permutation minhash: the smallest hash of each of the bins; an empty bin borrows from the next one. None without shingles."""
     least, some = np.full(BINS, np.iinfo(np.uint64).max, np.uint64), np.zeros(BINS, bool)
     for block in blocks:
-        place = ((block >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
-        np.minimum.at(least, place, block)
-        some[place] = True
+        ordered = np.sort(block)
+        first = np.append(np.searchsorted(ordered, _EDGES), len(ordered))
+        own = first[:-1] < first[1:]
+        least[own] = np.minimum(least[own], ordered[first[:-1][own]])
+        some |= own
     full = np.flatnonzero(some)
     if not len(full):
         return None
@@ -98,10 +112,11 @@ def _marks(text: str | None, width: int, seed: int) -> tuple[int, int, list[int]
         ones += np.unpackbits(block.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
         blocks.append(block)
     fp = int(np.packbits(2 * ones > total, bitorder="little").view("<i8")[0]) if total else 0
-    places = signature(iter(blocks))
+    hashes = _once(blocks)
+    places = signature(iter([hashes]))
     if places is None:
         return fp, 0, [], bytes(BINS), b""
-    shingles = np.unique(np.concatenate(blocks)).astype("<u8").tobytes()
+    shingles = hashes.astype("<u8").tobytes()
     mixed = places * _ODD
     mixed ^= mixed >> np.uint64(29)
     bands = (mixed[:BANDS * BAND_ROWS] * _ODD[:BANDS * BAND_ROWS]).reshape(BANDS, BAND_ROWS).sum(1, dtype=np.uint64)
@@ -122,7 +137,7 @@ def _shingles_column(text: str, width: int, seed: int):
     """The different shingle hashes of a text, as :func:`_marks` gives them."""
     @F.pandas_udf("binary")
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(np.concatenate([*_word_shingles(x or "", width, seed), np.zeros(0, np.uint64)])).astype("<u8").tobytes() for x in texts], dtype=object)
+        return pd.Series([_once([*_word_shingles(x or "", width, seed)]).astype("<u8").tobytes() for x in texts], dtype=object)
 
     return run(whole_text(text))
 
@@ -158,10 +173,15 @@ def _tree(nodes: list[int], near: Callable[[int, np.ndarray], np.ndarray]) -> It
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
-def _likely(places: np.ndarray, number: np.ndarray, similarity: float) -> Callable[[int, np.ndarray], np.ndarray]:
+def _likely(places: np.ndarray, number: np.ndarray, similarity: float, by_band: bool) -> Callable[[int, np.ndarray], np.ndarray]:
+    """Which sets may be similar enough, by their sizes and signatures; pairs with few shingles are if ``by_band``."""
     def near(one: int, rest: np.ndarray) -> np.ndarray:
-        fits = np.minimum(number[rest], number[one]) >= similarity * np.maximum(number[rest], number[one]) - 1e-9
-        return fits & (((places[rest] == places[one]).mean(1) >= similarity - LIKELY) | (number[rest] + number[one] < FEW))
+        hit = np.minimum(number[rest], number[one]) >= similarity * np.maximum(number[rest], number[one]) - 1e-9
+        ask = np.flatnonzero(hit & (number[rest] + number[one] >= FEW))
+        if not by_band:
+            hit[:] = False
+        hit[ask] = (places[rest[ask]] == places[one]).mean(1) >= similarity - LIKELY
+        return hit
 
     return near
 
@@ -170,14 +190,81 @@ def _link_likely(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterat
     """Forests of candidates in each run of equal (band, key, part)."""
     for run in _runs(batches, ("band", "key", "part"), ("node", "places", "number")):
         places = np.frombuffer(b"".join(r[1] for r in run), np.uint8).reshape(-1, BINS)
-        yield from _tree([r[0] for r in run], _likely(places, np.array([r[2] for r in run]), similarity))
+        yield from _tree([r[0] for r in run], _likely(places, np.array([r[2] for r in run]), similarity, by_band=True))
+
+
+def _most_short(similarity: float) -> int:
+    """A pair with fewer than FEW shingles together, similar enough, has no larger set."""
+    return int((FEW - 1) / (1 + similarity) + 1e-6)
+
+
+def _least_long(similarity: float) -> int:
+    """A pair with FEW shingles or more together, similar enough, has no smaller set."""
+    return math.ceil(FEW * similarity / (1 + similarity) - 1e-6)
+
+
+def _short_tree(nodes: list[int], sets: list[np.ndarray], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Spanning forest of the pairs of sets whose Jaccard similarity is at least ``similarity``, breadth first.
+
+    A set that is similar enough to one of n members lacks at most the n - ceil(similarity n) others, so of any so many and 1 + MORE
+    of them it has 1 + MORE: only sets that hold so many of the rarest ones are compared. A set that has been reached leaves the lists of holders.
+    """
+    number = np.array(list(map(len, sets)))
+    start = np.concatenate(([0], np.cumsum(number)))
+    owner = np.repeat(np.arange(len(sets)), number)
+    _, ids, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    ids = ids[np.lexsort((ids, often[ids], owner))]  # each set's members, the rarest first
+    holders, ends = owner[np.argsort(ids, kind="stable")], np.cumsum(often)
+    begins, ends = (ends - often).tolist(), ends.tolist()
+    shared = np.maximum(1, np.ceil(similarity * number - 1e-9).astype(np.int64))
+    more = np.minimum(MORE, shared - 1)
+    asked, more = (start[:-1] + number - shared + 1 + more).tolist(), more.tolist()
+    mine, free, n_free = np.zeros(len(often), np.int64), np.ones(len(sets), bool), len(sets)
+    left, right = [], []
+    for first in range(len(sets)):
+        if not free[first]:
+            continue
+        free[first], n_free, front = False, n_free - 1, [first]
+        while front and n_free:
+            one = front.pop()
+            rare, found = ids[start[one]:asked[one]], []
+            for i in rare[often[rare] > 1].tolist():
+                some = holders[begins[i]:ends[i]]
+                some = some[free[some]]
+                ends[i] = begins[i] + len(some)
+                holders[begins[i]:ends[i]] = some
+                if len(some):
+                    found.append(some)
+            if not found:
+                continue
+            found, times = np.unique(np.concatenate(found), return_counts=True)
+            found = found[times > more[one]]
+            found = found[np.minimum(number[found], number[one]) >= similarity * np.maximum(number[found], number[one]) - 1e-9]
+            if not len(found):
+                continue
+            own, size = ids[start[one]:start[one + 1]], number[found]
+            before = np.cumsum(size) - size
+            mine[own] = 1
+            both = np.add.reduceat(mine[ids[np.repeat(start[found] - before, size) + np.arange(size.sum())]], before)
+            mine[own] = 0
+            hit = found[both >= similarity * (len(own) + size - both) - 1e-9]
+            free[hit], n_free = False, n_free - len(hit)
+            left += [nodes[one]] * len(hit)
+            right += [nodes[i] for i in hit]
+            front += hit.tolist()
+    if left:
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
 def _link_exact(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Forests of the pairs whose shingle sets have a Jaccard similarity of at least ``similarity``, in each run of equal (root, part)."""
-    for run in _runs(batches, ("root", "part"), ("node", "places", "shingles")):
-        sets = [np.frombuffer(r[2], "<u8") for r in run]
-        likely = _likely(np.frombuffer(b"".join(r[1] for r in run), np.uint8).reshape(-1, BINS), np.array(list(map(len, sets))), similarity)
+    """Forests of the pairs whose shingle sets have a Jaccard similarity of at least ``similarity``, in each run of equal (root, short, part):
+    where ``short``, of all pairs; else of those that have FEW shingles or more together and whose signatures agree."""
+    for run in _runs(batches, ("root", "short", "part"), ("node", "places", "shingles", "short")):
+        nodes, sets = [r[0] for r in run], [np.frombuffer(r[2], "<u8") for r in run]
+        if run[0][3]:
+            yield from _short_tree(nodes, sets, similarity)
+            continue
+        likely = _likely(np.frombuffer(b"".join(r[1] for r in run), np.uint8).reshape(-1, BINS), np.array(list(map(len, sets))), similarity, by_band=False)
 
         def near(one: int, rest: np.ndarray) -> np.ndarray:
             hit = likely(one, rest)
@@ -187,7 +274,7 @@ def _link_exact(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
                 hit[i] = both >= similarity * (len(few) + len(many) - both) - 1e-9
             return hit
 
-        yield from _tree([r[0] for r in run], near)
+        yield from _tree(nodes, near)
 
 
 def similar_links(marks: DataFrame, similarity: float, block: int = 4096, texts: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -195,7 +282,8 @@ def similar_links(marks: DataFrame, similarity: float, block: int = 4096, texts:
     the shingle sets' Jaccard similarity is at least ``similarity``". No edge is below it; a pair at 0.8 shares a band in 99.8 % of cases.
 
     Only keys with several members are looked at; a key, or a component of candidates, with more than ``block`` members is dealt
-    as pairs of blocks. ``texts`` gives (node, shingles) for rows with a node; else ``marks`` has them.
+    as pairs of blocks. Pairs with few shingles are candidates by one band alone, so a component of short texts grows with the whole
+    table; they are sought by their rarest shingles, apart from the longer ones and in blocks of SHORT_BLOCKS times as many. ``texts`` gives (node, shingles) for rows with a node; else ``marks`` has them.
     """
     known = marks.where("number > 0").groupBy("node").agg(F.first("bands").alias("bands"), F.first("places").alias("places"), F.first("number").alias("number"))
     keys = known.select("node", F.posexplode("bands").alias("band", "key"))
@@ -206,15 +294,18 @@ def similar_links(marks: DataFrame, similarity: float, block: int = 4096, texts:
                   .repartition("band", "key", "part").sortWithinPartitions("band", "key", "part", "node")
                   .mapInArrow(partial(_link_likely, similarity=similarity), "a long, b long"))
     groups = stable(components(candidates))
-    sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
+    most, least = _most_short(similarity), _least_long(similarity)
+    short = F.when(F.col("number") < least, F.array(F.lit(True))).when(F.col("number") > most, F.array(F.lit(False))).otherwise(F.array(F.lit(True), F.lit(False)))
+    sorts = groups.join(known.select("node", "places", "number"), "node").select("root", "node", "places", F.explode(short).alias("short"))
+    sizes = sorts.groupBy("root", "short").agg(F.count("*").alias("n")).where("n > 1")
     some = texts(groups) if texts else marks.join(groups, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    members = groups.join(sizes, "root").join(known.select("node", "places"), "node").join(some, "node")
-    return (_dealt(members, "node", block).select("root", "part", "node", "places", "shingles")
-            .repartition("root", "part").sortWithinPartitions("root", "part", "node")
+    members = sorts.join(sizes, ["root", "short"]).join(some, "node")
+    return (_dealt(members, "node", F.when(F.col("short"), SHORT_BLOCKS * block).otherwise(block)).select("root", "short", "part", "node", "places", "shingles")
+            .repartition("root", "short", "part").sortWithinPartitions("root", "short", "part", "node")
             .mapInArrow(partial(_link_exact, similarity=similarity), "a long, b long"))
 
 
-def _dealt(shared: DataFrame, member: str, block: int) -> DataFrame:
+def _dealt(shared: DataFrame, member: str, block: int | Column) -> DataFrame:
     """Adds ``part``: members of a key with ``n`` of them meet in pairs of blocks of about ``block`` members."""
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("long")
     return (shared.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64(member), F.col("blocks")))
