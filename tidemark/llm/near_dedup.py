@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import stable
@@ -434,9 +434,9 @@ def fingerprint_links(fps: DataFrame, bits: int = 4, segments: int = 5, block: i
         raise ValueError("segments must lie in bits+1 .. 2*bits")
     keys = fps.select("fp").where("fp is not null").distinct().mapInArrow(
         partial(_chain_keys, bits=bits, segments=segments), "start int, key long, fp long")
-    sizes = keys.groupBy("start", "key").agg(F.count("*").alias("n")).where("n > 1")
-    # Spark takes a fingerprint's forty keys for one row and would broadcast them
-    shared = keys.hint("merge").join(sizes, ["start", "key"])
+    # most keys have one member: a window needs one shuffle and sort of them, where counts and a join need two and a hash table of all.
+    # And no join: Spark takes a fingerprint's forty keys for one row and would broadcast them
+    shared = keys.withColumn("n", F.count("*").over(Window.partitionBy("start", "key"))).where("n > 1")
     dealt = _dealt(shared, "fp", block).select("start", "key", "fp", "part")
     return (dealt.repartition("start", "key", "part").sortWithinPartitions("start", "key", "part", "fp")
             .mapInArrow(partial(_link_sorted, bits=bits, segments=segments), "a long, b long"))
